@@ -1,0 +1,19 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Control tables (manifests, ledgers, folder lists) have one row per file or folder.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the join is
+    left to the planner (shuffle join, or AQE's runtime broadcast if it turns out small).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
