@@ -8,4 +8,6 @@ from ingot.functions.nested import (  # noqa: F401
 from ingot.functions.jsonf import (  # noqa: F401
     is_json_object, is_blank, object_or_array, top_level_keys, unknown_keys,
 )
-from ingot.functions.text import index_entries, inverted_index, reconstruct_text, reconstruct_text_json  # noqa: F401
+from ingot.functions.text import (  # noqa: F401
+    spread, with_index_entries, with_inverted_index, with_reconstructed_text,
+)

@@ -1,79 +1,111 @@
 """Inverted text index <-> text (R18 and its inverse), built in-row.
 
-Both directions are pure Column expressions over one record: no shuffle, no
-Python.  Tokens are split on a single space, so ``reconstruct(index(t)) == t``.
+Both directions are JVM expressions over one record: no shuffle, no Python.
+Tokens are split on a single space, so ``reconstruct(index(t)) == t``.
+
+The helpers are DataFrame-level on purpose: each intermediate array (the
+sorted tokens, the run starts) is projected as its own column before a lambda
+indexes into it.  Inside a higher-order function an array *expression* is
+re-evaluated on every element access, which would make the work quadratic per
+record; an attribute reference is evaluated once.  For the same reason, explode
+the result with ``inline_outer``/``explode_outer`` and filter the generated
+columns: ``inline``/``explode`` make the optimizer infer ``size(x) > 0`` and push
+it below these projections, re-inlining the array expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INDEX_TYPE = "map<string,array<int>>"
 
 
-def index_entries(text: Column) -> Column:
-    """``array<struct<word, positions>>``: one entry per distinct token, sorted by token.
+def _c(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
 
-    Sort (token, position) pairs once, then cut the sorted array at every token
-    change: O(n log n) per record.
-    """
-    text = F.col(text) if isinstance(text, str) else text
-    words = F.split(text, " ", -1)
-    pairs = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
-    n = F.size(pairs)
-    starts = F.filter(F.sequence(F.lit(0), n - 1),
-                      lambda i: (i == 0) | (F.get(pairs, i).getField("w") != F.get(pairs, i - 1).getField("w")))
+
+def _tmp(tag: str) -> str:
+    return f"__{tag}_{uuid.uuid4().hex[:8]}"
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over at least ``min_partitions`` tasks when the scan is
+    under-partitioned (few large files feeding CPU-heavy in-row work).  At
+    cluster scale the scan already has many splits and nothing is added."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def with_index_entries(df: DataFrame, text, out: str = "entries") -> DataFrame:
+    """Add ``out``: ``array<struct<word, positions>>``, one entry per distinct token,
+    sorted by token.  The (token, position) pairs are sorted once and cut at
+    every token change: O(n log n) per record."""
+    pairs, starts = _tmp("pairs"), _tmp("starts")
+    words = F.split(_c(text), " ", -1)
+    d = df.withColumn(pairs, F.when(_c(text).isNull(), F.lit(None)).otherwise(
+        F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))))
+    P = F.col(pairs)
+    n = F.size(P)
+    d = d.withColumn(starts, F.filter(F.sequence(F.lit(0), n - 1),
+                                      lambda i: (i == 0) | (F.get(P, i).getField("w") != F.get(P, i - 1).getField("w"))))
+    S = F.col(starts)
 
     def entry(s, j):
-        end = F.coalesce(F.get(starts, j + 1), n)
-        run = F.slice(pairs, s + 1, end - s)
-        return F.struct(F.get(pairs, s).getField("w").alias("word"),
-                        F.transform(run, lambda x: x.getField("p")).alias("positions"))
+        end = F.coalesce(F.get(S, j + 1), n)
+        return F.struct(F.get(P, s).getField("w").alias("word"),
+                        F.transform(F.slice(P, s + 1, end - s), lambda x: x.getField("p")).alias("positions"))
 
-    return F.when(text.isNull(), F.lit(None)).otherwise(F.transform(starts, entry))
+    return d.withColumn(out, F.when(P.isNull(), F.lit(None)).otherwise(F.transform(S, entry))).drop(pairs, starts)
 
 
-def inverted_index(text: Column) -> Column:
-    """``map<word, array<position>>`` of a text (inverse helper of R18)."""
-    text = F.col(text) if isinstance(text, str) else text
-    e = index_entries(text)
-    return F.map_from_arrays(F.transform(e, lambda x: x.getField("word")),
-                             F.transform(e, lambda x: x.getField("positions")))
+def with_inverted_index(df: DataFrame, text, out: str = "inverted_index") -> DataFrame:
+    """Add ``out``: ``map<word, array<position>>`` of a text (inverse helper of R18)."""
+    e = _tmp("entries")
+    d = with_index_entries(df, text, e)
+    E = F.col(e)
+    return d.withColumn(out, F.map_from_arrays(F.transform(E, lambda x: x.getField("word")),
+                                               F.transform(E, lambda x: x.getField("positions")))).drop(e)
 
 
-def reconstruct_text(index: Column, length: Column | None = None, is_json: bool = False) -> Column:
-    """Rebuild text from an inverted index.
+def with_reconstructed_text(df: DataFrame, index, out: str = "text", is_json: bool = True,
+                            length: Column | None = None) -> DataFrame:
+    """Add ``out``: text rebuilt from an inverted index.
 
-    ``index`` is a ``map<string,array<int>>`` column or JSON text of either the
-    bare map or the ``{"IndexLength": n, "InvertedIndex": {...}}`` wrapper.
-    Each word is placed at each of its positions; a missing position becomes an
-    empty word (so a gap shows as two spaces); if two words claim a position the
-    later key wins.  A NULL or empty index gives NULL.
+    ``index`` is JSON text of the bare map or of the ``{"IndexLength": n,
+    "InvertedIndex": {...}}`` wrapper (``is_json``), or a ``map<string,array<int>>``
+    column.  Each word is placed at each of its positions; a missing position is
+    an empty word, so a gap shows as two spaces; if two words claim a position
+    the later key wins.  A NULL or empty index gives NULL.
     """
-    if length is None:
-        length = F.lit(None).cast("int")
-    m = index
+    m, ln, srt, kept = _tmp("map"), _tmp("len"), _tmp("sorted"), _tmp("kept")
+    idx = _c(index)
     if is_json:
-        wrapped = F.array_contains(F.json_object_keys(index), "InvertedIndex")
-        inner = F.when(wrapped, F.get_json_object(index, "$.InvertedIndex")).otherwise(index)
-        m = F.from_json(inner, INDEX_TYPE)
-        length = F.when(wrapped, F.get_json_object(index, "$.IndexLength").cast("int")).otherwise(length)
-    entries = F.map_entries(m)
-    flat = F.flatten(F.transform(entries, lambda e, k: F.transform(
+        wrapped = F.array_contains(F.json_object_keys(idx), "InvertedIndex")
+        inner = F.when(wrapped, F.get_json_object(idx, "$.InvertedIndex")).otherwise(idx)
+        d = df.withColumn(m, F.from_json(inner, INDEX_TYPE)).withColumn(
+            ln, F.when(wrapped, F.get_json_object(idx, "$.IndexLength").cast("int"))
+            .otherwise(length if length is not None else F.lit(None).cast("int")))
+    else:
+        d = df.withColumn(m, idx).withColumn(ln, length if length is not None else F.lit(None).cast("int"))
+    M = F.col(m)
+    flat = F.flatten(F.transform(F.map_entries(M), lambda e, k: F.transform(
         e.getField("value"), lambda p: F.struct(p.alias("pos"), k.alias("kidx"), e.getField("key").alias("word")))))
-    ordered = F.array_sort(flat)
-    last_i = F.size(ordered) - 1
-    kept = F.filter(ordered, lambda x, i: (i == last_i) | (F.get(ordered, i + 1).getField("pos") != x.getField("pos")))
-    pieces = F.transform(kept, lambda x, i: F.concat(
-        F.repeat(F.lit(" "), x.getField("pos") - F.when(i == 0, F.lit(-1)).otherwise(F.get(kept, i - 1).getField("pos")) - 1),
+    d = d.withColumn(srt, F.array_sort(flat))
+    O = F.col(srt)
+    last_i = F.size(O) - 1
+    d = d.withColumn(kept, F.filter(O, lambda x, i: (i == last_i) | (F.get(O, i + 1).getField("pos") != x.getField("pos"))))
+    K = F.col(kept)
+    pieces = F.transform(K, lambda x, i: F.concat(
+        F.repeat(F.lit(" "), x.getField("pos") - F.when(i == 0, F.lit(-1)).otherwise(F.get(K, i - 1).getField("pos")) - 1),
         x.getField("word")))
-    body = F.array_join(pieces, " ")
-    last_pos = F.get(kept, F.size(kept) - 1).getField("pos")
-    tail = F.repeat(F.lit(" "), F.greatest(F.coalesce(length, last_pos + 1) - last_pos - 1, F.lit(0)))
-    return F.when(m.isNull() | (F.size(m) == 0), F.lit(None).cast("string")).otherwise(F.concat(body, tail))
-
-
-def reconstruct_text_json(index_json: Column) -> Column:
-    """R18 on a JSON text column (bare map or the IndexLength wrapper)."""
-    return reconstruct_text(index_json, is_json=True)
+    last_pos = F.get(K, F.size(K) - 1).getField("pos")
+    tail = F.repeat(F.lit(" "), F.greatest(F.coalesce(F.col(ln), last_pos + 1) - last_pos - 1, F.lit(0)))
+    text = F.when(M.isNull() | (F.size(M) == 0), F.lit(None).cast("string")).otherwise(
+        F.concat(F.array_join(pieces, " "), tail))
+    return d.withColumn(out, text).drop(m, ln, srt, kept)

@@ -22,7 +22,7 @@ from ingot.functions.nested import (
     fill_arrays,
     placeholder_array, rename_keys, renamed_type,
 )
-from ingot.functions.text import reconstruct_text, reconstruct_text_json
+from ingot.functions.text import with_reconstructed_text
 
 # --- fixed values ------------------------------------------------------------
 # Non-null leaves of the empty location placeholder (everything else is NULL,
@@ -261,8 +261,7 @@ def reconstruct_abstract(src: str = "abstract_inverted_index", dst: str = "abstr
     """Text from an inverted index (R18); NULL or empty index -> NULL."""
     def fn(df: DataFrame, ctx: Ctx) -> DataFrame:
         dt = df.schema[src].dataType
-        txt = reconstruct_text_json(F.col(src)) if isinstance(dt, T.StringType) else reconstruct_text(F.col(src))
-        return df.withColumn(dst, txt)
+        return with_reconstructed_text(df, src, dst, is_json=isinstance(dt, T.StringType))
     return fn
 
 

@@ -153,7 +153,7 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
     "nested_array_repair": """
 WITH lf AS (
-  SELECT l_orderkey, l_linenumber,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus,
          CASE WHEN l_linestatus = 'O' THEN NULL WHEN l_returnflag = 'N' THEN l_returnflag
               ELSE l_returnflag || ',' || l_linestatus END AS ftxt,
          CASE WHEN l_linestatus = 'O' THEN 0 WHEN l_returnflag = 'N' THEN 1 ELSE 2 END AS nf
@@ -162,13 +162,13 @@ SELECT o_orderkey,
        CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE count(lf.l_orderkey) END AS n_lines,
        CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE coalesce(sum(nf), 0) END AS BIGINT) AS n_flags,
        CASE WHEN o_orderpriority = '5-LOW' THEN ''
-            ELSE coalesce(string_agg(ftxt, ',' ORDER BY l_linenumber), '') END AS flags_text
+            ELSE coalesce(string_agg(ftxt, ',' ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus), '') END AS flags_text
 FROM orders LEFT JOIN lf ON lf.l_orderkey = o_orderkey
 GROUP BY o_orderkey, o_orderpriority
 """,
     "compact_arrays": """
 WITH lf AS (
-  SELECT l_orderkey, l_linenumber, l_linestatus = 'O' AS null_flags,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, l_linestatus = 'O' AS null_flags,
          CASE WHEN l_linestatus = 'O' THEN NULL WHEN l_returnflag = 'N' THEN l_returnflag
               ELSE l_returnflag || ',' || l_linestatus END AS ftxt,
          CASE WHEN l_linestatus = 'O' THEN 0 WHEN l_returnflag = 'N' THEN 1 ELSE 2 END AS nf
@@ -178,7 +178,7 @@ SELECT o_orderkey,
        CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE count(*) FILTER (WHERE null_flags) END AS n_null_flags,
        CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE coalesce(sum(nf), 0) END AS BIGINT) AS n_flags,
        CASE WHEN o_orderpriority = '5-LOW' THEN ''
-            ELSE coalesce(string_agg(ftxt, ',' ORDER BY l_linenumber), '') END AS flags_text
+            ELSE coalesce(string_agg(ftxt, ',' ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus), '') END AS flags_text
 FROM orders LEFT JOIN lf ON lf.l_orderkey = o_orderkey
 GROUP BY o_orderkey, o_orderpriority
 """,
@@ -188,7 +188,7 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
     "drop_fields": """
 SELECT o_orderkey, o_orderpriority AS intl_code_nested, 'lines,meta,o_orderkey,o_orderstatus' AS top_fields,
-       'flags,l_linenumber,l_partkey' AS line_fields
+       'flags,l_linenumber,l_linestatus,l_partkey,l_returnflag' AS line_fields
 FROM orders
 """,
     "stringify_map": """

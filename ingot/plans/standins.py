@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ingot.functions.jsonf import unknown_keys
 from ingot.functions.nested import empty_value, ensure_array, ensure_struct, at_path
-from ingot.functions.text import index_entries, inverted_index, reconstruct_text_json
+from ingot.functions.text import spread, with_index_entries, with_inverted_index, with_reconstructed_text
 from ingot.operators import profile as prof
 from ingot.operators.contract import contract_check
 from ingot.operators.repair import (
@@ -287,6 +287,7 @@ def q_sample_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- nested records ---
 LINE = T.StructType([T.StructField("l_linenumber", T.IntegerType()), T.StructField("l_partkey", T.LongType()),
+                     T.StructField("l_returnflag", T.StringType()), T.StructField("l_linestatus", T.StringType()),
                      T.StructField("flags", T.ArrayType(T.StringType()))])
 
 
@@ -306,6 +307,7 @@ def order_records(spark: SparkSession, sf_dir: str, plant: bool = True) -> DataF
         flags = F.array(F.col("l_returnflag"), F.col("l_linestatus"))
     per_order = (li.groupBy("l_orderkey")
                  .agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber"), F.col("l_partkey"),
+                                                           F.col("l_returnflag"), F.col("l_linestatus"),
                                                            flags.alias("flags")))).alias("lines")))
     od = table(spark, sf_dir, "orders")
     rec = od.join(per_order, od.o_orderkey == per_order.l_orderkey, "left").drop("l_orderkey")
@@ -461,8 +463,11 @@ def q_stringify_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ R18 ---
 def q_text_index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    e = docs.select("doc_id", F.inline(index_entries(F.col("text"))))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # inline_outer, not inline: inline makes the optimizer infer size(entries) > 0 and push
+    # it below the staged projections, which re-inlines the array expression into lambdas.
+    e = (with_index_entries(docs, "text", "entries").select("doc_id", F.inline_outer("entries"))
+         .where(F.col("positions").isNotNull()))
     return e.select("doc_id", "word", F.size("positions").cast("bigint").alias("n_pos"),
                     F.array_join("positions", ",").alias("positions"))
 
@@ -470,12 +475,12 @@ def q_text_index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_text_reconstruct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index each document (bare map, or the IndexLength wrapper for German
     documents), store it as JSON text, rebuild the text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    idx = F.to_json(inverted_index(F.col("text")))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    idx = with_inverted_index(docs, "text", "ix").withColumn("ix", F.to_json("ix"))
     n = F.size(F.split("text", " ", -1))
-    wrapped = F.concat(F.lit('{"IndexLength":'), n.cast("string"), F.lit(',"InvertedIndex":'), idx, F.lit("}"))
-    stored = docs.select("doc_id", F.when(F.col("lang") == "de", wrapped).otherwise(idx).alias("abstract_inverted_index"))
-    return stored.select("doc_id", reconstruct_text_json(F.col("abstract_inverted_index")).alias("text"))
+    wrapped = F.concat(F.lit('{"IndexLength":'), n.cast("string"), F.lit(',"InvertedIndex":'), F.col("ix"), F.lit("}"))
+    stored = idx.select("doc_id", F.when(F.col("lang") == "de", wrapped).otherwise(F.col("ix")).alias("abstract_inverted_index"))
+    return with_reconstructed_text(stored, "abstract_inverted_index", "text").select("doc_id", "text")
 
 
 # --------------------------------------------------------------- H1-H4, U3 ---
