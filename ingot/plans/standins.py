@@ -140,9 +140,9 @@ def q_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = F.when(F.col("event_type") == "error", F.lit(',"trace":null')).otherwise(F.lit(""))
     props_body = F.expr("substring(props, 2, length(props) - 2)")
     line = F.concat(base.substr(F.lit(1), F.length(base) - 1), F.lit(","), props_body, extra, F.lit("}"))
-    lines = ev.select(line.alias("value"))
-    parsed = strict_parse(lines, EVENT_SCHEMA, keep=("value",))
-    uk = unknown_keys(F.col("value"), EVENT_SCHEMA.names)
+    lines = ev.select(line.alias("line"))
+    parsed = strict_parse(lines, EVENT_SCHEMA, keep=("line",), value_col="line")
+    uk = unknown_keys(F.col("line"), EVENT_SCHEMA.names)
     return parsed.select("event_id", F.array_join(uk, ",").alias("unknown_keys"),
                          F.size(uk).cast("bigint").alias("n_unknown"), F.col("_bad").alias("bad"))
 

@@ -24,7 +24,8 @@ def read_lines(spark: SparkSession, paths: str | list[str], root: str | None = N
     ``line_id`` (monotone within a file split; together they give line order).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.text(paths)
+    # recursive lookup: no partition inference, so roots with different layouts mix freely
+    df = spark.read.option("recursiveFileLookup", "true").text(paths)
     file_col = normalize(F.col("_metadata.file_path"))
     base = root if root is not None else None
     out = df.select(
