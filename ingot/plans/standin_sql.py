@@ -53,13 +53,13 @@ FROM events
 """,
     "unknown_fields": """
 WITH k AS (
-  SELECT event_id,
-         list_sort(list_filter(json_keys(props) || CASE WHEN event_type = 'error' THEN ['trace'] ELSE [] END,
-                               x -> NOT list_contains(['event_id', 'ts', 'user_id', 'event_type', 'value'], x))) AS ks
-  FROM events)
-SELECT event_id, array_to_string(ks, ',') AS unknown_keys, CAST(len(ks) AS BIGINT) AS n_unknown,
-       len(ks) > 0 AS bad
-FROM k
+  SELECT event_id, unnest(json_keys(props) || CASE WHEN event_type = 'error' THEN ['trace'] ELSE [] END) AS key
+  FROM events),
+u AS (
+  SELECT event_id, string_agg(key, ',' ORDER BY key) AS uk, count(*) AS n FROM k
+  WHERE key NOT IN ('event_id', 'ts', 'user_id', 'event_type', 'value') GROUP BY event_id)
+SELECT e.event_id, coalesce(u.uk, '') AS unknown_keys, coalesce(u.n, 0) AS n_unknown, coalesce(u.n, 0) > 0 AS bad
+FROM events e LEFT JOIN u ON u.event_id = e.event_id
 """,
     "manifest_entries": """
 SELECT 'lineitem' AS dataset,
