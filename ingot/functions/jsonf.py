@@ -27,7 +27,7 @@ def top_level_keys(value: Column) -> Column:
 
 def unknown_keys(value: Column, known: list[str]) -> Column:
     """Top-level keys of a line that the schema does not know (K4)."""
-    return F.array_sort(F.array_except(F.json_object_keys(value),
+    return F.sort_array(F.array_except(F.json_object_keys(value),
                                        F.array(*[F.lit(k) for k in known]).cast("array<string>")))
 
 

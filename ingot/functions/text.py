@@ -20,6 +20,8 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ingot.operators.partitioning import spread  # noqa: F401  (re-export)
+
 INDEX_TYPE = "map<string,array<int>>"
 
 
@@ -31,17 +33,6 @@ def _tmp(tag: str) -> str:
     return f"__{tag}_{uuid.uuid4().hex[:8]}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin rows over at least ``min_partitions`` tasks when the scan is
-    under-partitioned (few large files feeding CPU-heavy in-row work).  At
-    cluster scale the scan already has many splits and nothing is added."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def with_index_entries(df: DataFrame, text, out: str = "entries") -> DataFrame:
     """Add ``out``: ``array<struct<word, positions>>``, one entry per distinct token,
     sorted by token.  The (token, position) pairs are sorted once and cut at
@@ -49,7 +40,7 @@ def with_index_entries(df: DataFrame, text, out: str = "entries") -> DataFrame:
     pairs, starts = _tmp("pairs"), _tmp("starts")
     words = F.split(_c(text), " ", -1)
     d = df.withColumn(pairs, F.when(_c(text).isNull(), F.lit(None)).otherwise(
-        F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))))
+        F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))))
     P = F.col(pairs)
     n = F.size(P)
     d = d.withColumn(starts, F.filter(F.sequence(F.lit(0), n - 1),
@@ -86,17 +77,21 @@ def with_reconstructed_text(df: DataFrame, index, out: str = "text", is_json: bo
     m, ln, srt, kept = _tmp("map"), _tmp("len"), _tmp("sorted"), _tmp("kept")
     idx = _c(index)
     if is_json:
-        wrapped = F.array_contains(F.json_object_keys(idx), "InvertedIndex")
-        inner = F.when(wrapped, F.get_json_object(idx, "$.InvertedIndex")).otherwise(idx)
-        d = df.withColumn(m, F.from_json(inner, INDEX_TYPE)).withColumn(
-            ln, F.when(wrapped, F.get_json_object(idx, "$.IndexLength").cast("int"))
-            .otherwise(length if length is not None else F.lit(None).cast("int")))
+        # One parse for the wrapper form; a bare map (no InvertedIndex key) is parsed as a map.
+        w = _tmp("wrap")
+        d = df.withColumn(w, F.from_json(idx, f"IndexLength int, InvertedIndex {INDEX_TYPE}"))
+        W = F.col(w)
+        wrapped = W.getField("InvertedIndex").isNotNull()
+        d = (d.withColumn(m, F.when(wrapped, W.getField("InvertedIndex")).otherwise(F.from_json(idx, INDEX_TYPE)))
+             .withColumn(ln, F.when(wrapped, W.getField("IndexLength"))
+                         .otherwise(length if length is not None else F.lit(None).cast("int")))
+             .drop(w))
     else:
         d = df.withColumn(m, idx).withColumn(ln, length if length is not None else F.lit(None).cast("int"))
     M = F.col(m)
     flat = F.flatten(F.transform(F.map_entries(M), lambda e, k: F.transform(
         e.getField("value"), lambda p: F.struct(p.alias("pos"), k.alias("kidx"), e.getField("key").alias("word")))))
-    d = d.withColumn(srt, F.array_sort(flat))
+    d = d.withColumn(srt, F.sort_array(flat))
     O = F.col(srt)
     last_i = F.size(O) - 1
     d = d.withColumn(kept, F.filter(O, lambda x, i: (i == last_i) | (F.get(O, i + 1).getField("pos") != x.getField("pos"))))

@@ -1,0 +1,19 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) when the scan is under-partitioned, e.g. a few large
+    files or single-row-group Parquet feeding CPU-heavy per-row work (JSON
+    serialisation, gzip, parsing, in-row text indexing).  At cluster scale the
+    scan already has enough splits and the frame is returned unchanged, so no
+    shuffle is added.  Not for inputs of shuffles: those repartition anyway.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

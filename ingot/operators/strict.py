@@ -89,7 +89,7 @@ def strict_parse(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
     reason = (F.when(~is_json_object(F.col("_line")), F.lit("not a JSON object"))
               .when(F.col("_r._corrupt").isNotNull(), F.lit("shape"))
               .when(_any(cast_bad), F.lit("coercion"))
-              .when(F.size(unknown) > 0, F.concat(F.lit("unknown field: "), F.array_join(F.array_sort(unknown), ",")))
+              .when(F.size(unknown) > 0, F.concat(F.lit("unknown field: "), F.array_join(F.sort_array(unknown), ",")))
               .when(_any(null_rep), F.lit("null for repeated field")))
     kept = [c for c in keep if c in lines.columns]
     return df.select(*typed, *kept, reason.isNotNull().alias("_bad"), reason.alias("_bad_reason"))

@@ -17,9 +17,10 @@ from pyspark.sql import types as T
 
 from ingot.functions.jsonf import unknown_keys
 from ingot.functions.nested import empty_value, ensure_array, ensure_struct, at_path
-from ingot.functions.text import spread, with_index_entries, with_inverted_index, with_reconstructed_text
+from ingot.functions.text import with_index_entries, with_inverted_index, with_reconstructed_text
 from ingot.operators import profile as prof
 from ingot.operators.contract import contract_check
+from ingot.operators.partitioning import spread
 from ingot.operators.repair import (
     HYPHEN_RULES, Ctx, drop_nested, drop_top_level, fix_nulls, fix_object_or_array,
     fix_top_level_arrays, stringify,
@@ -72,7 +73,7 @@ def write_manifest(doc: DataFrame, path: str) -> str:
 # ---------------------------------------------------------------- A1, K1 ---
 def q_ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "ndjson_scan")
-    write_ndjson(table(spark, sf_dir, "orders"), out, partition_by="o_orderstatus")
+    write_ndjson(spread(table(spark, sf_dir, "orders")), out, partition_by="o_orderstatus")
     schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
                            T.StructField("o_totalprice", T.DoubleType()),
                            T.StructField("o_orderdate", T.TimestampNTZType()),
@@ -87,7 +88,7 @@ def q_ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _documents_with_defects(spark: SparkSession, sf_dir: str) -> str:
     """documents as JSON lines by source folder; every 17th id cut short, blank
     lines after every 5th id.  Returns the written root."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     js = F.to_json(F.struct("doc_id", "text", "lang", "n_chars"))
     cut = js.substr(F.lit(1), F.floor(F.length(js) / 2).cast("int"))
     line = F.when(F.col("doc_id") % 17 == 0, cut).otherwise(js)
@@ -120,7 +121,7 @@ EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructFi
 
 def q_quoted_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers quoted for odd ids, an unparseable user id for every 101st id."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     odd = F.col("event_id") % 2 == 1
     uid = (F.when(F.col("event_id") % 101 == 0, F.lit('"n/a"'))
            .when(odd, F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('"')))
@@ -135,7 +136,7 @@ def q_quoted_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``props`` keys spliced into the top level (plus ``trace`` on errors) are unknown fields."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     base = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
     extra = F.when(F.col("event_type") == "error", F.lit(',"trace":null')).otherwise(F.lit(""))
     props_body = F.expr("substring(props, 2, length(props) - 2)")
@@ -151,7 +152,7 @@ def q_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lineitem_files(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, DataFrame]:
     li = table(spark, sf_dir, "lineitem")
     root = scratch_dir(spark, name)
-    write_ndjson(li, f"{root}/lineitem", partition_by=["l_returnflag", "l_linestatus"])
+    write_ndjson(spread(li), f"{root}/lineitem", partition_by=["l_returnflag", "l_linestatus"])
     return root, li
 
 
@@ -188,8 +189,8 @@ def _validation_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "validate")
     li = table(spark, sf_dir, "lineitem")
     od = table(spark, sf_dir, "orders")
-    write_ndjson(li, f"{root}/lineitem", partition_by=["l_returnflag", "l_linestatus"])
-    write_ndjson(od, f"{root}/orders", partition_by=["o_orderstatus"])
+    write_ndjson(spread(li), f"{root}/lineitem", partition_by=["l_returnflag", "l_linestatus"])
+    write_ndjson(spread(od), f"{root}/orders", partition_by=["o_orderstatus"])
 
     g = li.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
     li_entries = g.select(_group_path("lineitem", ("l_returnflag", F.col("l_returnflag")),
@@ -271,7 +272,7 @@ def q_batch_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_folder_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "folders")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source"))
     write_ndjson(docs, root, partition_by=["lang", "source"])
     files = list_files(spark, root).withColumn("sub", F.regexp_extract("rel_path", "^[^/]+/([^/]+)/", 1))
     return (files.groupBy(F.regexp_extract("folder", "=(.*)$", 1).alias("lang"))
@@ -306,7 +307,7 @@ def order_records(spark: SparkSession, sf_dir: str, plant: bool = True) -> DataF
     if not plant:
         flags = F.array(F.col("l_returnflag"), F.col("l_linestatus"))
     per_order = (li.groupBy("l_orderkey")
-                 .agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber"), F.col("l_partkey"),
+                 .agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber"), F.col("l_partkey"),
                                                            F.col("l_returnflag"), F.col("l_linestatus"),
                                                            flags.alias("flags")))).alias("lines")))
     od = table(spark, sf_dir, "orders")
@@ -508,13 +509,13 @@ def _event_json(gen: int = 1) -> Column:
 
 
 def q_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     return prof.merge_facts(prof.json_facts(ev.select(_event_json(1).alias("value"))))
 
 
 def q_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema of the view/click half, merged incrementally with facts of the other half."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     first = ev.where(F.col("event_type").isin("view", "click"))
     rest = ev.where(~F.col("event_type").isin("view", "click"))
     existing = prof.merge_facts(prof.json_facts(first.select(_event_json(1).alias("value"))))
@@ -523,7 +524,7 @@ def q_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     old = prof.merge_facts(prof.json_facts(ev.select(_event_json(1).alias("value"))))
     new = prof.merge_facts(prof.json_facts(ev.select(_event_json(2).alias("value"))))
     return prof.drift(old, new).select("path", "change", "old_type", "new_type", "old_mode", "new_mode")
@@ -569,16 +570,16 @@ LINEITEM_JSON = T.StructType([T.StructField("l_orderkey", T.LongType()), T.Struc
 
 def q_intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files land in two rounds; each availableNow run ingests only what is new."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag"))
     root = scratch_dir(spark, "intake")
     landing, ckpt, tbl, led = f"{root}/landing", f"{root}/checkpoint", f"{root}/table", f"{root}/ledger"
     write_ndjson(li.where(F.col("l_returnflag").isin("A", "N")), landing, partition_by="l_returnflag")
     q = stream_intake(spark, landing, ckpt, ndjson_table_handler(LINEITEM_JSON, tbl, led, run=1),
-                      max_files_per_trigger=4)
+                      max_files_per_trigger=8)
     q.awaitTermination()
     write_ndjson(li.where(~F.col("l_returnflag").isin("A", "N")), landing, partition_by="l_returnflag", mode="append")
     q = stream_intake(spark, landing, ckpt, ndjson_table_handler(LINEITEM_JSON, tbl, led, run=2),
-                      max_files_per_trigger=4)
+                      max_files_per_trigger=8)
     q.awaitTermination()
     t = spark.read.parquet(tbl)
     return (t.groupBy(F.regexp_extract("folder", "=(.*)$", 1).alias("l_returnflag"), F.col("run").cast("bigint").alias("run"))
@@ -594,7 +595,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     (K3) and reported per folder."""
     od = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
-    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("line_numbers"))
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_linenumber")).alias("line_numbers"))
     rec = od.join(lines, od.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey")
     base = F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "line_numbers"))
     obj = F.to_json(F.struct(F.col("o_totalprice").alias("value"), F.lit("USD").alias("currency")))
