@@ -30,9 +30,12 @@ def validate_dataset(spark: SparkSession, dataset: str, version: str, data_root:
     paths = [r["path"] for r in todo.select("path").collect()]  # file names, bounded by the manifest
     if paths:
         counts = count_lines(read_lines(spark, paths, root=data_root), key="rel_path")
-        new = (counts.join(manifest.select("rel_path", "expected"), "rel_path", "inner")
-               .select(F.col("rel_path").alias("file"), "actual", "expected",
-                       F.when(F.col("actual") == F.col("expected"), "OK").otherwise("MISMATCH").alias("status")))
+        # start from the pending files, not from their lines: an empty file counts 0
+        new = (todo.select("rel_path", "expected").join(counts, "rel_path", "left")
+               .select(F.col("rel_path").alias("file"), F.coalesce("actual", F.lit(0)).cast("bigint").alias("actual"),
+                       "expected",
+                       F.when(F.coalesce("actual", F.lit(0)) == F.col("expected"), "OK").otherwise("MISMATCH")
+                       .alias("status")))
         append_ledger(new, ledger_root, "validation", version, dataset, batch_id)
     current = latest_status(merge_ledger(ledger, read_ledger(spark, ledger_root, "validation", version, dataset)))
     per_file = validate_counts(current.select(F.lit(dataset).alias("dataset"), F.col("file").alias("rel_path"), "actual"),
