@@ -29,6 +29,30 @@ SELECT 'orders/o_orderstatus=' || o_orderstatus AS rel_path, count(*) AS actual,
        CAST(sum(CASE WHEN o_orderpriority = '2-HIGH' THEN 2 ELSE 1 END)
             FILTER (WHERE NOT (o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P')) AS BIGINT) AS apc_entries
 FROM orders GROUP BY o_orderstatus
+""",
+    "works_convert": """
+WITH li AS (
+  SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_linestatus <> 'O') AS n_issn,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS n_oa
+  FROM lineitem GROUP BY l_orderkey)
+SELECT 'W' || o_orderkey AS id,
+       CAST(CASE WHEN o_orderpriority = '2-HIGH' THEN 2 ELSE 1 END AS BIGINT) AS n_apc,
+       CASE WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN NULL
+            ELSE CAST(floor(o_totalprice) AS BIGINT) END AS apc_first_value,
+       coalesce(li.n, 1) AS n_locations, coalesce(li.n_issn, 0) AS n_issn, coalesce(li.n_oa, 0) AS n_oa,
+       CASE WHEN o_orderstatus = 'F' THEN 'S' || o_custkey END AS pl_source_id,
+       o_orderstatus = 'F' AS pl_is_oa, CAST(0 AS BIGINT) AS pl_n_issn,
+       o_orderstatus = 'O' AS boa_is_oa, o_orderstatus <> 'O' AS boa_has_source,
+       CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END AS BIGINT) AS n_authorships,
+       CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END AS BIGINT) AS n_inst,
+       CAST(0 AS BIGINT) AS n_lineage,
+       CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END AS BIGINT) AS n_aff_ids,
+       CAST(0 AS BIGINT) AS n_countries,
+       CASE WHEN o_orderpriority = '1-URGENT' OR c_acctbal < 0 THEN NULL ELSE 'I' || n_nationkey END AS inst_id,
+       CAST(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS BIGINT) AS n_referenced,
+       '{"' || o_orderpriority || '":[0]}' AS abstract_json
+FROM orders LEFT JOIN li ON li.l_orderkey = o_orderkey
+LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
 """,
     "ndjson_scan": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {TS}) AS o_orderdate,

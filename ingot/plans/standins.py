@@ -586,6 +586,104 @@ def q_intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_records")))
 
 
+# ------------------------------------------------------- works R1-R7 ---
+INST_ARRAY = T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("display_name", T.StringType()),
+                                       T.StructField("lineage", T.ArrayType(T.StringType()))]))
+
+
+def works_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works-shaped raw records (JSON text) from orders, their lineitems, customer and nation.
+
+    Data-driven defects: ``apc_list`` is an array of two (2-HIGH), empty (3-MEDIUM),
+    absent (4-NOT SPECIFIED) or one object; ``locations`` is absent for orders
+    without lineitems and ``source.issn`` is null on open lines; ``primary_location``
+    only for status F, with a null ``issn``; ``best_oa_location`` only for status O,
+    without a source; ``authorships`` absent for 1-URGENT, institutions empty for
+    negative balances, a null institution id in affiliations, null countries;
+    ``referenced_works`` absent for status P; an inverted index object.
+    """
+    od = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    cust = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")  # 25 rows: proven broadcast bound
+    loc = F.struct(F.col("l_linenumber"), F.col("l_partkey"), F.col("l_returnflag"), F.col("l_linestatus"),
+                   F.struct(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("id"),
+                            F.when(F.col("l_linestatus") == "O", F.lit(None).cast("array<string>"))
+                            .otherwise(F.array(F.col("l_returnflag"))).alias("issn")).alias("source"),
+                   (F.col("l_returnflag") == "R").alias("is_oa"))
+    per_order = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(loc)).alias("_locs"))
+    cn = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left")
+    rec = (od.join(per_order, od.o_orderkey == per_order.l_orderkey, "left")
+           .join(cn, od.o_custkey == cn.c_custkey, "left"))
+    prio, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    apc_obj = F.struct(F.floor("o_totalprice").cast("bigint").alias("value"), F.lit("USD").alias("currency"))
+    apc = (F.when(prio == "2-HIGH", F.to_json(F.array(apc_obj, apc_obj)))
+           .when(prio == "3-MEDIUM", F.lit("[]"))
+           .when(prio == "4-NOT SPECIFIED", F.lit(None))
+           .otherwise(F.to_json(apc_obj)))
+    locations = F.transform("_locs", lambda x: F.struct(x.getField("source").alias("source"),
+                                                        x.getField("is_oa").alias("is_oa")))
+    primary = F.when(status == "F", F.struct(
+        F.struct(F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("id"),
+                 F.lit(None).cast("array<string>").alias("issn")).alias("source"),
+        F.lit(True).alias("is_oa")))
+    best = F.when(status == "O", F.struct(F.lit(True).alias("is_oa")))
+    inst = F.struct(F.concat(F.lit("I"), F.col("n_nationkey").cast("string")).alias("id"),
+                    F.col("n_name").alias("display_name"), F.lit(None).cast("array<string>").alias("lineage"))
+    author = F.struct(
+        F.struct(F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("id"),
+                 F.col("c_name").alias("display_name")).alias("author"),
+        F.when(F.col("c_acctbal") < 0, F.array().cast(INST_ARRAY)).otherwise(F.array(inst)).alias("institutions"),
+        F.array(F.struct(F.array(F.col("n_name"), F.lit(None).cast("string")).alias("institution_ids"),
+                         F.col("c_name").alias("raw_affiliation_string"))).alias("affiliations"),
+        F.lit(None).cast("array<string>").alias("countries"))
+    body = F.to_json(F.struct(
+        F.concat(F.lit("W"), F.col("o_orderkey").cast("string")).alias("id"),
+        locations.alias("locations"), primary.alias("primary_location"), best.alias("best_oa_location"),
+        F.when(prio == "1-URGENT", F.lit(None)).otherwise(F.array(author)).alias("authorships"),
+        F.when(status == "P", F.lit(None)).otherwise(
+            F.array(F.concat(F.lit("W"), F.col("o_custkey").cast("string")))).alias("referenced_works")))
+    # splice the raw-text members (object-or-array union, open map) into the object
+    extra = F.concat(F.coalesce(F.concat(F.lit(',"apc_list":'), apc), F.lit("")),
+                     F.lit(',"abstract_inverted_index":{"'), prio, F.lit('":[0]}'))
+    line = F.concat(body.substr(F.lit(1), F.length(body) - 1), extra, F.lit("}"))
+    return rec.select(line.alias("value"), F.concat(F.lit("updated_date="), status).alias("folder"))
+
+
+def q_works_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The works conversion plan (listing, tolerant scan, R1-R7, NDJSON by folder,
+    ledger) on works-shaped records, summarised per work."""
+    from ingot.catalog import table_schema
+    from ingot.plans.convert import convert
+
+    root = scratch_dir(spark, "works_convert")
+    write_lines(works_records(spark, sf_dir), f"{root}/raw/works", partition_by="folder")
+    convert(spark, "works", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
+    w = read_records(spark, f"{root}/converted/works", table_schema("works"), root=f"{root}/converted/works")
+    locs, auths = F.col("locations"), F.col("authorships")
+    total = lambda arr, f: F.aggregate(arr, F.lit(0).cast("bigint"), lambda acc, x: acc + f(x))
+    return w.select(
+        "id",
+        F.size("apc_list").cast("bigint").alias("n_apc"),
+        F.get("apc_list", 0).getField("value").alias("apc_first_value"),
+        F.size(locs).cast("bigint").alias("n_locations"),
+        total(locs, lambda l: F.coalesce(F.size(l.getField("source").getField("issn")), F.lit(0))).alias("n_issn"),
+        total(locs, lambda l: F.when(l.getField("is_oa"), 1).otherwise(0)).alias("n_oa"),
+        F.col("primary_location.source.id").alias("pl_source_id"),
+        F.col("primary_location.is_oa").alias("pl_is_oa"),
+        F.size("primary_location.source.issn").cast("bigint").alias("pl_n_issn"),
+        F.col("best_oa_location.is_oa").alias("boa_is_oa"),
+        F.col("best_oa_location.source").isNotNull().alias("boa_has_source"),
+        F.size(auths).cast("bigint").alias("n_authorships"),
+        total(auths, lambda a: F.size(a.getField("institutions"))).alias("n_inst"),
+        total(auths, lambda a: total(a.getField("institutions"), lambda i: F.size(i.getField("lineage")))).alias("n_lineage"),
+        total(auths, lambda a: total(a.getField("affiliations"), lambda x: F.size(x.getField("institution_ids")))).alias("n_aff_ids"),
+        total(auths, lambda a: F.size(a.getField("countries"))).alias("n_countries"),
+        F.get(F.get(auths, 0).getField("institutions"), 0).getField("id").alias("inst_id"),
+        F.size("referenced_works").cast("bigint").alias("n_referenced"),
+        F.col("abstract_inverted_index").alias("abstract_json"))
+
+
 # -------------------------------------------------------------- flagship ---
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum slice end to end: orders (with their lineitems and an
@@ -642,6 +740,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_ingest": flagship,
+    "works_convert": q_works_convert,
     "ndjson_scan": q_ndjson_scan,
     "ndjson_tolerant": q_ndjson_tolerant,
     "bad_record_report": q_bad_record_report,
