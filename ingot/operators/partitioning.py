@@ -11,7 +11,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     files or single-row-group Parquet feeding CPU-heavy per-row work (JSON
     serialisation, gzip, parsing, in-row text indexing).  At cluster scale the
     scan already has enough splits and the frame is returned unchanged, so no
-    shuffle is added.  Not for inputs of shuffles: those repartition anyway.
+    shuffle is added.  Use it on scans only: on a plan with a shuffle, asking
+    AQE for the partition count materialises the shuffle stages once more, and
+    shuffle outputs are sized by AQE already.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
