@@ -96,53 +96,43 @@ def facts_of_lines(lines) -> Counter:
 
 
 def _facts_partition(batches):
-    acc: Counter = Counter()
+    """One task: walk its lines, yield its facts once (pre-aggregated).
+
+    Batches carry the JSON line in the last column and, when grouping, the
+    group key (a string) in the first.
+    """
+    acc: dict = {}
     for b in batches:
-        acc.update(facts_of_lines(b.column(0).to_pylist()))
-    if acc:
-        paths, kinds, reps, ns = zip(*[(p, k, r, n) for (p, k, r), n in acc.items()])
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(kinds, pa.string()),
-                                          pa.array(reps, pa.bool_()), pa.array(ns, pa.int64())], schema=FACT_SCHEMA)
+        values = b.column(b.num_columns - 1).to_pylist()
+        groups = b.column(0).to_pylist() if b.num_columns > 1 else [None] * len(values)
+        for g, line in zip(groups, values):
+            acc.setdefault(g, Counter()).update(facts_of_lines([line]))
+    rows = [(p, k, r, n, g) for g, c in acc.items() for (p, k, r), n in c.items()]
+    if rows:
+        cols = list(zip(*rows))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.bool_()),
+             pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.string())],
+            schema=FACT_SCHEMA.append(pa.field("_g", pa.string())))
 
 
 def json_facts(lines: DataFrame, value_col: str = "value", by: tuple[str, ...] = ()) -> DataFrame:
     """``(path, kind, repeated, n)`` facts, pre-aggregated per task, then summed (H2).
 
-    With ``by`` (e.g. dataset) the facts are computed per group value.
+    With ``by`` (e.g. dataset) the facts are kept per group: one walk serves all groups.
     """
+    out_ddl = FACT_DDL + ", _g string"
     if by:
-        # tag each line with its group so one walk serves every group
-        tagged = lines.select(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by], F.col(value_col))
-                            .alias("_v"))
-        raw = tagged.mapInArrow(_facts_partition_tagged(len(by)), FACT_DDL + ", _g string")
-        g = F.split(F.col("_g"), "\u0001")
+        key = F.to_json(F.struct(*[F.col(c) for c in by]))
+        raw = lines.select(key.alias("_key"), F.col(value_col)).mapInArrow(_facts_partition, out_ddl)
+        gs = T.StructType([lines.schema[c] for c in by])
         return (raw.groupBy("_g", "path", "kind", "repeated").agg(F.sum("n").alias("n"))
-                .select(*[g.getItem(i).alias(c) for i, c in enumerate(by)], "path", "kind", "repeated", "n"))
-    raw = lines.select(value_col).mapInArrow(_facts_partition, FACT_DDL)
+                .select(F.from_json("_g", gs).alias("_k"), "path", "kind", "repeated", "n")
+                .select(*[F.col("_k").getField(c).alias(c) for c in by], "path", "kind", "repeated", "n"))
+    raw = lines.select(value_col).mapInArrow(_facts_partition, out_ddl)
     return raw.groupBy("path", "kind", "repeated").agg(F.sum("n").alias("n"))
 
 
-def _facts_partition_tagged(n_keys: int):
-    schema = FACT_SCHEMA.append(pa.field("_g", pa.string()))
-
-    def fn(batches):
-        acc: dict[str, Counter] = {}
-        for b in batches:
-            for s in b.column(0).to_pylist():
-                if s is None:
-                    continue
-                parts = s.split("\u0001", n_keys)
-                g, line = "\u0001".join(parts[:n_keys]), parts[n_keys]
-                acc.setdefault(g, Counter()).update(facts_of_lines([line]))
-        rows = [(p, k, r, n, g) for g, c in acc.items() for (p, k, r), n in c.items()]
-        if rows:
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
-                                              pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.int64()),
-                                              pa.array(cols[4], pa.string())], schema=schema)
-    return fn
-
-
 def _has(kind: str):
     return F.max(F.when(F.col("kind") == kind, 1).otherwise(0)) == 1
 

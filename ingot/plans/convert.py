@@ -2,11 +2,14 @@
 
 listing -> batch range (B1) -> skip files already converted (B6/J4, ledger) ->
 tolerant scan (A1) -> repair rules (R*) -> gzip NDJSON by folder (K1) -> ledger (K5).
-Every rule is row-local, so the only shuffle is the tiny per-file ledger count.
+Every rule is row-local: the job is map-only, one task per input file.
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
+
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +17,21 @@ from ingot.catalog import check_datasets
 from ingot.operators.repair import read_schema, repair
 from ingot.operators.selection import parse_batch_range, pending, select_batch
 from ingot.sinks.ndjson import write_ndjson
-from ingot.sources.ledger import append_ledger, read_ledger
+from ingot.sources.ledger import LEDGER_DDL, append_ledger, read_ledger
 from ingot.sources.listing import list_files
 from ingot.sources.ndjson import parse_records, read_lines
-from ingot.operators.validate import count_lines
 
 
 def convert(spark: SparkSession, dataset: str, version: str, raw_root: str, out_root: str,
-            ledger_root: str, batch: str | None = None, placeholders: bool = True, batch_id: int = 0) -> dict:
-    """Convert one dataset; returns counters (files, skipped, records, dropped)."""
+            ledger_root: str, batch: str | None = None, placeholders: bool = True, batch_id: int = 0,
+            keep_nulls: bool = False) -> dict:
+    """Convert one dataset; returns counters (files, skipped, records, dropped).
+
+    ``keep_nulls=False`` leaves NULL fields out of the output lines (see
+    :func:`ingot.sinks.ndjson.write_ndjson`); placeholders survive as ``{}``
+    elements, ``false`` and ``[]`` overrides are written."""
     check_datasets([dataset])
+    t0 = time.monotonic()
     src = f"{raw_root.rstrip('/')}/{dataset}"
     files = list_files(spark, src)
     if batch:
@@ -31,18 +39,34 @@ def convert(spark: SparkSession, dataset: str, version: str, raw_root: str, out_
         files = select_batch(files, start, end)
     done = read_ledger(spark, ledger_root, "convert", version, dataset)
     todo = pending(files, done, on="rel_path", ledger_on="file")
-    paths = [r["path"] for r in todo.select("path").orderBy("path").collect()]  # file names only
+    rows = todo.select("path", "rel_path").orderBy("path").collect()  # file names only
     n_files = files.count()
-    if not paths:
+    if not rows:
         return {"files": n_files, "skipped": n_files, "records": 0, "dropped": 0}
     obs = Observation(f"convert_{dataset}_{batch_id}")
-    lines = read_lines(spark, paths, root=src)
+    lines = read_lines(spark, [r["path"] for r in rows], root=src)
     recs = parse_records(lines, read_schema(dataset), "tolerant", obs, keep=("folder",))
     fixed = repair(recs, dataset, placeholders)
-    write_ndjson(fixed, f"{out_root.rstrip('/')}/{dataset}", partition_by="folder", mode="append")
+    # Output of this file set goes to its own ``run=<key>`` partition, replaced with
+    # dynamic overwrite: if the job dies after the write but before the ledger
+    # append, the rerun picks the same files, gets the same key and replaces the
+    # partial output instead of duplicating it.
+    key = run_key([r["rel_path"] for r in rows])
+    write_ndjson(fixed.withColumn("run", F.lit(key)), f"{out_root.rstrip('/')}/{dataset}",
+                 partition_by=["folder", "run"], mode="overwrite", keep_nulls=keep_nulls)
     m = obs.get
-    led = count_lines(lines.where(F.json_object_keys("value").isNotNull()), key="rel_path")
-    append_ledger(led.select(F.col("rel_path").alias("file"), F.col("actual").alias("records"),
-                             F.lit("OK").alias("status")), ledger_root, "convert", version, dataset, batch_id)
-    return {"files": n_files, "skipped": n_files - len(paths), "records": int(m.get("records", 0)),
-            "dropped": int(m.get("dropped_bad", 0))}
+    # The ledger marks files done (the skip-existing memory); totals come from the
+    # same-pass observation, so no second scan of the input is needed.
+    done_rows = spark.createDataFrame([(r["rel_path"], None, "OK") for r in rows], LEDGER_DDL["convert"])
+    append_ledger(done_rows, ledger_root, "convert", version, dataset, batch_id)
+    secs = time.monotonic() - t0
+    records = int(m.get("records", 0))
+    return {"files": n_files, "skipped": n_files - len(rows), "records": records,
+            "dropped": int(m.get("dropped_bad", 0)), "seconds": round(secs, 3),
+            "records_per_sec": round(records / secs, 1) if secs > 0 else None}
+
+
+def run_key(names: list[str]) -> str:
+    """Deterministic key of a set of input files (order-insensitive)."""
+    h = hashlib.sha1("\n".join(sorted(names)).encode("utf-8"))
+    return h.hexdigest()[:16]

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ingot.operators.selection import first_n, pending
+from ingot.plans.convert import run_key
 from ingot.operators.validate import upload_tallies
 from ingot.sinks.ndjson import write_lines
 from ingot.sources.ledger import append_ledger, read_ledger
@@ -28,7 +29,9 @@ def publish_files(spark: SparkSession, dataset: str, version: str, src_root: str
     if rows:
         try:
             lines = read_lines(spark, [r["path"] for r in rows], root=src)
-            write_lines(lines.select("value", "folder"), dest, partition_by="folder", mode="append")
+            key = run_key([r["rel_path"] for r in rows])  # rerun of the same set replaces its output
+            write_lines(lines.select("value", "folder", F.lit(key).alias("run")), dest,
+                        partition_by=["folder", "run"], mode="overwrite")
         except Exception:  # the whole batch failed: record FAIL so it is retried
             status = "FAIL"
     new = spark.createDataFrame([(r["rel_path"], f"{dest}/{r['rel_path']}", status) for r in rows],

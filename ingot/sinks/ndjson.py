@@ -11,11 +11,17 @@ from pyspark.sql import DataFrame
 
 
 def write_ndjson(df: DataFrame, path: str, partition_by: str | list[str] | None = None,
-                 mode: str = "errorifexists", compression: str = "gzip") -> None:
+                 mode: str = "errorifexists", compression: str = "gzip", keep_nulls: bool = True) -> None:
     """Write records as NDJSON.  ``mode="overwrite"`` with ``partition_by`` replaces
-    only the partitions present in ``df`` (dynamic overwrite, K2)."""
+    only the partitions present in ``df`` (dynamic overwrite, K2).
+
+    ``keep_nulls`` writes every NULL field explicitly.  Without it a placeholder
+    element is written as ``{}`` and absent fields are left out; any reader that
+    applies a schema (and the warehouse load) reads both forms the same, and the
+    output stays close to the input's size instead of carrying every schema path.
+    """
     w = (df.write.mode(mode).option("compression", compression)
-         .option("ignoreNullFields", "false"))
+         .option("ignoreNullFields", "false" if keep_nulls else "true"))
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         w = w.partitionBy(*cols)
@@ -31,4 +37,6 @@ def write_lines(df: DataFrame, path: str, partition_by: str | list[str] | None =
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         w = w.partitionBy(*cols)
+        if mode == "overwrite":
+            w = w.option("partitionOverwriteMode", "dynamic")
     w.text(path)

@@ -29,6 +29,10 @@ def test_convert_batches_and_skips_done_files(spark, tmp_path):
     assert c2["skipped"] == 1 and c2["records"] == 1
     c3 = convert(spark, "works", "v1", raw, out, led, batch_id=2)
     assert c3["records"] == 0 and c3["skipped"] == 2
+    # a crash after the write but before the ledger append: the rerun replaces, not duplicates
+    led2 = str(tmp_path / "led2")
+    convert(spark, "works", "v1", raw, out, led2, batch="2-2")
+    assert spark.read.text(os.path.join(out, "works")).count() == 3
     back = spark.read.schema(table_schema("works")).json(os.path.join(out, "works"))
     rows = {r["id"]: r for r in back.collect()}
     assert set(rows) == {"W1", "W2", "W3"}

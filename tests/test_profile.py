@@ -73,3 +73,11 @@ def test_profile_to_struct(spark):
     lines = spark.createDataFrame([(json.dumps({"b": [{"y": 1}], "a": "x"}),)], "value string")
     st = P.to_struct(P.merge_facts(P.json_facts(lines)))
     assert st.simpleString() == "struct<a:string,b:array<struct<y:bigint>>>"
+
+
+def test_grouped_facts(spark):
+    lines = spark.createDataFrame([("works", json.dumps({"a": 1})), ("authors", json.dumps({"a": "x"})),
+                                   ("works", json.dumps({"a": 2.5}))], "dataset string, value string")
+    got = {(r["dataset"], r["path"]): r["type"] for r in P.merge_facts(P.json_facts(lines, by=("dataset",)),
+                                                                       by=("dataset",)).collect()}
+    assert got == {("works", "a"): "FLOAT", ("authors", "a"): "STRING"}
