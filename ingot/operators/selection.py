@@ -49,6 +49,12 @@ def first_n(df: DataFrame, n: int, by: list[str] | tuple[str, ...], order: list
     """
     if n is None or n <= 0:
         return df
+    # The partial limit is only planned for n up to this threshold (1000 by
+    # default); raise it so a larger n keeps a hot group from being sorted whole.
+    conf = df.sparkSession.conf
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(key, "1000")) < n:
+        conf.set(key, str(n))
     w = Window.partitionBy(*by).orderBy(*order)
     rn = rank_col or "_rn"
     out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n)

@@ -82,3 +82,42 @@ def test_choose_source(spark, tmp_path):
     (tmp_path / "conv").mkdir()
     assert choose_source(spark, str(tmp_path / "conv"), str(tmp_path / "raw")).endswith("conv")
     assert choose_source(spark, str(tmp_path / "x"), str(tmp_path / "y")) is None
+
+
+def test_first_n_plans_partial_limit_before_shuffle(spark):
+    from ingot.operators.selection import first_n
+
+    df = spark.range(10000).selectExpr("id % 3 AS g", "id")
+    out = first_n(df, 1500, ["g"], [F.col("id")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert out.count() == 4500
+
+
+def test_tsv_ledger_and_latest_status(spark, tmp_path):
+    from ingot.sources.ledger import append_ledger, latest_status, read_ledger, read_ledger_tsv
+
+    p = tmp_path / "works.tsv"
+    p.write_text("file\tactual\texpected\tstatus\nworks/a.gz\t3\t3\tOK\nworks/b.gz\t1\t2\tMISMATCH\n")
+    rows = {r["file"]: r["status"] for r in read_ledger_tsv(spark, str(p), "validation").collect()}
+    assert rows == {"works/a.gz": "OK", "works/b.gz": "MISMATCH"}
+    root = str(tmp_path / "ledger")
+    append_ledger(read_ledger_tsv(spark, str(p), "validation"), root, "validation", "v1", "works", batch=0)
+    fix = spark.createDataFrame([("works/b.gz", 2, 2, "OK")], "file string, actual bigint, expected bigint, status string")
+    append_ledger(fix, root, "validation", "v1", "works", batch=1)
+    cur = {r["file"]: r["status"] for r in latest_status(read_ledger(spark, root, "validation", "v1", "works")).collect()}
+    assert cur == {"works/a.gz": "OK", "works/b.gz": "OK"}
+
+
+def test_ndjson_dynamic_overwrite_keeps_other_folders(spark, tmp_path):
+    from ingot.sinks.ndjson import write_ndjson
+
+    out = str(tmp_path / "o")
+    df = spark.createDataFrame([("a", 1, None), ("b", 2, None)], "folder string, n bigint, x string")
+    write_ndjson(df, out, partition_by="folder")
+    write_ndjson(spark.createDataFrame([("a", 9, None)], "folder string, n bigint, x string"), out,
+                 partition_by="folder", mode="overwrite")
+    back = {(r["folder"], r["n"]) for r in spark.read.json(out).collect()}
+    assert back == {("a", 9), ("b", 2)}
+    # nulls are written explicitly by default
+    assert '"x":null' in spark.read.text(out).first()["value"]
