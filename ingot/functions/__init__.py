@@ -9,5 +9,5 @@ from ingot.functions.jsonf import (  # noqa: F401
     is_json_object, is_blank, object_or_array, top_level_keys, unknown_keys,
 )
 from ingot.functions.text import (  # noqa: F401
-    spread, with_index_entries, with_inverted_index, with_reconstructed_text,
+    with_index_entries, with_inverted_index, with_reconstructed_text,
 )

@@ -20,7 +20,6 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingot.operators.partitioning import spread  # noqa: F401  (re-export)
 
 INDEX_TYPE = "map<string,array<int>>"
 

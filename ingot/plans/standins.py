@@ -280,9 +280,9 @@ def q_folder_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "folders")
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source"))
     write_ndjson(docs, root, partition_by=["lang", "source"])
-    files = list_files(spark, root).withColumn("sub", F.regexp_extract("rel_path", "^[^/]+/([^/]+)/", 1))
-    return (files.groupBy(F.regexp_extract("folder", "=(.*)$", 1).alias("lang"))
-            .agg(F.countDistinct("sub").alias("n_folders")))
+    files = list_files(spark, root).select(F.regexp_extract("folder", "=(.*)$", 1).alias("lang"),
+                                           F.regexp_extract("rel_path", "^[^/]+/([^/]+)/", 1).alias("folder"))
+    return count_folders(files, by=("lang",))
 
 
 # ------------------------------------------------------------------- B3 ---
@@ -667,7 +667,10 @@ def q_works_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     convert(spark, "works", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
     w = read_records(spark, f"{root}/converted/works", table_schema("works"), root=f"{root}/converted/works")
     locs, auths = F.col("locations"), F.col("authorships")
-    total = lambda arr, f: F.aggregate(arr, F.lit(0).cast("bigint"), lambda acc, x: acc + f(x))
+
+    def total(arr, f):
+        return F.aggregate(arr, F.lit(0).cast("bigint"), lambda acc, x: acc + f(x))
+
     return w.select(
         "id",
         F.size("apc_list").cast("bigint").alias("n_apc"),

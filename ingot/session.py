@@ -7,7 +7,6 @@ neither is set (unit tests, a laptop) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
