@@ -110,3 +110,20 @@ def tolerant_report(lines: DataFrame, by: tuple[str, ...] = ("folder",), max_bad
     return (lines.where(~is_blank(v)).groupBy(*by)
             .agg(F.count_if(good).alias("n_good"), F.count_if(~good).alias("n_bad"))
             .withColumn("over_limit", F.col("n_bad") > F.lit(max_bad)))
+
+
+def unknown_paths(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """Field paths present in the lines but absent from the schema, at any depth,
+    with the number of occurrences (K4, nested part).
+
+    Uses the profile's per-task pre-aggregated facts, so the shuffle carries one
+    row per path per task; the schema's path table is schema-sized and broadcast.
+    """
+    from ingot import schemas
+    from ingot.operators.profile import json_facts
+
+    spark = lines.sparkSession
+    known = spark.createDataFrame([(p,) for p, _, _ in schemas.flatten(schema)], "path string")
+    facts = json_facts(lines, value_col).where(F.col("path") != "")
+    return (facts.groupBy("path").agg(F.sum("n").cast("bigint").alias("n"))
+            .join(F.broadcast(known), "path", "left_anti"))

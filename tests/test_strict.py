@@ -43,3 +43,14 @@ def test_bad_record_limit_keeps_old_table(spark, tmp_path):
         publish_table(spark, parsed.drop("_bad_reason").where("id = 'b'"), "works", "t1", loc, max_bad=0,
                       bad=F.col("_bad"))
     assert [r["id"] for r in read_table(spark, "works", "t1").collect()] == ["a"]
+
+
+def test_unknown_paths_at_depth(spark):
+    from ingot.operators.strict import unknown_paths
+
+    schema = T.StructType([T.StructField("id", T.StringType()),
+                           T.StructField("a", T.ArrayType(T.StructType([T.StructField("x", T.LongType())])))])
+    lines = spark.createDataFrame([('{"id":"1","a":[{"x":1,"y":2}],"z":{"q":1}}',), ('{"id":"2","a":[{"y":3}]}',)],
+                                  "value string")
+    got = {r["path"]: r["n"] for r in unknown_paths(lines, schema).collect()}
+    assert got == {"a.y": 2, "z": 1, "z.q": 1}
