@@ -13,7 +13,7 @@ import time
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.catalog import check_datasets
+from ingot.catalog import CONVERTIBLE, check_datasets
 from ingot.operators.repair import read_schema, repair
 from ingot.operators.selection import parse_batch_range, pending, select_batch
 from ingot.sinks.ndjson import write_ndjson
@@ -31,6 +31,9 @@ def convert(spark: SparkSession, dataset: str, version: str, raw_root: str, out_
     :func:`ingot.sinks.ndjson.write_ndjson`); placeholders survive as ``{}``
     elements, ``false`` and ``[]`` overrides are written."""
     check_datasets([dataset])
+    if dataset not in CONVERTIBLE:
+        # no repair rules: the raw files are used as they are (A9 picks raw)
+        return {"files": 0, "skipped": 0, "records": 0, "dropped": 0, "converted": False}
     t0 = time.monotonic()
     src = f"{raw_root.rstrip('/')}/{dataset}"
     files = list_files(spark, src)
@@ -70,3 +73,12 @@ def run_key(names: list[str]) -> str:
     """Deterministic key of a set of input files (order-insensitive)."""
     h = hashlib.sha1("\n".join(sorted(names)).encode("utf-8"))
     return h.hexdigest()[:16]
+
+
+def convert_all(spark: SparkSession, datasets: list[str], version: str, raw_root: str, out_root: str,
+                ledger_root: str, batch: str | None = None, placeholders: bool = True,
+                batch_id: int = 0) -> dict[str, dict]:
+    """``convert <dataset...|all> [START-END]``: every convertible dataset in turn
+    (each one a parallel Spark job); the others pass through unchanged."""
+    return {ds: convert(spark, ds, version, raw_root, out_root, ledger_root, batch, placeholders, batch_id)
+            for ds in check_datasets(datasets)}

@@ -41,3 +41,36 @@ def validate_dataset(spark: SparkSession, dataset: str, version: str, data_root:
     per_file = validate_counts(current.select(F.lit(dataset).alias("dataset"), F.col("file").alias("rel_path"), "actual"),
                                manifest)
     return per_file, validate_summary(per_file)
+
+
+def validate_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,
+                 ledger_root: str, url_prefix: str, recheck_failed: bool = False,
+                 batch_id: int = 0) -> tuple[DataFrame | None, bool, list[str]]:
+    """``validate <dataset...|all>``: B5 membership, A9 source choice per dataset,
+    per-dataset validation, G5 overall state.
+
+    The manifest is read from ``<raw_root>/<dataset>/manifest``.  Returns
+    (summary over datasets, overall ok, datasets skipped for lack of data or manifest).
+    """
+    from ingot.catalog import check_datasets
+    from ingot.operators.validate import overall_ok
+    from ingot.session import fs_exists
+    from ingot.sources.listing import choose_source
+
+    summaries, skipped = [], []
+    for ds in check_datasets(datasets):
+        src = choose_source(spark, f"{converted_root.rstrip('/')}/{ds}", f"{raw_root.rstrip('/')}/{ds}")
+        manifest = f"{raw_root.rstrip('/')}/{ds}/manifest"
+        if src is None or not fs_exists(spark, manifest):
+            skipped.append(ds)
+            continue
+        data_root = src.rstrip("/").rsplit("/", 1)[0]
+        _, summary = validate_dataset(spark, ds, version, data_root, manifest, ledger_root, url_prefix,
+                                      recheck_failed, batch_id)
+        summaries.append(summary)
+    if not summaries:
+        return None, not skipped, skipped
+    out = summaries[0]
+    for s in summaries[1:]:
+        out = out.unionByName(s)
+    return out, overall_ok(out) and not skipped, skipped

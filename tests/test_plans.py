@@ -68,3 +68,15 @@ def test_publish_files_ledger(spark, tmp_path):
     t2 = publish_files(spark, "topics", "v1", src, dest, led, batch_id=1).first()
     assert (t2["uploaded_ok"], t2["skipped"]) == (1, 2)
     assert spark.read.text(os.path.join(dest, "v1", "topics")).count() == 3
+
+
+def test_convert_all_passes_through_unconvertible(spark, tmp_path):
+    from ingot.plans.convert import convert_all
+
+    raw = str(tmp_path / "raw")
+    write_gz(os.path.join(raw, "topics", "f", "a.gz"), jl({"id": "T1"}))
+    _works_snapshot(raw)
+    res = convert_all(spark, ["topics", "works"], "v1", raw, str(tmp_path / "conv"), str(tmp_path / "led"))
+    assert res["topics"]["converted"] is False
+    assert res["works"]["records"] == 3
+    assert not os.path.exists(tmp_path / "conv" / "topics")

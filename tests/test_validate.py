@@ -66,3 +66,25 @@ def test_summary_pass_and_tallies(spark):
     skipped = spark.createDataFrame([("c",)], "file string")
     t = upload_tallies(new, skipped).first()
     assert (t["uploaded_ok"], t["upload_failed"], t["skipped"]) == (1, 1, 1)
+
+
+def test_validate_all_prefers_converted_and_reports_overall(spark, tmp_path):
+    import pytest
+
+    from ingot.plans.validate import validate_all
+
+    raw, conv = tmp_path / "raw", tmp_path / "conv"
+    write_gz(str(raw / "topics" / "f" / "a.gz"), jl({"i": 1}))            # raw only
+    write_gz(str(raw / "works" / "f" / "a.gz"), jl({"i": 1}))             # stale raw copy
+    write_gz(str(conv / "works" / "f" / "a.gz"), jl({"i": 1}, {"i": 2}))  # converted wins
+    for ds, n in (("topics", 1), ("works", 2)):
+        (raw / ds / "manifest").write_text(json.dumps({"meta": {"record_count": n}, "entries": [
+            {"url": f"{PREFIX}{ds}/f/a.gz", "meta": {"record_count": n}}]}))
+    summary, ok, skipped = validate_all(spark, ["topics", "works"], "v1", str(conv), str(raw),
+                                        str(tmp_path / "led"), PREFIX)
+    assert ok and skipped == []
+    assert {r["dataset"]: r["verdict"] for r in summary.collect()} == {"topics": "PASS", "works": "PASS"}
+    _, ok2, skipped2 = validate_all(spark, ["all"], "v1", str(conv), str(raw), str(tmp_path / "led"), PREFIX)
+    assert not ok2 and "authors" in skipped2
+    with pytest.raises(ValueError):
+        validate_all(spark, ["nope"], "v1", str(conv), str(raw), str(tmp_path / "led"), PREFIX)
