@@ -223,3 +223,15 @@ def fill_arrays(c: Column, dt: T.DataType) -> Column:
                 out = out.withField(f.name, fill_arrays(c.getField(f.name), f.dataType))
         return out
     return c
+
+
+def relaxed(dt: T.DataType) -> T.DataType:
+    """The same type with every array element, map value and struct field nullable
+    (a cast target that accepts any parsed value; emptiness rules are separate)."""
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(relaxed(dt.elementType), True)
+    if isinstance(dt, T.MapType):
+        return T.MapType(dt.keyType, relaxed(dt.valueType), True)
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, relaxed(f.dataType), True) for f in dt.fields])
+    return dt

@@ -19,8 +19,7 @@ from ingot.catalog import CONVERTIBLE, check_datasets, table_schema
 from ingot.functions.jsonf import object_or_array
 from ingot.functions.nested import (
     at_path, compact, compact_arrays, contains_array, drop_path, empty_value, ensure_array, ensure_struct,
-    fill_arrays,
-    placeholder_array, rename_keys, renamed_type,
+    fill_arrays, placeholder_array, relaxed, rename_keys, renamed_type,
 )
 from ingot.functions.text import with_reconstructed_text
 
@@ -334,13 +333,22 @@ def conform(df: DataFrame, target: T.StructType, contract: bool = True) -> DataF
     With ``contract`` every array at every depth is made non-NULL and NULL-free,
     which is what the warehouse load does with absent REPEATED fields (1.4).
     """
+    return df.select(*conform_columns(target, contract, df.columns))
+
+
+def conform_columns(target: T.StructType, contract: bool = True, present: list[str] | None = None) -> list[Column]:
+    """Column expressions of :func:`conform` (for use inside a larger projection)."""
     cols = []
     for f in target.fields:
-        c = F.col(f"`{f.name}`").cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
+        dt = relaxed(f.dataType)
+        if present is None or f.name in present:
+            c = F.col(f"`{f.name}`").cast(dt)
+        else:
+            c = F.lit(None).cast(dt)
         if contract and contains_array(f.dataType):
             c = fill_arrays(c, f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return cols
 
 
 __all__ = ["Rule", "Ctx", "REGISTRY", "UNWIRED", "CONVERTIBLE", "repair", "read_schema", "conform",

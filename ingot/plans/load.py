@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ingot import schemas
 from ingot.operators.profile import json_facts, merge_facts, merge_schema, to_struct
 from ingot.operators.selection import sample_head
+from ingot.operators.repair import conform_columns
 from ingot.operators.strict import strict_parse
 from ingot.sinks.schema_file import write_schema_file
 from ingot.sinks.table import publish_table
@@ -32,11 +33,39 @@ def infer_schema(spark: SparkSession, dataset: str, data_root: str, sample: int
 
 
 def load_dataset(spark: SparkSession, dataset: str, version: str, data_root: str, schema: T.StructType,
-                 table_root: str, max_bad: int = 0) -> dict:
+                 table_root: str, max_bad: int = 0, contract: bool = True) -> dict:
+    """Strict load (K4) into ``<dataset>_<version>`` with a bad-record limit.
+
+    With ``contract`` absent arrays become ``[]`` at every depth, as the
+    warehouse does for an absent REPEATED field (an explicit null is still bad).
+    """
     lines = read_lines(spark, f"{data_root.rstrip('/')}/{dataset}/*/*", root=data_root)
     parsed = strict_parse(lines, schema, keep=())
-    return publish_table(spark, parsed.drop("_bad_reason"), dataset, version, table_root, max_bad,
-                         bad=F.col("_bad"))
+    table = parsed.select(*conform_columns(schema, contract), "_bad")
+    return publish_table(spark, table, dataset, version, table_root, max_bad, bad=F.col("_bad"))
+
+
+def load_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,
+             schemas_root: str, table_root: str, max_bad: int = 0) -> tuple[dict, list[str]]:
+    """``load <dataset...|all>``: per dataset, data from converted else raw (A9), the
+    schema resolved exact-version-first (J5), a strict load (K3/K4).  Datasets
+    without data or schema are skipped and returned, as the reference warns."""
+    from ingot.catalog import check_datasets
+    from ingot.operators.profile import resolve_schema
+    from ingot.sources.listing import choose_source
+    from ingot.sources.schema_files import read_schema_file, schema_catalog
+
+    chosen = resolve_schema(schema_catalog(spark, schemas_root), version).select("dataset", "path")
+    paths = {r["dataset"]: r["path"] for r in chosen.collect()}  # one row per dataset
+    results, skipped = {}, []
+    for ds in check_datasets(datasets):
+        src = choose_source(spark, f"{converted_root.rstrip('/')}/{ds}", f"{raw_root.rstrip('/')}/{ds}")
+        if src is None or ds not in paths:
+            skipped.append(ds)
+            continue
+        schema = read_schema_file(spark, paths[ds])
+        results[ds] = load_dataset(spark, ds, version, src.rstrip("/").rsplit("/", 1)[0], schema, table_root, max_bad)
+    return results, skipped
 
 
 def table_frame(spark: SparkSession, table: str) -> DataFrame:

@@ -80,3 +80,20 @@ def test_convert_all_passes_through_unconvertible(spark, tmp_path):
     assert res["topics"]["converted"] is False
     assert res["works"]["records"] == 3
     assert not os.path.exists(tmp_path / "conv" / "topics")
+
+
+def test_load_all_resolves_and_skips(spark, tmp_path):
+    from ingot.plans.load import load_all
+
+    raw, conv, sroot = str(tmp_path / "raw"), str(tmp_path / "conv"), str(tmp_path / "schemas")
+    write_gz(os.path.join(raw, "domains", "f", "a.gz"), jl({"id": "D1", "tags": ["x"]}, {"id": "D2"}))
+    write_gz(os.path.join(raw, "fields", "f", "a.gz"), jl({"id": "F1"}))
+    os.makedirs(os.path.join(sroot, "20241125"))
+    from pyspark.sql import types as T
+    st = T.StructType([T.StructField("id", T.StringType()), T.StructField("tags", T.ArrayType(T.StringType()))])
+    write_schema_file(spark, st, os.path.join(sroot, "20241125", "domains.schema.json"))
+    res, skipped = load_all(spark, ["domains", "fields", "works"], "20260203", conv, raw, sroot,
+                            str(tmp_path / "tables"))
+    assert skipped == ["fields", "works"] and res["domains"]["rows"] == 2
+    rows = {r["id"]: r["tags"] for r in spark.table("domains_20260203").collect()}
+    assert rows == {"D1": ["x"], "D2": []}  # absent REPEATED field loads as []
