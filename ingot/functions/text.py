@@ -76,13 +76,15 @@ def with_reconstructed_text(df: DataFrame, index, out: str = "text", is_json: bo
     m, ln, srt, kept = _tmp("map"), _tmp("len"), _tmp("sorted"), _tmp("kept")
     idx = _c(index)
     if is_json:
-        # One parse for the wrapper form; a bare map (no InvertedIndex key) is parsed as a map.
+        # The wrapper has "InvertedIndex" with an object value; in a bare map that
+        # word can only hold an array.  A regex scan picks the form, so each index
+        # is parsed exactly once, with the right schema.
         w = _tmp("wrap")
-        d = df.withColumn(w, F.from_json(idx, f"IndexLength int, InvertedIndex {INDEX_TYPE}"))
+        wrapped = idx.rlike(r'"InvertedIndex"\s*:\s*\{')
+        d = df.withColumn(w, F.when(wrapped, F.from_json(idx, f"IndexLength int, InvertedIndex {INDEX_TYPE}")))
         W = F.col(w)
-        wrapped = W.getField("InvertedIndex").isNotNull()
-        d = (d.withColumn(m, F.when(wrapped, W.getField("InvertedIndex")).otherwise(F.from_json(idx, INDEX_TYPE)))
-             .withColumn(ln, F.when(wrapped, W.getField("IndexLength"))
+        d = (d.withColumn(m, F.when(W.isNotNull(), W.getField("InvertedIndex")).otherwise(F.from_json(idx, INDEX_TYPE)))
+             .withColumn(ln, F.when(W.isNotNull(), W.getField("IndexLength"))
                          .otherwise(length if length is not None else F.lit(None).cast("int")))
              .drop(w))
     else:
