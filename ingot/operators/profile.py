@@ -59,11 +59,15 @@ def scalar_kind(v) -> str:
     return "STRING"
 
 
-def _visit(v, path: str, out: Counter, in_array: bool) -> None:
+def _visit(v, path: str, out: Counter, in_array: bool, opaque: frozenset = frozenset()) -> None:
+    if path in opaque and v is not None:
+        # an open map kept as JSON text: one STRING fact, no descent into its keys
+        out[(path, "STRING", in_array)] += 1
+        return
     if isinstance(v, dict):
         out[(path, "RECORD", in_array)] += 1
         for k, x in v.items():
-            _visit(x, f"{path}.{k}", out, False)
+            _visit(x, f"{path}.{k}", out, False, opaque)
     elif isinstance(v, list):
         if in_array:
             out[(path, "NESTED_ARRAY", True)] += 1
@@ -71,13 +75,18 @@ def _visit(v, path: str, out: Counter, in_array: bool) -> None:
         if not v:
             out[(path, "EMPTY_ARRAY", True)] += 1
         for e in v:
-            _visit(e, path, out, True)
+            _visit(e, path, out, True, opaque)
     else:
         out[(path, scalar_kind(v), in_array)] += 1
 
 
-def facts_of_lines(lines) -> Counter:
-    """Facts for an iterable of JSON lines; non-object lines count as ('', INVALID)."""
+def facts_of_lines(lines, opaque: frozenset = frozenset()) -> Counter:
+    """Facts for an iterable of JSON lines; non-object lines count as ('', INVALID).
+
+    ``opaque`` paths (open maps such as an inverted index) are recorded as STRING
+    without descending, so the number of paths stays bounded by the schema and
+    does not grow with the maps' vocabularies.
+    """
     out: Counter = Counter()
     for line in lines:
         if line is None or not line.strip():
@@ -91,11 +100,15 @@ def facts_of_lines(lines) -> Counter:
             out[("", "INVALID", False)] += 1
             continue
         for k, x in rec.items():
-            _visit(x, k, out, False)
+            _visit(x, k, out, False, opaque)
     return out
 
 
-def _facts_partition(batches):
+def _facts_partition_fn(opaque: frozenset):
+    return lambda batches: _facts_partition(batches, opaque)
+
+
+def _facts_partition(batches, opaque: frozenset = frozenset()):
     """One task: walk its lines, yield its facts once (pre-aggregated).
 
     Batches carry the JSON line in the last column and, when grouping, the
@@ -106,7 +119,7 @@ def _facts_partition(batches):
         values = b.column(b.num_columns - 1).to_pylist()
         groups = b.column(0).to_pylist() if b.num_columns > 1 else [None] * len(values)
         for g, line in zip(groups, values):
-            acc.setdefault(g, Counter()).update(facts_of_lines([line]))
+            acc.setdefault(g, Counter()).update(facts_of_lines([line], opaque))
     rows = [(p, k, r, n, g) for g, c in acc.items() for (p, k, r), n in c.items()]
     if rows:
         cols = list(zip(*rows))
@@ -116,20 +129,23 @@ def _facts_partition(batches):
             schema=FACT_SCHEMA.append(pa.field("_g", pa.string())))
 
 
-def json_facts(lines: DataFrame, value_col: str = "value", by: tuple[str, ...] = ()) -> DataFrame:
+def json_facts(lines: DataFrame, value_col: str = "value", by: tuple[str, ...] = (),
+               opaque: tuple[str, ...] = ()) -> DataFrame:
     """``(path, kind, repeated, n)`` facts, pre-aggregated per task, then summed (H2).
 
     With ``by`` (e.g. dataset) the facts are kept per group: one walk serves all groups.
+    ``opaque`` lists open-map paths recorded as STRING without descending.
     """
     out_ddl = FACT_DDL + ", _g string"
+    walk = _facts_partition_fn(frozenset(opaque))
     if by:
         key = F.to_json(F.struct(*[F.col(c) for c in by]))
-        raw = lines.select(key.alias("_key"), F.col(value_col)).mapInArrow(_facts_partition, out_ddl)
+        raw = lines.select(key.alias("_key"), F.col(value_col)).mapInArrow(walk, out_ddl)
         gs = T.StructType([lines.schema[c] for c in by])
         return (raw.groupBy("_g", "path", "kind", "repeated").agg(F.sum("n").alias("n"))
                 .select(F.from_json("_g", gs).alias("_k"), "path", "kind", "repeated", "n")
                 .select(*[F.col("_k").getField(c).alias(c) for c in by], "path", "kind", "repeated", "n"))
-    raw = lines.select(value_col).mapInArrow(_facts_partition, out_ddl)
+    raw = lines.select(value_col).mapInArrow(walk, out_ddl)
     return raw.groupBy("path", "kind", "repeated").agg(F.sum("n").alias("n"))
 
 
@@ -176,12 +192,18 @@ def merge_facts(facts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
                     F.col("n").cast("bigint").alias("n"))
 
 
+# --- fixed values: open maps (word -> positions, language -> name) ----------
+OPEN_MAPS = ("abstract_inverted_index", "international")
+# --- end of fixed values ----------------------------------------------------
+
+
 def profile_schema(lines: DataFrame, sample: int = 1000, value_col: str = "value",
-                   by: tuple[str, ...] = (), file_col: str = "file") -> DataFrame:
+                   by: tuple[str, ...] = (), file_col: str = "file",
+                   opaque: tuple[str, ...] = OPEN_MAPS) -> DataFrame:
     """H1 + H2 + H3: first ``sample`` lines of every file, facts, lattice.
     ``sample <= 0`` profiles every line."""
     src = sample_head(lines, sample, file_col) if sample and sample > 0 else lines
-    return merge_facts(json_facts(src, value_col, by), by)
+    return merge_facts(json_facts(src, value_col, by, opaque), by)
 
 
 def facts_from_paths(paths: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot import schemas
-from ingot.operators.profile import json_facts, merge_facts, merge_schema, to_struct
+from ingot.operators.profile import OPEN_MAPS, json_facts, merge_facts, merge_schema, to_struct
 from ingot.operators.selection import sample_head
 from ingot.operators.repair import conform_columns
 from ingot.operators.strict import strict_parse
@@ -21,7 +21,7 @@ from ingot.sources.ndjson import read_lines
 def infer_schema(spark: SparkSession, dataset: str, data_root: str, sample: int = 1000,
                  existing: T.StructType | None = None, out_path: str | None = None) -> T.StructType:
     lines = read_lines(spark, f"{data_root.rstrip('/')}/{dataset}/*/*", root=data_root)
-    facts = json_facts(sample_head(lines, sample) if sample > 0 else lines)
+    facts = json_facts(sample_head(lines, sample) if sample > 0 else lines, opaque=OPEN_MAPS)
     if existing is not None:
         prof = merge_schema(schemas.path_table(spark, {(dataset, ""): existing}).drop("dataset", "version"), facts)
     else:

@@ -81,3 +81,10 @@ def test_grouped_facts(spark):
     got = {(r["dataset"], r["path"]): r["type"] for r in P.merge_facts(P.json_facts(lines, by=("dataset",)),
                                                                        by=("dataset",)).collect()}
     assert got == {("works", "a"): "FLOAT", ("authors", "a"): "STRING"}
+
+
+def test_open_maps_stay_opaque(spark):
+    lines = spark.createDataFrame([(json.dumps({"id": "W1", "abstract_inverted_index": {"we": [0], "go": [1]}}),),
+                                   (json.dumps({"id": "W2", "abstract_inverted_index": None}),)], "value string")
+    got = {r["path"]: r["type"] for r in P.merge_facts(P.json_facts(lines, opaque=P.OPEN_MAPS)).collect()}
+    assert got == {"id": "STRING", "abstract_inverted_index": "STRING"}
