@@ -16,7 +16,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,10 +199,13 @@ OPEN_MAPS = ("abstract_inverted_index", "international")
 
 def profile_schema(lines: DataFrame, sample: int = 1000, value_col: str = "value",
                    by: tuple[str, ...] = (), file_col: str = "file",
-                   opaque: tuple[str, ...] = OPEN_MAPS) -> DataFrame:
+                   opaque: tuple[str, ...] = OPEN_MAPS, observation: Observation | None = None) -> DataFrame:
     """H1 + H2 + H3: first ``sample`` lines of every file, facts, lattice.
-    ``sample <= 0`` profiles every line."""
+    ``sample <= 0`` profiles every line.  An ``observation`` receives the
+    sampled-line total (G8) from the same pass."""
     src = sample_head(lines, sample, file_col) if sample and sample > 0 else lines
+    if observation is not None:
+        src = src.observe(observation, F.count(F.lit(1)).alias("sampled_lines"))
     return merge_facts(json_facts(src, value_col, by, opaque), by)
 
 

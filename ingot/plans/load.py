@@ -4,7 +4,7 @@ existing schema (H4), emit (H5/K7); resolve a schema (J5) and load strictly
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,15 @@ from ingot.sources.ndjson import read_lines
 
 
 def infer_schema(spark: SparkSession, dataset: str, data_root: str, sample: int = 1000,
-                 existing: T.StructType | None = None, out_path: str | None = None) -> T.StructType:
+                 existing: T.StructType | None = None, out_path: str | None = None,
+                 observation: Observation | None = None) -> T.StructType:
+    """H1-H5: sample every file, profile, merge into ``existing`` (only adds or
+    widens), emit (and write ``out_path``).  ``observation`` gets the sampled-line total (G8)."""
     lines = read_lines(spark, f"{data_root.rstrip('/')}/{dataset}/*/*", root=data_root)
-    facts = json_facts(sample_head(lines, sample) if sample > 0 else lines, opaque=OPEN_MAPS)
+    src = sample_head(lines, sample) if sample > 0 else lines
+    if observation is not None:
+        src = src.observe(observation, F.count(F.lit(1)).alias("sampled_lines"))
+    facts = json_facts(src, opaque=OPEN_MAPS)
     if existing is not None:
         prof = merge_schema(schemas.path_table(spark, {(dataset, ""): existing}).drop("dataset", "version"), facts)
     else:

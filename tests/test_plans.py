@@ -44,8 +44,11 @@ def test_convert_batches_and_skips_done_files(spark, tmp_path):
 def test_schema_infer_write_resolve_and_load(spark, tmp_path):
     data = str(tmp_path / "data")
     write_gz(os.path.join(data, "funders", "f1", "a.gz"), jl({"id": "F1", "n": "3", "tags": ["x"]}, {"id": "F2", "n": 4}))
-    st = infer_schema(spark, "funders", data, sample=1000)
+    from pyspark.sql import Observation
+    obs = Observation("sampled")
+    st = infer_schema(spark, "funders", data, sample=1000, observation=obs)
     assert st.simpleString() == "struct<id:string,n:bigint,tags:array<string>>"
+    assert obs.get["sampled_lines"] == 2
     sroot = str(tmp_path / "schemas")
     os.makedirs(os.path.join(sroot, "20260203"))
     os.makedirs(os.path.join(sroot, "20241125"))
