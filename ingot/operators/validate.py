@@ -74,3 +74,16 @@ def upload_tallies(new_rows: DataFrame, skipped: DataFrame, by: tuple[str, ...]
             .agg(F.count_if(F.col("status") == "OK").alias("uploaded_ok"),
                  F.count_if(F.col("status") == "FAIL").alias("upload_failed"),
                  F.count_if(F.col("status") == "SKIPPED").alias("skipped")))
+
+
+def ledger_tallies(merged: DataFrame, by: tuple[str, ...] = (), run_col: str = "run",
+                   this_run: str = "new") -> DataFrame:
+    """G7 over a merged ledger (U1) in one aggregate: OK / FAIL written by this run,
+    files skipped because an earlier run had them OK, and all ledger rows."""
+    new = F.col(run_col) == this_run
+    st = F.col("status")
+    return (merged.groupBy(*by)
+            .agg(F.count_if(new & (st == "OK")).alias("uploaded_ok"),
+                 F.count_if(new & (st == "FAIL")).alias("upload_failed"),
+                 F.count_if(~new & (st == "OK")).alias("skipped"),
+                 F.count(F.lit(1)).alias("ledger_rows")))

@@ -27,7 +27,7 @@ from ingot.operators.repair import (
 )
 from ingot.operators.selection import first_n, pending, select_batch
 from ingot.operators.strict import strict_parse, tolerant_report
-from ingot.operators.validate import count_lines, merge_ledger, upload_tallies, validate_counts, validate_summary
+from ingot.operators.validate import count_lines, ledger_tallies, merge_ledger, validate_counts, validate_summary
 from ingot.session import fs_rename, scratch_dir
 from ingot.sinks.ndjson import write_lines, write_ndjson
 from ingot.sinks.table import BadRecordLimitExceeded, publish_table, read_table
@@ -256,17 +256,15 @@ def q_pending_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ledger_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old ledger (labels) plus this run's statuses for the files still pending (U1),
+    tallied per source folder in one aggregate (G7)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    old = _ledger_from_labels(spark, sf_dir).join(docs.select(F.col("doc_id").alias("file"), "source"), "file")
+    old = (_ledger_from_labels(spark, sf_dir).join(docs.select(F.col("doc_id").alias("file"), "source"), "file")
+           .withColumn("run", F.lit("old")))
     todo = pending(docs, old, on="doc_id", done_status=("OK",), ledger_on="file")
     new = todo.select(F.col("doc_id").alias("file"), "source",
-                      F.when(F.col("lang") == "de", "FAIL").otherwise("OK").alias("status"))
-    skipped = old.where(F.col("status") == "OK")
-    tallies = upload_tallies(new, skipped, by=("source",))
-    rows = merge_ledger(old, new).groupBy("source").agg(F.count(F.lit(1)).alias("ledger_rows"))
-    return tallies.join(rows, "source", "full").select(
-        "source", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                    for c in ("uploaded_ok", "upload_failed", "skipped", "ledger_rows")])
+                      F.when(F.col("lang") == "de", "FAIL").otherwise("OK").alias("status"), F.lit("new").alias("run"))
+    return ledger_tallies(merge_ledger(old, new), by=("source",))
 
 
 # ------------------------------------------------------------ B1, W2, A7 ---

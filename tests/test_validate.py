@@ -88,3 +88,12 @@ def test_validate_all_prefers_converted_and_reports_overall(spark, tmp_path):
     assert not ok2 and "authors" in skipped2
     with pytest.raises(ValueError):
         validate_all(spark, ["nope"], "v1", str(conv), str(raw), str(tmp_path / "led"), PREFIX)
+
+
+def test_ledger_tallies(spark):
+    from ingot.operators.validate import ledger_tallies
+
+    old = spark.createDataFrame([("a", "OK", "old"), ("b", "FAIL", "old")], "file string, status string, run string")
+    new = spark.createDataFrame([("b", "OK", "new"), ("c", "FAIL", "new")], "file string, status string, run string")
+    t = ledger_tallies(old.unionByName(new)).first()
+    assert (t["uploaded_ok"], t["upload_failed"], t["skipped"], t["ledger_rows"]) == (1, 1, 1, 4)
