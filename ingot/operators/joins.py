@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Control tables (manifests, ledgers, folder lists) have one row per file or folder.
-BROADCAST_MAX_ROWS = 2_000_000
+# Control tables (manifests, ledgers, folder lists) have one row per file or folder,
+# ~100-200 bytes each: 200k rows keep a broadcast relation near 40 MB per executor.
+# A snapshot has thousands of files, so ledgers fit with a wide margin.
+BROADCAST_MAX_ROWS = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
