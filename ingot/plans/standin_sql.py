@@ -53,6 +53,14 @@ SELECT 'W' || o_orderkey AS id,
        '{"' || o_orderpriority || '":[0]}' AS abstract_json
 FROM orders LEFT JOIN li ON li.l_orderkey = o_orderkey
 LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+""",
+    "sources_convert": """
+SELECT 'S' || s_suppkey AS id,
+       CAST(CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END AS BIGINT) AS n_issn,
+       CAST(2 AS BIGINT) AS n_alternate_titles, CAST(1 AS BIGINT) AS n_apc_prices,
+       CAST(floor(s_acctbal) AS BIGINT) AS first_price, CAST(1 AS BIGINT) AS n_topics,
+       CAST(0 AS BIGINT) AS n_counts_by_year, CAST(0 AS BIGINT) AS n_lineage, true AS ids_issn_null
+FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey
 """,
     "ndjson_scan": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {TS}) AS o_orderdate,

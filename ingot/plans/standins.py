@@ -691,6 +691,54 @@ def q_works_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("abstract_inverted_index").alias("abstract_json"))
 
 
+# ---------------------------------------------------------- sources R10 ---
+def sources_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources-shaped raw records from supplier and nation: ``issn`` null for
+    negative balances, else with a null element; null elements in
+    ``alternate_titles``, ``apc_prices`` and ``topics``; ``counts_by_year`` and
+    ``host_organization_lineage`` null; a null array nested in ``ids``."""
+    sup = big_table(spark, sf_dir, "supplier")
+    nation = table(spark, sf_dir, "nation")  # 25 rows: proven broadcast bound
+    rec = sup.join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey, "left")
+    nul = F.lit(None).cast("string")
+    body = F.to_json(F.struct(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("id"),
+        F.col("s_name").alias("display_name"),
+        F.when(F.col("s_acctbal") < 0, F.lit(None).cast("array<string>"))
+        .otherwise(F.array(F.col("s_name"), nul)).alias("issn"),
+        F.array(F.col("n_name"), nul, F.col("s_name")).alias("alternate_titles"),
+        F.array(F.struct(F.floor("s_acctbal").cast("bigint").alias("price"), F.lit("USD").alias("currency")),
+                F.lit(None).cast("struct<price: bigint, currency: string>")).alias("apc_prices"),
+        F.array(F.struct(F.concat(F.lit("T"), F.col("n_regionkey").cast("string")).alias("id"),
+                         F.col("n_name").alias("display_name")),
+                F.lit(None).cast("struct<id: string, display_name: string>")).alias("topics"),
+        F.struct(F.lit(None).cast("array<string>").alias("issn"),
+                 F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("openalex")).alias("ids")))
+    line = F.concat(body.substr(F.lit(1), F.length(body) - 1),
+                    F.lit(',"counts_by_year":null,"host_organization_lineage":null}'))
+    return rec.select(line.alias("value"), F.concat(F.lit("updated_date="), F.col("n_regionkey").cast("string")).alias("folder"))
+
+
+def q_sources_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources conversion (R10 via the dataset registry) through the convert plan."""
+    from ingot.catalog import table_schema
+    from ingot.plans.convert import convert
+
+    root = scratch_dir(spark, "sources_convert")
+    write_lines(sources_records(spark, sf_dir), f"{root}/raw/sources", partition_by="folder")
+    convert(spark, "sources", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
+    w = read_records(spark, f"{root}/converted/sources", table_schema("sources"), root=f"{root}/converted/sources")
+    return w.select("id",
+                    F.size("issn").cast("bigint").alias("n_issn"),
+                    F.size("alternate_titles").cast("bigint").alias("n_alternate_titles"),
+                    F.size("apc_prices").cast("bigint").alias("n_apc_prices"),
+                    F.get("apc_prices", 0).getField("price").alias("first_price"),
+                    F.size("topics").cast("bigint").alias("n_topics"),
+                    F.size("counts_by_year").cast("bigint").alias("n_counts_by_year"),
+                    F.size("host_organization_lineage").cast("bigint").alias("n_lineage"),
+                    F.col("ids.issn").isNull().alias("ids_issn_null"))
+
+
 # -------------------------------------------------------------- flagship ---
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum slice end to end: orders (with their lineitems and an
@@ -748,6 +796,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_ingest": flagship,
     "works_convert": q_works_convert,
+    "sources_convert": q_sources_convert,
     "ndjson_scan": q_ndjson_scan,
     "ndjson_tolerant": q_ndjson_tolerant,
     "bad_record_report": q_bad_record_report,

@@ -41,7 +41,7 @@ def test_queries_match_oracle_small(spark):
     if not os.path.isdir(sf):
         return
     con = duckdb.connect()
-    for t in ("orders", "lineitem", "events", "documents", "labels", "customer", "nation"):
+    for t in ("orders", "lineitem", "events", "documents", "labels", "customer", "nation", "supplier"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for name in ("nested_array_repair", "pending_retry_failed", "text_reconstruct", "contract_check",
                  "quoted_numbers", "schema_profile"):
