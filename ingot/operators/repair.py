@@ -313,14 +313,33 @@ def repair(df: DataFrame, dataset: str, placeholders: bool = True, extra: list[R
     return df
 
 
+def with_hyphen_twins(dt: T.DataType, old: str = "_", new: str = "-") -> T.DataType:
+    """Add, at every depth, a twin field with ``_`` spelled ``-`` for each name that
+    has one, so raw hyphenated keys are parsed and R8 can fold them in."""
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(with_hyphen_twins(dt.elementType, old, new), dt.containsNull)
+    if isinstance(dt, T.StructType):
+        out = []
+        for f in dt.fields:
+            ft = with_hyphen_twins(f.dataType, old, new)
+            out.append(T.StructField(f.name, ft, True))
+            if old in f.name:
+                out.append(T.StructField(f.name.replace(old, new), ft, True))
+        return T.StructType(out)
+    return dt
+
+
 def read_schema(dataset: str) -> T.StructType:
     """Read schema derived from the table schema.
 
     Object-or-array unions (works ``apc_list``) are read as STRING so both shapes
     parse; open maps are already STRING in the table.  ``international`` is not
-    in any table schema, so it is never parsed (R9).
+    in any table schema, so it is never parsed (R9).  Datasets with the key
+    rename rule (R8) also read the hyphenated spelling of every underscore name.
     """
     target = table_schema(dataset)
+    if any(r.id == "R8" for r in rules_for(dataset)):
+        return with_hyphen_twins(target)
     if dataset != "works":
         return target
     fields = [T.StructField(f.name, T.StringType(), True) if f.name == "apc_list" else f for f in target.fields]

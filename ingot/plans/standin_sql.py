@@ -61,6 +61,13 @@ SELECT 'S' || s_suppkey AS id,
        CAST(floor(s_acctbal) AS BIGINT) AS first_price, CAST(1 AS BIGINT) AS n_topics,
        CAST(0 AS BIGINT) AS n_counts_by_year, CAST(0 AS BIGINT) AS n_lineage, true AS ids_issn_null
 FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey
+""",
+    "institutions_convert": """
+SELECT 'I' || c_custkey AS id, substr(n_name, 1, 2) AS country_code, c_custkey AS works_count,
+       'https://img/' || c_custkey AS image_url, substr(n_name, 1, 2) AS geo_country_code,
+       c_mktsegment AS geo_city, substr(n_name, 1, 2) AS assoc_country_code, n_name AS assoc_display_name,
+       'associated_institutions,country_code,display_name,geo,id,image_url,works_count' AS top_keys
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
 """,
     "ndjson_scan": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {TS}) AS o_orderdate,

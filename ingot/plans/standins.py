@@ -739,6 +739,50 @@ def q_sources_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ids.issn").isNull().alias("ids_issn_null"))
 
 
+# ------------------------------------------------------- institutions R8/R9 ---
+def institutions_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Institution-shaped raw records from customer and nation with hyphenated keys
+    at three depths (top level, inside ``geo``, inside ``associated_institutions[]``),
+    a collision (``image-url`` beside a stale ``image_url``) and an
+    ``international`` open map with hyphenated language keys."""
+    cust = big_table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")  # 25 rows: proven broadcast bound
+    rec = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left")
+    cid = F.col("c_custkey").cast("string")
+    cc = F.substring("n_name", 1, 2)
+    body = F.to_json(F.struct(
+        F.concat(F.lit("I"), cid).alias("id"), F.col("c_name").alias("display_name"),
+        cc.alias("country-code"), F.col("c_custkey").alias("works-count"),
+        F.concat(F.lit("https://img/"), cid).alias("image-url"), F.lit("stale").alias("image_url"),
+        F.struct(cc.alias("country-code"), F.col("c_mktsegment").alias("city")).alias("geo"),
+        F.array(F.struct(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("id"),
+                         cc.alias("country-code"), F.col("n_name").alias("display-name"))).alias("associated_institutions"),
+        F.struct(F.struct(F.col("c_name").alias("zh-cn"), F.col("n_name").alias("pt-br")).alias("display_name"))
+        .alias("international")))
+    return rec.select(body.alias("value"), F.concat(F.lit("updated_date="), F.col("c_mktsegment")).alias("folder"))
+
+
+def q_institutions_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The institutions conversion (R8 rename at every depth, R9 drop of the top-level
+    ``international``) through the dataset registry and the convert plan."""
+    from ingot.catalog import table_schema
+    from ingot.plans.convert import convert
+
+    root = scratch_dir(spark, "institutions_convert")
+    write_lines(institutions_records(spark, sf_dir), f"{root}/raw/institutions", partition_by="folder")
+    convert(spark, "institutions", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
+    conv = f"{root}/converted/institutions"
+    w = read_records(spark, conv, table_schema("institutions"), root=conv)
+    keys = read_lines(spark, conv, root=conv).select(
+        F.get_json_object("value", "$.id").alias("id"),
+        F.array_join(F.sort_array(F.json_object_keys("value")), ",").alias("top_keys"))
+    first = F.get("associated_institutions", 0)
+    return w.join(keys, "id").select(
+        "id", "country_code", "works_count", "image_url", F.col("geo.country_code").alias("geo_country_code"),
+        F.col("geo.city").alias("geo_city"), first.getField("country_code").alias("assoc_country_code"),
+        first.getField("display_name").alias("assoc_display_name"), "top_keys")
+
+
 # -------------------------------------------------------------- flagship ---
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum slice end to end: orders (with their lineitems and an
@@ -797,6 +841,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_ingest": flagship,
     "works_convert": q_works_convert,
     "sources_convert": q_sources_convert,
+    "institutions_convert": q_institutions_convert,
     "ndjson_scan": q_ndjson_scan,
     "ndjson_tolerant": q_ndjson_tolerant,
     "bad_record_report": q_bad_record_report,

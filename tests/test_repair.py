@@ -158,3 +158,15 @@ def test_r18_reconstruct(spark):
         "id string, abstract_inverted_index string")
     out = {r["id"]: r["abstract"] for r in UNWIRED["R18"](df, Ctx("works", table_schema("works"))).collect()}
     assert out == {"a": "we can we go", "b": "we can  go", "c": None, "d": None, "e": " y", "f": "a b"}
+
+
+def test_institutions_read_schema_parses_hyphenated_keys(spark):
+    rec = {"id": "I1", "country-code": "US", "image-url": "new", "image_url": "stale",
+           "geo": {"country-code": "FR"}, "associated_institutions": [{"country-code": "DE", "display-name": "x"}],
+           "international": {"display_name": {"zh-cn": "y"}}}
+    lines = spark.createDataFrame([(json.dumps(rec),)], "value string")
+    df = repair(parse_records(lines, read_schema("institutions"), keep=()), "institutions")
+    r = df.first()
+    assert (r["country_code"], r["image_url"], r["geo"]["country_code"]) == ("US", "new", "FR")
+    assert r["associated_institutions"][0]["display_name"] == "x"
+    assert "international" not in df.columns and "country-code" not in df.columns
