@@ -772,15 +772,15 @@ def q_institutions_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_lines(institutions_records(spark, sf_dir), f"{root}/raw/institutions", partition_by="folder")
     convert(spark, "institutions", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
     conv = f"{root}/converted/institutions"
-    w = read_records(spark, conv, table_schema("institutions"), root=conv)
-    keys = read_lines(spark, conv, root=conv).select(
-        F.get_json_object("value", "$.id").alias("id"),
-        F.array_join(F.sort_array(F.json_object_keys("value")), ",").alias("top_keys"))
+    lines = read_lines(spark, conv, root=conv).withColumnRenamed("value", "line").withColumn("value", F.col("line"))
+    # one parse per line; the raw line is kept alongside to list its top-level keys
+    w = parse_records(lines, table_schema("institutions"), keep=("line",))
     first = F.get("associated_institutions", 0)
-    return w.join(keys, "id").select(
+    return w.select(
         "id", "country_code", "works_count", "image_url", F.col("geo.country_code").alias("geo_country_code"),
         F.col("geo.city").alias("geo_city"), first.getField("country_code").alias("assoc_country_code"),
-        first.getField("display_name").alias("assoc_display_name"), "top_keys")
+        first.getField("display_name").alias("assoc_display_name"),
+        F.array_join(F.sort_array(F.json_object_keys("line")), ",").alias("top_keys"))
 
 
 # -------------------------------------------------------------- flagship ---
