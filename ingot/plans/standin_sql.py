@@ -282,6 +282,10 @@ SELECT path, change, old_type, new_type, old_mode, new_mode FROM (
   UNION ALL SELECT 'user_id', 'type_changed', 'INTEGER', 'STRING', 'NULLABLE', 'NULLABLE'
   UNION ALL SELECT 'code', 'type_changed', 'STRING', 'INTEGER', 'NULLABLE', 'NULLABLE'
 ), e WHERE e.n > 0 AND NOT (path = 'code' AND e.all_view)
+""",
+    "unknown_paths": """
+SELECT 'channel' AS path, count(*) AS n FROM events
+UNION ALL SELECT 'props.key', count(*) FROM events
 """,
     "schema_resolve": """
 WITH cat AS (

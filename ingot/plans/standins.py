@@ -534,6 +534,16 @@ def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.drift(old, new).select("path", "change", "old_type", "new_type", "old_mode", "new_mode")
 
 
+def q_unknown_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested unknown fields (K4): the schema inferred from generation-1 event
+    records, checked against generation-2 records at every depth."""
+    from ingot.operators.strict import unknown_paths
+
+    ev = spread(table(spark, sf_dir, "events"))
+    schema = prof.to_struct(prof.merge_facts(prof.json_facts(ev.select(_event_json(1).alias("value")))))
+    return unknown_paths(ev.select(_event_json(2).alias("value")), schema)
+
+
 # ------------------------------------------------------------------- J5 ---
 def schema_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A schema catalog derived from events: dataset = event type, version = day,
@@ -874,6 +884,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_merge": q_schema_merge,
     "schema_drift": q_schema_drift,
     "schema_resolve": q_schema_resolve,
+    "unknown_paths": q_unknown_paths,
     "table_publish": q_table_publish,
     "intake_stream": q_intake_stream,
 }
