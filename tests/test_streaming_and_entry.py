@@ -53,3 +53,15 @@ def test_queries_match_oracle_small(spark):
         exp = sorted(tuple(str(r[i]) for i in order) for r in res.fetchall())
         assert len(got) == len(exp), name
         assert sorted(df.columns) == sorted(cols), name
+
+
+def test_intake_rerun_without_new_files_is_a_no_op(spark, tmp_path):
+    land, ck, tbl, led = (str(tmp_path / x) for x in ("land", "ck", "tbl", "led"))
+    write_gz(os.path.join(land, "f1", "a.gz"), jl({"i": 1}))
+    write_gz(os.path.join(land, "f1", "b.gz"), jl({"i": 2}))
+    q = stream_intake(spark, land, ck, ndjson_table_handler(SCHEMA, tbl, led, run=1), max_files_per_trigger=1)
+    q.awaitTermination()
+    assert spark.read.parquet(tbl).select("batch").distinct().count() == 2  # one file per micro-batch
+    stream_intake(spark, land, ck, ndjson_table_handler(SCHEMA, tbl, led, run=2)).awaitTermination()
+    t = spark.read.parquet(tbl)
+    assert t.count() == 2 and t.where("run = 2").count() == 0
