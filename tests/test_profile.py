@@ -88,3 +88,18 @@ def test_open_maps_stay_opaque(spark):
                                    (json.dumps({"id": "W2", "abstract_inverted_index": None}),)], "value string")
     got = {r["path"]: r["type"] for r in P.merge_facts(P.json_facts(lines, opaque=P.OPEN_MAPS)).collect()}
     assert got == {"id": "STRING", "abstract_inverted_index": "STRING"}
+
+
+def test_merge_is_associative(spark):
+    docs = [{"x": 1}, {"x": "a", "y": [1]}, {"x": 2.5, "y": {"z": True}}]
+    fs = [P.json_facts(spark.createDataFrame([(json.dumps(d),)], "value string")) for d in docs]
+
+    def merged(df):
+        return {tuple(r) for r in P.merge_facts(df).select("path", "type", "mode").collect()}
+
+    left = merged(fs[0].unionByName(fs[1]).unionByName(fs[2]))
+    right = merged(fs[0].unionByName(fs[1].unionByName(fs[2])))
+    assert left == right
+    # merging a merged schema (as facts) with the rest gives the same result as all at once
+    first_two = P.merge_facts(fs[0].unionByName(fs[1])).select("path", "type", "mode")
+    assert {tuple(r) for r in P.merge_schema(first_two, fs[2]).select("path", "type", "mode").collect()} == left
