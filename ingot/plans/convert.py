@@ -1,7 +1,7 @@
 """``convert <dataset> [START-END]`` as one Spark job (section 3.1).
 
 listing -> batch range (B1) -> skip files already converted (B6/J4, ledger) ->
-tolerant scan (A1) -> repair rules (R*) -> gzip NDJSON by folder (K1) -> ledger (K5).
+tolerant scan (A1) -> repair rules (R*) -> gzip NDJSON by folder and source file (K1) -> ledger (K5).
 Every rule is row-local: the job is map-only, one task per input file.
 """
 
@@ -48,15 +48,17 @@ def convert(spark: SparkSession, dataset: str, version: str, raw_root: str, out_
         return {"files": n_files, "skipped": n_files, "records": 0, "dropped": 0}
     obs = Observation(f"convert_{dataset}_{batch_id}")
     lines = read_lines(spark, [r["path"] for r in rows], root=src)
-    recs = parse_records(lines, read_schema(dataset), "tolerant", obs, keep=("folder",))
+    recs = parse_records(lines, read_schema(dataset), "tolerant", obs, keep=("folder", "rel_path"))
     fixed = repair(recs, dataset, placeholders)
-    # Output of this file set goes to its own ``run=<key>`` partition, replaced with
-    # dynamic overwrite: if the job dies after the write but before the ledger
-    # append, the rerun picks the same files, gets the same key and replaces the
-    # partial output instead of duplicating it.
-    key = run_key([r["rel_path"] for r in rows])
-    write_ndjson(fixed.withColumn("run", F.lit(key)), f"{out_root.rstrip('/')}/{dataset}",
-                 partition_by=["folder", "run"], mode="overwrite", keep_nulls=keep_nulls)
+    # Each input file's records go to their own ``folder=<f>/file=<name>`` partition
+    # (a gzip file is one task, so one output file each, no shuffle).  File identity
+    # survives for validation against the manifest, and dynamic overwrite makes a
+    # rerun replace a file's output: if the job dies after the write but before the
+    # ledger append, nothing is duplicated.
+    name = F.when(F.col("folder") == "", F.col("rel_path")).otherwise(F.expr("substring(rel_path, length(folder) + 2)"))
+    out = fixed.withColumn("file", name).drop("rel_path")
+    write_ndjson(out, f"{out_root.rstrip('/')}/{dataset}", partition_by=["folder", "file"], mode="overwrite",
+                 keep_nulls=keep_nulls)
     m = obs.get
     # The ledger marks files done (the skip-existing memory); totals come from the
     # same-pass observation, so no second scan of the input is needed.

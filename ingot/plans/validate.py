@@ -13,6 +13,7 @@ from ingot.sources.ledger import append_ledger, latest_status, read_ledger
 from ingot.sources.listing import list_files
 from ingot.sources.manifest import read_manifest
 from ingot.sources.ndjson import read_lines
+from ingot.sources.paths import logical_rel_path, qualify
 
 
 def validate_dataset(spark: SparkSession, dataset: str, version: str, data_root: str, manifest_path: str,
@@ -24,12 +25,17 @@ def validate_dataset(spark: SparkSession, dataset: str, version: str, data_root:
     ledger = read_ledger(spark, ledger_root, "validation", version, dataset)
     if recheck_failed:
         ledger = ledger.where(F.col("status") == "OK")
+    ds_root = qualify(spark, f"{data_root.rstrip('/')}/{dataset}")
+    # raw files keep their names; converted output maps back through folder=/file= partitions
     existing = list_files(spark, f"{data_root.rstrip('/')}/{dataset}").select(
-        "path", F.concat(F.lit(dataset + "/"), F.col("rel_path")).alias("rel_path"))
+        "path", F.concat(F.lit(dataset + "/"), logical_rel_path(F.col("path"), ds_root)).alias("rel_path"))
     todo = pending(manifest.join(existing, "rel_path", "inner"), ledger, on="rel_path", ledger_on="file")
     paths = [r["path"] for r in todo.select("path").collect()]  # file names, bounded by the manifest
+    todo = todo.select("rel_path", "expected").distinct()
     if paths:
-        counts = count_lines(read_lines(spark, paths, root=data_root), key="rel_path")
+        lines = read_lines(spark, paths).withColumn(
+            "rel_path", F.concat(F.lit(dataset + "/"), logical_rel_path(F.col("file"), ds_root)))
+        counts = count_lines(lines, key="rel_path")
         # start from the pending files, not from their lines: an empty file counts 0
         new = (todo.select("rel_path", "expected").join(counts, "rel_path", "left")
                .select(F.col("rel_path").alias("file"), F.coalesce("actual", F.lit(0)).cast("bigint").alias("actual"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.sources.paths import normalize
+from ingot.sources.paths import metadata_path
 
 MANIFEST_DDL = ("meta struct<record_count: bigint>, "
                 "entries array<struct<url: string, meta: struct<record_count: bigint>>>")
@@ -27,7 +27,7 @@ def read_manifest(spark: SparkSession, paths: str | list[str], url_prefix: str =
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.option("multiLine", True).schema(MANIFEST_DDL).json(paths)
-           .select("*", normalize(F.col("_metadata.file_path")).alias("_mf")))
+           .select("*", metadata_path(F.col("_metadata.file_path")).alias("_mf")))
     return (raw.select(F.regexp_extract("_mf", r"([^/]+)/[^/]+$", 1).alias("dataset"),
                        F.col("meta.record_count").alias("total"),
                        F.explode_outer("entries").alias("e"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot.functions.jsonf import is_blank, is_json_object
-from ingot.sources.paths import first_component, normalize, qualify, relative_to
+from ingot.sources.paths import first_component, metadata_path, qualify, relative_to
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], root: str | None = None) -> DataFrame:
@@ -26,7 +26,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], root: str | None = N
     paths = [paths] if isinstance(paths, str) else list(paths)
     # recursive lookup: no partition inference, so roots with different layouts mix freely
     df = spark.read.option("recursiveFileLookup", "true").text(paths)
-    file_col = normalize(F.col("_metadata.file_path"))
+    file_col = metadata_path(F.col("_metadata.file_path"))
     base = root if root is not None else None
     out = df.select(
         "value",

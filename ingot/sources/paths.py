@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def qualify(spark: SparkSession, path: str) -> str:
-    """Fully qualified URI of a path (``file:/...``, ``hdfs://...``, ``s3a://...``)."""
+    """Fully qualified path (``file:/...``, ``hdfs://...``, ``s3a://...``), in the
+    plain (not percent-encoded) form that listings report."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return str(fs.makeQualified(p).toUri().toString()).rstrip("/")
+    return str(fs.makeQualified(p).toString()).rstrip("/")
 
 
 def normalize(c: Column) -> Column:
@@ -19,6 +20,12 @@ def normalize(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:/+", "file:/")
 
 
+def metadata_path(c: Column) -> Column:
+    """``_metadata.file_path`` is a percent-encoded URI; decode it to the plain path
+    that listings report (``+`` is legal in a URI path, so keep it literal)."""
+    return normalize(F.url_decode(F.regexp_replace(c, r"\+", "%2B")))
+
+
 def relative_to(path: Column, root: str) -> Column:
     """Path relative to ``root`` (a qualified URI); the full path when outside it."""
     root_n = root.replace("file:///", "file:/")
@@ -39,3 +46,17 @@ def parent_dir(rel: Column) -> Column:
 
 def base_name(c: Column) -> Column:
     return F.substring_index(c, "/", -1)
+
+
+def logical_rel_path(path: Column, root: str) -> Column:
+    """Relative path of the *source* file a converted output file stands for.
+
+    Converted output is laid out as ``<root>/folder=<f>/file=<name>/part-*`` (Hive
+    escaping applied to the values); that maps back to ``<f>/<name>``.  Any other
+    path maps to its plain relative path.
+    """
+    p = normalize(path)
+    pat = r"/folder=([^/]*)/file=([^/]*)/[^/]*$"
+    folder = F.url_decode(F.regexp_extract(p, pat, 1))
+    name = F.url_decode(F.regexp_extract(p, pat, 2))
+    return F.when(p.rlike(pat), F.concat(folder, F.lit("/"), name)).otherwise(relative_to(path, root))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ingot.functions.jsonf import is_blank, is_json_object
-from ingot.sources.paths import first_component, normalize, qualify, relative_to
+from ingot.sources.paths import first_component, metadata_path, qualify, relative_to
 
 
 def stream_lines(spark: SparkSession, root: str, glob: str = "*/*", max_files_per_trigger: int | None = None,
@@ -29,8 +29,8 @@ def stream_lines(spark: SparkSession, root: str, glob: str = "*/*", max_files_pe
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = qualify(spark, root)
     df = r.load(f"{root.rstrip('/')}/{glob}")
-    rel = relative_to(normalize(F.col("_metadata.file_path")), q)
-    return df.select("value", normalize(F.col("_metadata.file_path")).alias("file"),
+    rel = relative_to(metadata_path(F.col("_metadata.file_path")), q)
+    return df.select("value", metadata_path(F.col("_metadata.file_path")).alias("file"),
                      rel.alias("rel_path"), first_component(rel).alias("folder"))
 
 
