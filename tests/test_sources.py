@@ -121,3 +121,16 @@ def test_ndjson_dynamic_overwrite_keeps_other_folders(spark, tmp_path):
     assert back == {("a", 9), ("b", 2)}
     # nulls are written explicitly by default
     assert '"x":null' in spark.read.text(out).first()["value"]
+
+
+def test_odd_file_names_map_between_listing_and_scan(spark, tmp_path):
+    """Listings report plain paths, _metadata.file_path is percent-encoded; both must
+    give the same relative path for names with '+', spaces, '%' and '='."""
+    root = tmp_path / "odd"
+    names = ["a+b.gz", "c d.gz", "e%20f.gz", "k=v/g.gz"]
+    for n in names:
+        write_gz(str(root / "works" / n), jl({"id": n}))
+    listed = sorted(r["rel_path"] for r in list_files(spark, str(root / "works")).collect())
+    scanned = sorted(r["rel_path"] for r in read_lines(spark, str(root / "works"), root=str(root / "works"))
+                     .select("rel_path").distinct().collect())
+    assert listed == scanned == sorted(names)
