@@ -65,7 +65,8 @@ def field_from_json(f: dict) -> T.StructField:
         raise ValueError(f"unsupported type {typ} for field {f.get('name')}")
     if mode == "REPEATED":
         dt = T.ArrayType(dt, containsNull=False)
-    return T.StructField(f["name"], dt, nullable=(mode != "REQUIRED"))
+    meta = {"description": f["description"]} if "description" in f else None
+    return T.StructField(f["name"], dt, nullable=(mode != "REQUIRED"), metadata=meta)
 
 
 def struct_from_json(fields: list | str) -> T.StructType:
@@ -80,6 +81,8 @@ def field_to_json(f: T.StructField, sort: bool = True) -> dict:
     if isinstance(dt, T.ArrayType):
         dt, mode = dt.elementType, "REPEATED"
     out = {"name": f.name, "type": _scalar_name(dt), "mode": mode}
+    if f.metadata and "description" in f.metadata:
+        out["description"] = f.metadata["description"]
     if isinstance(dt, T.StructType):
         out["fields"] = struct_to_json(dt, sort)
     return out

@@ -103,3 +103,12 @@ def test_merge_is_associative(spark):
     # merging a merged schema (as facts) with the rest gives the same result as all at once
     first_two = P.merge_facts(fs[0].unionByName(fs[1])).select("path", "type", "mode")
     assert {tuple(r) for r in P.merge_schema(first_two, fs[2]).select("path", "type", "mode").collect()} == left
+
+
+def test_schema_file_roundtrip_keeps_description(spark):
+    text = json.dumps([{"name": "d", "type": "DATE", "mode": "NULLABLE", "description": "%E4Y-%m-%d"},
+                       {"name": "r", "type": "RECORD", "mode": "REPEATED",
+                        "fields": [{"name": "x", "type": "INTEGER", "mode": "REQUIRED"}]}])
+    st = schemas.struct_from_json(text)
+    assert st["r"].dataType.elementType["x"].nullable is False
+    assert json.loads(schemas.dumps(st)) == json.loads(text)
