@@ -76,3 +76,27 @@ def load_all(spark: SparkSession, datasets: list[str], version: str, converted_r
 
 def table_frame(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
+
+
+def infer_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,
+              schemas_root: str, sample: int = 1000) -> tuple[dict[str, T.StructType], list[str]]:
+    """``schema <dataset...|all>``: per dataset, converted data if present else raw
+    (A9), a sample of every file profiled, merged into the existing
+    ``<schemas_root>/<version>/<dataset>.schema.json`` if there is one (H4), and
+    the file replaced through a temporary name (K7).  Datasets without data are
+    skipped and returned."""
+    from ingot.catalog import check_datasets
+    from ingot.session import fs_exists
+    from ingot.sources.listing import choose_source
+    from ingot.sources.schema_files import read_schema_file
+
+    out, skipped = {}, []
+    for ds in check_datasets(datasets):
+        src = choose_source(spark, f"{converted_root.rstrip('/')}/{ds}", f"{raw_root.rstrip('/')}/{ds}")
+        if src is None:
+            skipped.append(ds)
+            continue
+        path = f"{schemas_root.rstrip('/')}/{version}/{ds}.schema.json"
+        existing = read_schema_file(spark, path) if fs_exists(spark, path) else None
+        out[ds] = infer_schema(spark, ds, src.rstrip("/").rsplit("/", 1)[0], sample, existing, path)
+    return out, skipped

@@ -122,3 +122,18 @@ def test_converted_files_validate_against_the_manifest(spark, tmp_path):
     # rerunning the conversion of the same files replaces, never duplicates
     convert(spark, "works", "v1", raw, conv, str(tmp_path / "led_again"))
     assert spark.read.text(os.path.join(conv, "works")).count() == 3
+
+
+def test_infer_all_prefers_converted_and_merges(spark, tmp_path):
+    from ingot.plans.load import infer_all
+
+    raw, conv, sroot = str(tmp_path / "raw"), str(tmp_path / "conv"), str(tmp_path / "schemas")
+    write_gz(os.path.join(raw, "topics", "f", "a.gz"), jl({"id": "T1", "n": 1}))
+    write_gz(os.path.join(conv, "topics", "f", "a.gz"), jl({"id": "T1", "n": 1.5}))
+    got, skipped = infer_all(spark, ["topics", "fields"], "v1", conv, raw, sroot)
+    assert skipped == ["fields"] and got["topics"].simpleString() == "struct<id:string,n:double>"
+    # a later snapshot adds a field: the existing file is merged, never narrowed
+    write_gz(os.path.join(conv, "topics", "f", "a.gz"), jl({"id": "T2", "extra": True}))
+    got2, _ = infer_all(spark, ["topics"], "v1", conv, raw, sroot)
+    assert got2["topics"].simpleString() == "struct<extra:boolean,id:string,n:double>"
+    assert os.path.exists(os.path.join(sroot, "v1", "topics.schema.json"))
