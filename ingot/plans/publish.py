@@ -40,3 +40,22 @@ def publish_files(spark: SparkSession, dataset: str, version: str, src_root: str
         append_ledger(new, ledger_root, "upload", version, dataset, batch_id)
     skipped = files.join(ledger.where("status = 'OK'").select(F.col("file").alias("rel_path")), "rel_path", "left_semi")
     return upload_tallies(new, skipped)
+
+
+def publish_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,
+                dest_root: str, ledger_root: str, max_files: int = 0, batch_id: int = 0):
+    """``upload <dataset...|all> [-m N]``: per dataset, converted data if present else
+    raw (A9), then the ledger-driven publish.  Returns (tallies per dataset, skipped)."""
+    from ingot.catalog import check_datasets
+    from ingot.sources.listing import choose_source
+
+    tallies, skipped = None, []
+    for ds in check_datasets(datasets):
+        src = choose_source(spark, f"{converted_root.rstrip('/')}/{ds}", f"{raw_root.rstrip('/')}/{ds}")
+        if src is None:
+            skipped.append(ds)
+            continue
+        t = publish_files(spark, ds, version, src.rstrip("/").rsplit("/", 1)[0], dest_root, ledger_root,
+                          max_files, batch_id).select(F.lit(ds).alias("dataset"), "*")
+        tallies = t if tallies is None else tallies.unionByName(t)
+    return tallies, skipped

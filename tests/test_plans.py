@@ -137,3 +137,15 @@ def test_infer_all_prefers_converted_and_merges(spark, tmp_path):
     got2, _ = infer_all(spark, ["topics"], "v1", conv, raw, sroot)
     assert got2["topics"].simpleString() == "struct<extra:boolean,id:string,n:double>"
     assert os.path.exists(os.path.join(sroot, "v1", "topics.schema.json"))
+
+
+def test_publish_all_over_datasets(spark, tmp_path):
+    from ingot.plans.publish import publish_all
+
+    raw, conv = str(tmp_path / "raw"), str(tmp_path / "conv")
+    write_gz(os.path.join(raw, "topics", "f", "a.gz"), jl({"i": 1}))
+    write_gz(os.path.join(conv, "works", "f", "a.gz"), jl({"i": 2}))
+    t, skipped = publish_all(spark, ["topics", "works", "fields"], "v1", conv, raw, str(tmp_path / "dest"),
+                             str(tmp_path / "led"), max_files=5)
+    assert skipped == ["fields"]
+    assert {r["dataset"]: r["uploaded_ok"] for r in t.collect()} == {"topics": 1, "works": 1}
