@@ -90,18 +90,29 @@ def with_reconstructed_text(df: DataFrame, index, out: str = "text", is_json: bo
     else:
         d = df.withColumn(m, idx).withColumn(ln, length if length is not None else F.lit(None).cast("int"))
     M = F.col(m)
-    flat = F.flatten(F.transform(F.map_entries(M), lambda e, k: F.transform(
-        e.getField("value"), lambda p: F.struct(p.alias("pos"), k.alias("kidx"), e.getField("key").alias("word")))))
-    d = d.withColumn(srt, F.sort_array(flat))
+    # Each (position, key index) is one long: position in the high bits, key index in
+    # the low 31.  Sorting a primitive array orders by position, then by key order,
+    # so "the later key wins" is "keep the last code of each position"; the word is
+    # looked up by index in the projected key array.
+    keys = _tmp("keys")
+    d = d.withColumn(keys, F.map_keys(M))
+    codes = F.flatten(F.transform(F.map_values(M), lambda v, k: F.transform(
+        v, lambda p: F.shiftleft(p.cast("long"), 31) + k.cast("long"))))
+    d = d.withColumn(srt, F.sort_array(codes))
     O = F.col(srt)
     last_i = F.size(O) - 1
-    d = d.withColumn(kept, F.filter(O, lambda x, i: (i == last_i) | (F.get(O, i + 1).getField("pos") != x.getField("pos"))))
-    K = F.col(kept)
+
+    def pos(x):
+        return F.shiftright(x, 31)
+
+    d = d.withColumn(kept, F.filter(O, lambda x, i: (i == last_i) | (pos(F.get(O, i + 1)) != pos(x))))
+    K, KEYS = F.col(kept), F.col(keys)
     pieces = F.transform(K, lambda x, i: F.concat(
-        F.repeat(F.lit(" "), x.getField("pos") - F.when(i == 0, F.lit(-1)).otherwise(F.get(K, i - 1).getField("pos")) - 1),
-        x.getField("word")))
-    last_pos = F.get(K, F.size(K) - 1).getField("pos")
-    tail = F.repeat(F.lit(" "), F.greatest(F.coalesce(F.col(ln), last_pos + 1) - last_pos - 1, F.lit(0)))
+        F.repeat(F.lit(" "), (pos(x) - F.when(i == 0, F.lit(-1)).otherwise(pos(F.get(K, i - 1))) - 1).cast("int")),
+        F.get(KEYS, (x - F.shiftleft(pos(x), 31)).cast("int"))))
+    last_pos = pos(F.get(K, F.size(K) - 1))
+    tail = F.repeat(F.lit(" "), F.greatest(F.coalesce(F.col(ln).cast("long"), last_pos + 1) - last_pos - 1,
+                                           F.lit(0).cast("long")).cast("int"))
     text = F.when(M.isNull() | (F.size(M) == 0), F.lit(None).cast("string")).otherwise(
         F.concat(F.array_join(pieces, " "), tail))
-    return d.withColumn(out, text).drop(m, ln, srt, kept)
+    return d.withColumn(out, text).drop(m, ln, srt, kept, keys)
