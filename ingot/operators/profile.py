@@ -23,6 +23,17 @@ from pyspark.sql import types as T
 from ingot import schemas
 from ingot.operators.selection import sample_head
 
+# Ship this module's walker with the task (pickled by value), so Python workers
+# need no installed copy of the package: executors only see what the task carries.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: the package must be installed on workers
+    pass
+
 FACT_DDL = "path string, kind string, repeated boolean, n bigint"
 FACT_SCHEMA = pa.schema([("path", pa.string()), ("kind", pa.string()), ("repeated", pa.bool_()), ("n", pa.int64())])
 
