@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ingot.llm.common import table
 from ingot.llm.decontaminate import contamination
+from ingot.llm.neardup import near_duplicates
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -14,8 +15,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
 }
 
 _WORDS = f"regexp_extract_all({LOWER.format('coalesce(text, chr(32))')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
