@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ingot.llm.common import table
 from ingot.llm.decontaminate import contamination
 from ingot.llm.neardup import near_duplicates
+from ingot.llm.toxicity import toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -15,12 +16,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
 }
 
