@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ingot.llm.common import table
 from ingot.llm.decontaminate import contamination
+from ingot.llm.mixing import mixture
 from ingot.llm.neardup import near_duplicates
 from ingot.llm.toxicity import toxicity
 
@@ -16,6 +17,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -26,6 +31,7 @@ def op8_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op4_entropy_mixing": op4_entropy_mixing,
     "op5_toxicity": op5_toxicity,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
 }
