@@ -8,6 +8,7 @@ from ingot.llm.common import table
 from ingot.llm.decontaminate import contamination
 from ingot.llm.mixing import mixture
 from ingot.llm.neardup import near_duplicates
+from ingot.llm.tokens import token_table
 from ingot.llm.toxicity import toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -17,6 +18,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_table(table(spark, sf_dir, "documents"))
+
+
 def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
@@ -31,6 +36,7 @@ def op8_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_token_shards": op3_token_shards,
     "op4_entropy_mixing": op4_entropy_mixing,
     "op5_toxicity": op5_toxicity,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
