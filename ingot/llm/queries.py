@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ingot.llm.common import table
+from ingot.llm.counts import token_counts
 from ingot.llm.decontaminate import contamination
+from ingot.llm.exact import exact_duplicates
 from ingot.llm.mixing import mixture
 from ingot.llm.neardup import near_duplicates
+from ingot.llm.sharding import shards
 from ingot.llm.tokens import token_table
 from ingot.llm.toxicity import toxicity
+from ingot.llm.urls import RULES, SOFT, STRICT, judge
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -30,20 +34,46 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"), 24)
+
+
+def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_shards": op3_token_shards,
     "op4_entropy_mixing": op4_entropy_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_grace_exact_dedup": op6_grace_exact_dedup,
+    "op7_trie_token_counts": op7_trie_token_counts,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
+    "op9_prefix_sum_shards": op9_prefix_sum_shards,
+    "op10_url_vocabulary": op10_url_vocabulary,
 }
 
 _WORDS = f"regexp_extract_all({LOWER.format('coalesce(text, chr(32))')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+_HIT = "regexp_matches(u, '(^|[^a-z0-9])({})([^a-z0-9]|$)')"
+_FITS = "((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+_BY_LENGTH = sorted(RULES, key=lambda r: (-len(r[0] + r[1]), -len(r[0])))
+_RULE = "CASE " + " ".join(f"WHEN {_FITS.format(h=h, p=p)} THEN '{h}{p}'" for h, p, _ in _BY_LENGTH) + " END"
+_VERDICT = "CASE rule " + " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in _BY_LENGTH)
+
 SQL = {
     "op1_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -59,4 +89,16 @@ m AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op6_grace_exact_dedup": """
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS s FROM documents),
+g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY s ORDER BY points DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(s) AS text_sha256 FROM g""",
+    "op10_url_vocabulary": f"""
+WITH h AS (SELECT page_id, {LOWER.format("coalesce(url, '')")} AS u,
+                  {LOWER.format("coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')")} AS host,
+                  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT *, {_RULE} AS rule, {" + ".join(f"CAST({_HIT.format(t)} AS BIGINT)" for t in STRICT)} AS n_strict,
+             {" + ".join(f"CAST({_HIT.format(t)} AS BIGINT)" for t in SOFT)} AS n_soft FROM h)
+SELECT page_id, host, path, rule, {_VERDICT} ELSE CASE WHEN n_strict >= 1 OR n_soft >= 2 THEN 'block' ELSE 'allow' END END AS verdict,
+       n_strict, n_soft FROM r""",
 }
