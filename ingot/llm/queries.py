@@ -11,6 +11,7 @@ from ingot.llm.exact import exact_duplicates
 from ingot.llm.mixing import mixture
 from ingot.llm.neardup import near_duplicates
 from ingot.llm.sharding import shards
+from ingot.llm.suffixes import dedup
 from ingot.llm.tokens import token_table
 from ingot.llm.toxicity import toxicity
 from ingot.llm.urls import RULES, SOFT, STRICT, judge
@@ -22,6 +23,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup(table(spark, sf_dir, "documents"), 100)
+
+
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_shards": op3_token_shards,
     "op4_entropy_mixing": op4_entropy_mixing,
     "op5_toxicity": op5_toxicity,
