@@ -194,4 +194,4 @@ def keep_one(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id", b
     """``docs`` with the same columns: of each group of equal texts the kept row."""
     name = fresh(docs, "_dropped")
     gone = exact_duplicates(docs, text_col, doc_col, budget).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col(doc_col) == F.col(name), "left_anti")
+    return docs.hint("merge").join(gone, F.col(doc_col) == F.col(name), "left_anti")
