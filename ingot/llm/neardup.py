@@ -165,7 +165,8 @@ def links(nodes: DataFrame, docs: DataFrame, percent: int, n: int, block_weight:
     tasks = (dealt.join(parts, "component").withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
              .select("rep", "sketch", "component", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine"))
-    texts = docs.join(dealt.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
+    # The plan is held to one form: the members grow with the corpus, so they are not broadcast at any size.
+    texts = docs.hint("merge").join(dealt.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
     rows = tasks.join(texts, "rep").select("component", "p", "q", "mine", "rep", "sketch", "text")
     # A block against itself holds each member once, two blocks hold both.
     rows = rows.repartition("component", "p", "q").sortWithinPartitions("component", "p", "q")
@@ -225,4 +226,4 @@ def keep_one(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id", *
     smallest doc_id."""
     name = fresh(docs, "_dropped")
     dropped = near_duplicates(docs, text_col=text_col, doc_col=doc_col, **options).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(dropped, F.col(doc_col) == F.col(name), "left_anti")
+    return docs.hint("merge").join(dropped, F.col(doc_col) == F.col(name), "left_anti")
