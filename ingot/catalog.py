@@ -15,6 +15,8 @@ DATASETS = ("authors", "awards", "concepts", "domains", "fields", "funders",
 
 # Datasets with repair rules; the rest pass through unchanged.
 CONVERTIBLE = ("works", "concepts", "institutions", "sources")
+# How a dataset's conversion takes a broken line: works skips it, the others fail the file.
+SCAN_MODE = {"works": "tolerant", "concepts": "strict", "institutions": "strict", "sources": "strict"}
 
 # Current table schema per dataset (Spark DDL, one field per line).
 TABLE_DDL = {

@@ -53,12 +53,26 @@ def empty_value(dt: T.DataType, overrides=None, arrays_empty: bool = True) -> Co
 
 
 def ensure_array(c: Column, dt: T.ArrayType) -> Column:
-    """NULL array -> ``[]``."""
+    """NULL array -> ``[]`` (R6); a VARIANT keeps what is not null."""
+    if isinstance(dt, T.VariantType):
+        return F.when(c.isNull() | F.coalesce(F.is_variant_null(c), F.lit(False)), F.parse_json(F.lit("[]"))).otherwise(c)
     return F.coalesce(c, F.array().cast(dt))
 
 
-def compact(c: Column) -> Column:
-    """Remove NULL elements from an array (NULL stays NULL)."""
+def as_variant(c: Column, dt: T.DataType) -> Column:
+    """Any column as a VARIANT."""
+    if isinstance(dt, T.VariantType):
+        return c
+    return F.parse_json(F.to_json(c)) if isinstance(dt, (T.StructType, T.ArrayType, T.MapType)) else c.cast("variant")
+
+
+def compact(c: Column, dt: T.DataType | None = None) -> Column:
+    """Remove NULL elements from an array (NULL stays NULL); elements of mixed kinds are
+    VARIANTs, whose null is a value."""
+    if isinstance(dt, T.VariantType):
+        return c
+    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.VariantType):
+        return F.filter(c, lambda x: x.isNotNull() & ~F.coalesce(F.is_variant_null(x), F.lit(False)))
     return F.filter(c, lambda x: x.isNotNull())
 
 
@@ -89,6 +103,8 @@ def at_path(c: Column, dt: T.DataType, path: str | list[str], fn: ColFn) -> Colu
         return fn(c, dt)
     if isinstance(dt, T.ArrayType):
         return F.transform(c, lambda x: at_path(x, dt.elementType, parts, fn))
+    if isinstance(dt, T.VariantType):
+        return c  # of mixed kinds: left as it is
     if not isinstance(dt, T.StructType):
         raise TypeError(f"cannot descend into {dt.simpleString()} at {parts}")
     name = parts[0]
@@ -127,7 +143,7 @@ def compact_arrays(c: Column, dt: T.DataType) -> Column:
     """
     if isinstance(dt, T.ArrayType):
         inner = dt.elementType
-        kept = compact(c)
+        kept = compact(c, dt)
         if contains_array(inner):
             return F.transform(kept, lambda x: compact_arrays(x, inner))
         return kept
@@ -201,6 +217,9 @@ def _rebuild(c: Column, dt: T.DataType, old: str, new: str) -> Column:
         # renamed (hyphenated) keys first: their value overwrites the clean key
         ordered = sorted(fields, key=lambda f: old not in f.name)
         vals = [_rebuild(c.getField(f.name), f.dataType, old, new) for f in ordered]
+        types = [renamed_type(f.dataType, old, new) for f in ordered]
+        if len({t.simpleString() for t in types}) > 1:
+            vals = [as_variant(v, t) for v, t in zip(vals, types)]
         parts.append((F.coalesce(*vals) if len(vals) > 1 else vals[0]).alias(name))
     return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*parts))
 

@@ -19,8 +19,9 @@ from ingot.catalog import CONVERTIBLE, check_datasets, table_schema
 from ingot.functions.jsonf import object_or_array
 from ingot.functions.nested import (
     at_path, compact, compact_arrays, contains_array, drop_path, empty_value, ensure_array, ensure_struct,
-    fill_arrays, placeholder_array, relaxed, rename_keys, renamed_type,
+    as_variant, fill_arrays, placeholder_array, relaxed, rename_keys, renamed_type,
 )
+from ingot.operators.shape import is_null, rename_in_variant
 from ingot.functions.text import with_reconstructed_text
 
 # --- fixed values ------------------------------------------------------------
@@ -44,6 +45,12 @@ class Ctx:
     dataset: str
     target: T.StructType
     placeholders: bool = True
+    #: top-level keys whose values are of several kinds (read as VARIANT)
+    mixed: frozenset[str] = frozenset()
+
+
+#: Column of a line's top-level keys, where the plan provides it: tells NULL from absent.
+KEYS = "_keys"
 
 
 @dataclass
@@ -74,6 +81,13 @@ def _col_or_null(df: DataFrame, name: str, dt: T.DataType) -> Column:
     return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast(dt)
 
 
+def _or_default(c: Column, dt: T.DataType, default: Column) -> Column:
+    """``default`` for NULL; a column of mixed kinds keeps its other values as they are."""
+    if isinstance(dt, T.VariantType):
+        return F.when(is_null(c, dt), F.parse_json(F.to_json(default))).otherwise(c)
+    return F.coalesce(c, default)
+
+
 # R1 ------------------------------------------------------------------------
 def fix_object_or_array(name: str) -> Callable[[DataFrame, Ctx], DataFrame]:
     """Array kept; one object wrapped in a 1-element array; null -> []; then empty ->
@@ -106,9 +120,10 @@ def fix_locations(name: str = "locations"):
     def fn(df: DataFrame, ctx: Ctx) -> DataFrame:
         dt = _type_of(df, ctx, name)
         c = _issn_fix(_col_or_null(df, name, dt), dt)
-        default = (F.array(empty_value(dt.elementType, EMPTY_LOCATION_OVERRIDES)) if ctx.placeholders
-                   else F.array().cast(dt))
-        return df.withColumn(name, F.coalesce(c, default))
+        full = dt if isinstance(dt, T.ArrayType) else table_schema("works")[name].dataType
+        default = (F.array(empty_value(full.elementType, EMPTY_LOCATION_OVERRIDES)) if ctx.placeholders
+                   else F.array().cast(full))
+        return df.withColumn(name, _or_default(c, dt, default))
     return fn
 
 
@@ -118,7 +133,8 @@ def fix_location_struct(name: str):
         dt = _type_of(df, ctx, name)
         c = _issn_fix(_col_or_null(df, name, dt), dt)
         if ctx.placeholders:
-            c = ensure_struct(c, empty_value(dt, EMPTY_LOCATION_OVERRIDES))
+            full = dt if isinstance(dt, T.StructType) else table_schema("works")[name].dataType
+            c = _or_default(c, dt, empty_value(full, EMPTY_LOCATION_OVERRIDES))
         return df.withColumn(name, c)
     return fn
 
@@ -131,6 +147,8 @@ def fix_authorships(name: str = "authorships"):
     NULL -> [] (R5)."""
     def fn(df: DataFrame, ctx: Ctx) -> DataFrame:
         dt: T.ArrayType = _type_of(df, ctx, name)
+        if not isinstance(dt, T.ArrayType) or not isinstance(dt.elementType, T.StructType):
+            return df.withColumn(name, ensure_array(_col_or_null(df, name, dt), dt))
         at: T.StructType = dt.elementType
 
         def per_author(a: Column) -> Column:
@@ -138,7 +156,7 @@ def fix_authorships(name: str = "authorships"):
             if "institutions" in at.names:
                 it: T.ArrayType = at["institutions"].dataType
                 inst = a.getField("institutions")
-                if ctx.placeholders:
+                if ctx.placeholders and isinstance(it, T.ArrayType):
                     inst = placeholder_array(inst, it, empty_value(it.elementType, arrays_empty=False))
                 else:
                     inst = ensure_array(inst, it)
@@ -147,7 +165,7 @@ def fix_authorships(name: str = "authorships"):
             if "affiliations" in at.names:
                 aft: T.ArrayType = at["affiliations"].dataType
                 aff = at_path(a.getField("affiliations"), aft, "institution_ids",
-                              lambda x, d: ensure_array(compact(x), d))
+                              lambda x, d: ensure_array(compact(x, d), d))
                 out = out.withField("affiliations", ensure_array(aff, aft))
             for arr in ("countries", "raw_affiliation_strings"):
                 if arr in at.names:
@@ -201,7 +219,11 @@ def rename_hyphen_keys(old: str = "-", new: str = "_"):
         cols = []
         for new_name, srcs in groups.items():
             srcs = sorted(srcs, key=lambda s: old not in s)  # renamed key wins
-            vals = [rename_keys(F.col(f"`{s}`"), df.schema[s].dataType, old, new) for s in srcs]
+            types = [df.schema[s].dataType for s in srcs]
+            vals = [rename_in_variant(F.col(f"`{s}`"), old, new) if s in ctx.mixed else rename_keys(F.col(f"`{s}`"), dt, old, new)
+                    for s, dt in zip(srcs, types)]
+            if len({renamed_type(dt, old, new).simpleString() for dt in types}) > 1:
+                vals = [as_variant(v, renamed_type(dt, old, new)) for v, dt in zip(vals, types)]
             cols.append((F.coalesce(*vals) if len(vals) > 1 else vals[0]).alias(new_name))
         return df.select(*cols)
     return fn
@@ -217,7 +239,8 @@ def drop_top_level(*names: str):
 # R10 / R11 -----------------------------------------------------------------
 def fix_nulls(array_fields=SOURCES_ARRAY_FIELDS, all_arrays: bool = False):
     """Drop NULL elements from every array at any depth; listed top-level arrays
-    NULL -> [] (R10, R11).  ``all_arrays`` widens the list to every top-level array."""
+    NULL -> [] (R10, R11).  ``all_arrays`` widens the list to every top-level array.
+    Where the line's keys are at hand, an absent array stays absent."""
     def fn(df: DataFrame, ctx: Ctx) -> DataFrame:
         cols = {}
         for f in df.schema.fields:
@@ -226,9 +249,11 @@ def fix_nulls(array_fields=SOURCES_ARRAY_FIELDS, all_arrays: bool = False):
             changed = False
             if contains_array(dt):
                 c, changed = compact_arrays(c, dt), True
-            if isinstance(dt, T.ArrayType) and (all_arrays or f.name in array_fields):
-                c, changed = ensure_array(c, dt), True
-            if changed:
+            if isinstance(dt, T.ArrayType) and (all_arrays or f.name in array_fields) or f.name in array_fields and isinstance(dt, T.VariantType):
+                full = ensure_array(c, dt)
+                c = F.when(F.array_contains(KEYS, f.name), full).otherwise(c) if KEYS in df.columns else full
+                changed = True
+            if changed and f.name != KEYS:
                 cols[f.name] = c
         return df.withColumns(cols)
     return fn
@@ -305,9 +330,9 @@ def rules_for(dataset: str) -> list[Rule]:
 
 
 def repair(df: DataFrame, dataset: str, placeholders: bool = True, extra: list[Rule] | None = None,
-           target: T.StructType | None = None) -> DataFrame:
+           target: T.StructType | None = None, mixed: frozenset[str] = frozenset()) -> DataFrame:
     """Apply the dataset's rules in order (one projection per rule, fused by Catalyst)."""
-    ctx = Ctx(dataset, target if target is not None else table_schema(dataset), placeholders)
+    ctx = Ctx(dataset, target if target is not None else table_schema(dataset), placeholders, mixed)
     for rule in rules_for(dataset) + list(extra or []):
         df = rule(df, ctx)
     return df

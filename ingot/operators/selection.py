@@ -4,12 +4,14 @@ first N per file (B3), pending work against a ledger (J2, J3, J4 / B6)."""
 from __future__ import annotations
 
 import re
+import sys
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ingot.operators.joins import broadcast_if_small
-
 _RANGE = re.compile(r"^[0-9]+-[0-9]+$")
 
 
@@ -33,28 +35,22 @@ def select_batch(files: DataFrame, start: int, end: int, by: tuple[str, ...] = (
                  folder: str = "folder") -> DataFrame:
     """Rows whose folder ranks in ``[start, end]`` alphabetically (B1).
 
-    The selected folder list has at most ``end - start + 1`` rows per group, a
-    proven bound, so it is broadcast to the (possibly large) input.
+    The join is left to the planner, which knows the size of the folder list at run time.
     """
     ranked = rank_folders(files, by, folder).where(F.col("folder_rank").between(start, end))
-    return files.join(F.broadcast(ranked), [*by, folder], "inner")
+    return files.join(ranked, [*by, folder], "inner")
 
 
 def first_n(df: DataFrame, n: int, by: list[str] | tuple[str, ...], order: list | tuple,
             rank_col: str | None = None) -> DataFrame:
     """First ``n`` rows per group in ``order`` (B2); ``n <= 0`` means no limit.
 
-    ``row_number() <= n`` gets a partial ``WindowGroupLimit`` before the shuffle,
-    so a hot group ships at most ``n`` rows per input partition.
+    ``row_number() <= n`` gets a partial ``WindowGroupLimit`` before the shuffle for ``n`` up
+    to ``spark.sql.optimizer.windowGroupLimitThreshold`` (set by ``get_spark``), so a hot
+    group ships at most ``n`` rows per input partition.
     """
     if n is None or n <= 0:
         return df
-    # The partial limit is only planned for n up to this threshold (1000 by
-    # default); raise it so a larger n keeps a hot group from being sorted whole.
-    conf = df.sparkSession.conf
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(key, "1000")) < n:
-        conf.set(key, str(n))
     w = Window.partitionBy(*by).orderBy(*order)
     rn = rank_col or "_rn"
     out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n)
@@ -71,6 +67,26 @@ def sample_head(lines: DataFrame, n: int = 1000, file_col: str = "file",
     return first_n(lines, n, [file_col], [F.col(c) for c in order], rank_col)
 
 
+def head_of_files(lines: DataFrame, n: int, value_col: str = "value", path_col: str = "raw_path") -> DataFrame:
+    """First ``n`` lines of each gzip file (B3 / H1), for files that are one split each: lines
+    arrive in file order, so a counter per file in the scan task is enough.  No sort and no
+    shuffle; lines beyond ``n`` are dropped as they are read."""
+    def head(batches):
+        seen: dict[str, int] = {}
+        for b in batches:
+            paths = b.column(1).dictionary_encode()
+            keep = np.zeros(b.num_rows, bool)
+            codes = paths.indices.to_numpy(zero_copy_only=False)
+            for k, path in enumerate(paths.dictionary.to_pylist()):
+                at = np.flatnonzero(codes == k)
+                have = seen.get(path, 0)
+                keep[at[:max(0, n - have)]] = True
+                seen[path] = min(n, have + len(at))
+            yield b.filter(pa.array(keep)).select([0])
+
+    return lines.select(F.col(value_col).alias("value"), path_col).mapInArrow(head, "value string")
+
+
 def pending(items: DataFrame, ledger: DataFrame, on: str | list[str] = "file",
             done_status: tuple[str, ...] | None = None, ledger_on: str | list[str] | None = None) -> DataFrame:
     """Items without a ledger row (J2), or without a row in ``done_status``.
@@ -84,14 +100,8 @@ def pending(items: DataFrame, ledger: DataFrame, on: str | list[str] = "file",
     keys = [on] if isinstance(on, str) else list(on)
     lkeys = keys if ledger_on is None else ([ledger_on] if isinstance(ledger_on, str) else list(ledger_on))
     done = done.select(*[F.col(a).alias(b) for a, b in zip(lkeys, keys)]).distinct()
-    return items.join(broadcast_if_small(done), keys, "left_anti")
-
-
-def not_yet_converted(inputs: DataFrame, outputs: DataFrame, on: str = "rel_path") -> DataFrame:
-    """Skip inputs whose output already exists."""
-    return pending(inputs, outputs, on)
+    return items.join(done, keys, "left_anti")
 
 
-def member_of(col: Column, names: list[str]) -> Column:
-    """Dataset membership predicate (B5), after :func:`ingot.catalog.check_datasets`."""
-    return col.isin(*names)
+# the scan helper above travels to workers that have no installed copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

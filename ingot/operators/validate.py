@@ -37,12 +37,13 @@ def validate_counts(counts: DataFrame, manifest: DataFrame, keys: tuple[str, ...
                     status_of(F.col("actual"), F.col("expected")).alias("status")))
 
 
-def validate_summary(per_file: DataFrame, by: tuple[str, ...] = ("dataset",)) -> DataFrame:
+def validate_summary(per_file: DataFrame, by: tuple[str, ...] = ("dataset",), totals: DataFrame | None = None) -> DataFrame:
     """Per dataset: actual and expected totals, difference, counts by status, verdict.
 
     ``expected`` is the manifest's own total (``meta.record_count``), which may
     differ from the sum of its entries.  PASS only if no file is missing, none
-    mismatched, and the totals are equal.
+    mismatched, and the totals are equal.  With ``totals`` (the group columns and ``total``)
+    a manifest without entries is judged by its total alone.
     """
     g = (per_file.groupBy(*by)
          .agg(F.coalesce(F.sum("actual"), F.lit(0)).cast("bigint").alias("actual"),
@@ -50,6 +51,11 @@ def validate_summary(per_file: DataFrame, by: tuple[str, ...] = ("dataset",)) ->
               F.count_if(F.col("status") == "OK").alias("n_ok"),
               F.count_if(F.col("status") == "MISMATCH").alias("n_mismatch"),
               F.count_if(F.col("status") == "FILE NOT FOUND").alias("n_missing")))
+    if totals is not None:
+        own = totals.select(*by, F.col("total").alias("_total"))
+        g = own.join(g, list(by), "left").select(
+            *by, F.coalesce("actual", F.lit(0)).cast("bigint").alias("actual"), F.coalesce("expected", "_total").alias("expected"),
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_ok", "n_mismatch", "n_missing")])
     return (g.withColumn("missing_records", F.col("expected") - F.col("actual"))
             .withColumn("verdict", F.when((F.col("n_missing") == 0) & (F.col("n_mismatch") == 0)
                                           & (F.col("actual") == F.col("expected")), "PASS").otherwise("FAIL")))

@@ -10,21 +10,31 @@ from pyspark.sql import types as T
 
 from ingot import schemas
 from ingot.operators.profile import OPEN_MAPS, json_facts, merge_facts, merge_schema, to_struct
-from ingot.operators.selection import sample_head
+from ingot.operators.selection import head_of_files
 from ingot.operators.repair import conform_columns
 from ingot.operators.strict import strict_parse
 from ingot.sinks.schema_file import write_schema_file
 from ingot.sinks.table import publish_table
-from ingot.sources.ndjson import read_lines
+from ingot.sources.listing import DATA_GLOB, list_files
+from ingot.sources.ndjson import raw_lines
+
+
+def data_lines(spark: SparkSession, root: str, max_files: int = 0) -> DataFrame:
+    """Lines (value, raw_path) of all ``*.gz`` under ``root``, at any depth."""
+    if max_files > 0:
+        paths = [r["path"] for r in list_files(spark, root, DATA_GLOB).orderBy("path").limit(max_files).collect()]  # max_files names
+        return raw_lines(spark, paths)
+    return raw_lines(spark, root, DATA_GLOB)
 
 
 def infer_schema(spark: SparkSession, dataset: str, data_root: str, sample: int = 1000,
-                 existing: T.StructType | None = None, out_path: str | None = None,
+                 existing: T.StructType | None = None, out_path: str | None = None, max_files: int = 0,
                  observation: Observation | None = None) -> T.StructType:
     """H1-H5: sample every file, profile, merge into ``existing`` (only adds or
-    widens), emit (and write ``out_path``).  ``observation`` gets the sampled-line total (G8)."""
-    lines = read_lines(spark, f"{data_root.rstrip('/')}/{dataset}/*/*", root=data_root)
-    src = sample_head(lines, sample) if sample > 0 else lines
+    widens), emit (and write ``out_path``).  ``max_files`` > 0 takes the first files by path
+    (the schema step's ``-m N``).  ``observation`` gets the sampled-line total (G8)."""
+    lines = data_lines(spark, f"{data_root.rstrip('/')}/{dataset}", max_files)
+    src = head_of_files(lines, sample) if sample > 0 else lines.select("value")
     if observation is not None:
         src = src.observe(observation, F.count(F.lit(1)).alias("sampled_lines"))
     facts = json_facts(src, opaque=OPEN_MAPS)
@@ -45,7 +55,7 @@ def load_dataset(spark: SparkSession, dataset: str, version: str, data_root: str
     With ``contract`` absent arrays become ``[]`` at every depth, as the
     warehouse does for an absent REPEATED field (an explicit null is still bad).
     """
-    lines = read_lines(spark, f"{data_root.rstrip('/')}/{dataset}/*/*", root=data_root)
+    lines = data_lines(spark, f"{data_root.rstrip('/')}/{dataset}")
     parsed = strict_parse(lines, schema, keep=())
     table = parsed.select(*conform_columns(schema, contract), "_bad")
     return publish_table(spark, table, dataset, version, table_root, max_bad, bad=F.col("_bad"))
@@ -74,10 +84,6 @@ def load_all(spark: SparkSession, datasets: list[str], version: str, converted_r
     return results, skipped
 
 
-def table_frame(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
-
-
 def infer_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,
               schemas_root: str, sample: int = 1000) -> tuple[dict[str, T.StructType], list[str]]:
     """``schema <dataset...|all>``: per dataset, converted data if present else raw

@@ -1,6 +1,6 @@
 """Ledger-driven publish of files (K6, re-aimed upload): pending against OK rows
-(J3) -> first N (B2) -> copy lines to the destination (K1) -> statuses (K5) ->
-tallies (G7)."""
+(J3) -> first N (B2) -> copy lines to the destination (K1), a group of files at a time ->
+statuses per file (K5) -> tallies (G7)."""
 
 from __future__ import annotations
 
@@ -8,38 +8,47 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ingot.operators.selection import first_n, pending
-from ingot.plans.convert import run_key
 from ingot.operators.validate import upload_tallies
-from ingot.sinks.ndjson import write_lines
+from ingot.plans.groups import GROUP_FILES, bisected, in_groups, names_by_path, setting, split_name
+from ingot.sinks.ndjson import partition_dir, write_lines
 from ingot.sources.ledger import append_ledger, read_ledger
 from ingot.sources.listing import list_files
-from ingot.sources.ndjson import read_lines
+from ingot.sources.ndjson import raw_lines
+from ingot.sources.paths import logical_rel_path, qualify
 
 
 def publish_files(spark: SparkSession, dataset: str, version: str, src_root: str, dest_root: str,
-                  ledger_root: str, max_files: int = 0, batch_id: int = 0):
+                  ledger_root: str, max_files: int = 0, batch_id: int = 0, group_files: int = GROUP_FILES):
+    """Copies pending files, each to its own destination, and returns the run's tallies.  A file
+    that cannot be read gets a FAIL row and is tried again by the next run; the others of its
+    group go through.  The ledger names the folder that holds a file's lines (none for an
+    empty file)."""
     src = f"{src_root.rstrip('/')}/{dataset}"
     dest = f"{dest_root.rstrip('/')}/{version}/{dataset}"
-    files = list_files(spark, src).withColumn("dataset", F.lit(dataset))
+    root = qualify(spark, src)
+    # a converted file is known by the source file it stands for
+    files = list_files(spark, src).withColumn("rel_path", logical_rel_path(F.col("path"), root)).withColumn("dataset", F.lit(dataset))
     ledger = read_ledger(spark, ledger_root, "upload", version, dataset)
     todo = pending(files, ledger, on="rel_path", done_status=("OK",), ledger_on="file")
     todo = first_n(todo, max_files, ["dataset"], [F.col("path")])
-    rows = todo.select("path", "rel_path").collect()  # file names only, at most max_files
-    status = "OK"
-    if rows:
-        try:
-            lines = read_lines(spark, [r["path"] for r in rows], root=src)
-            key = run_key([r["rel_path"] for r in rows])  # rerun of the same set replaces its output
-            write_lines(lines.select("value", "folder", F.lit(key).alias("run")), dest,
-                        partition_by=["folder", "run"], mode="overwrite")
-        except Exception:  # the whole batch failed: record FAIL so it is retried
-            status = "FAIL"
-    new = spark.createDataFrame([(r["rel_path"], f"{dest}/{r['rel_path']}", status) for r in rows],
-                                "file string, destination string, status string")
-    if rows:
-        append_ledger(new, ledger_root, "upload", version, dataset, batch_id)
-    skipped = files.join(ledger.where("status = 'OK'").select(F.col("file").alias("rel_path")), "rel_path", "left_semi")
-    return upload_tallies(new, skipped)
+
+    def copy(rows: list) -> list:
+        names = names_by_path(spark, rows)
+        lines = raw_lines(spark, [r["path"] for r in rows]).join(F.broadcast(names), "raw_path").select("value", "folder", "file")  # a row per file of the group
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "100"):
+            write_lines(lines, dest, partition_by=["folder", "file"], mode="overwrite")
+        return rows
+
+    n_ok = n_fail = 0
+    for rows in in_groups(todo, group_files):
+        done, lost = bisected(rows, copy)
+        new = [(r["rel_path"], partition_dir(spark, dest, *split_name(r["rel_path"])), "OK") for r in done] + [(name, None, "FAIL") for name in lost]
+        append_ledger(spark.createDataFrame(new, "file string, destination string, status string"), ledger_root, "upload", version, dataset, batch_id)
+        n_ok, n_fail = n_ok + len(done), n_fail + len(lost)
+    tally = spark.createDataFrame([("OK",)] * 0, "status string")
+    counts = spark.createDataFrame([(n_ok, n_fail)], "uploaded_ok bigint, upload_failed bigint")
+    skipped = files.join(ledger.where("status = 'OK'").select(F.col("file").alias("rel_path")).distinct(), "rel_path", "left_semi")
+    return counts.crossJoin(upload_tallies(tally, skipped.select(F.lit(1).alias("one"))).select("skipped"))
 
 
 def publish_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,

@@ -8,45 +8,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingot.operators.selection import pending
+from ingot.plans.groups import GROUP_FILES, in_groups
+from ingot.session import scratch_dir
 from ingot.operators.validate import count_lines, merge_ledger, validate_counts, validate_summary
 from ingot.sources.ledger import append_ledger, latest_status, read_ledger
 from ingot.sources.listing import list_files
-from ingot.sources.manifest import read_manifest
-from ingot.sources.ndjson import read_lines
-from ingot.sources.paths import logical_rel_path, qualify
+from ingot.sources.manifest import read_manifest, read_totals
+from ingot.sources.ndjson import raw_lines
+from ingot.sources.paths import logical_rel_path, metadata_path, qualify
 
 
 def validate_dataset(spark: SparkSession, dataset: str, version: str, data_root: str, manifest_path: str,
                      ledger_root: str, url_prefix: str, recheck_failed: bool = False,
-                     batch_id: int = 0) -> tuple[DataFrame, DataFrame]:
+                     batch_id: int = 0, group_files: int = GROUP_FILES) -> tuple[DataFrame, DataFrame]:
     """Returns (per_file, summary).  ``data_root`` holds ``<dataset>/...`` files
-    whose path relative to ``data_root`` equals the manifest's rel_path."""
+    whose path relative to ``data_root`` equals the manifest's rel_path.
+
+    A file counts only while it is there: cached ledger rows of files that have gone since are
+    left out.  A source file without records leaves no converted output; the convert ledger
+    stands for it with a count of 0."""
     manifest = read_manifest(spark, manifest_path, url_prefix).withColumn("dataset", F.lit(dataset))
+    totals = read_totals(spark, manifest_path).withColumn("dataset", F.lit(dataset))
+    root = f"{data_root.rstrip('/')}/{dataset}"
+    ds_root = qualify(spark, root)
+    prefix = F.lit(dataset + "/")
+    # raw files keep their names; converted output maps back through folder=/file= partitions
+    existing = list_files(spark, root).select("path", F.concat(prefix, logical_rel_path(F.col("path"), ds_root)).alias("rel_path"))
+    is_converted = F.col("path").rlike("/folder=[^/]*/file=[^/]*/")
+    empty = (read_ledger(spark, ledger_root, "convert", version, dataset).where("status = 'OK' AND records = 0")
+             .select(F.concat(prefix, F.col("file")).alias("rel_path")).distinct())
+    if existing.where(~is_converted).limit(1).count():  # raw data: every file is there itself
+        empty = empty.where("false")
+    empty = empty.join(existing, "rel_path", "left_anti")
     ledger = read_ledger(spark, ledger_root, "validation", version, dataset)
     if recheck_failed:
         ledger = ledger.where(F.col("status") == "OK")
-    ds_root = qualify(spark, f"{data_root.rstrip('/')}/{dataset}")
-    # raw files keep their names; converted output maps back through folder=/file= partitions
-    existing = list_files(spark, f"{data_root.rstrip('/')}/{dataset}").select(
-        "path", F.concat(F.lit(dataset + "/"), logical_rel_path(F.col("path"), ds_root)).alias("rel_path"))
-    todo = pending(manifest.join(existing, "rel_path", "inner"), ledger, on="rel_path", ledger_on="file")
-    paths = [r["path"] for r in todo.select("path").collect()]  # file names, bounded by the manifest
-    todo = todo.select("rel_path", "expected").distinct()
-    if paths:
-        lines = read_lines(spark, paths).withColumn(
-            "rel_path", F.concat(F.lit(dataset + "/"), logical_rel_path(F.col("file"), ds_root)))
-        counts = count_lines(lines, key="rel_path")
+    wanted = pending(manifest.join(existing, "rel_path"), ledger, on="rel_path", ledger_on="file").select("path", "rel_path", "expected")
+    wanted = written_files(wanted)
+    expected = wanted.select("rel_path", "expected").distinct()
+    for rows in in_groups(wanted, group_files):
+        names = spark.createDataFrame([(r["path"], r["rel_path"]) for r in rows], "file string, rel_path string")  # one group
+        counts = count_lines(raw_lines(spark, [r["path"] for r in rows]), key="raw_path").withColumn("file", metadata_path(F.col("raw_path")))
         # start from the pending files, not from their lines: an empty file counts 0
-        new = (todo.select("rel_path", "expected").join(counts, "rel_path", "left")
-               .select(F.col("rel_path").alias("file"), F.coalesce("actual", F.lit(0)).cast("bigint").alias("actual"),
-                       "expected",
-                       F.when(F.coalesce("actual", F.lit(0)) == F.col("expected"), "OK").otherwise("MISMATCH")
-                       .alias("status")))
+        found = names.join(counts, "file", "left").groupBy("rel_path").agg(F.coalesce(F.sum("actual"), F.lit(0)).cast("bigint").alias("actual"))
+        new = found.join(expected, "rel_path").select(F.col("rel_path").alias("file"), "actual", "expected",
+                                                      F.when(F.col("actual") == F.col("expected"), "OK").otherwise("MISMATCH").alias("status"))
         append_ledger(new, ledger_root, "validation", version, dataset, batch_id)
-    current = latest_status(merge_ledger(ledger, read_ledger(spark, ledger_root, "validation", version, dataset)))
-    per_file = validate_counts(current.select(F.lit(dataset).alias("dataset"), F.col("file").alias("rel_path"), "actual"),
-                               manifest)
-    return per_file, validate_summary(per_file)
+    merged = merge_ledger(ledger, read_ledger(spark, ledger_root, "validation", version, dataset)) if recheck_failed else read_ledger(spark, ledger_root, "validation", version, dataset)
+    current = latest_status(merged).select(F.col("file").alias("rel_path"), "actual")
+    current = current.join(existing.select("rel_path").distinct(), "rel_path", "left_semi").unionByName(empty.select("rel_path", F.lit(0).cast("bigint").alias("actual")))
+    per_file = validate_counts(current.select(F.lit(dataset).alias("dataset"), "rel_path", "actual"), manifest)
+    return per_file, validate_summary(per_file, totals=totals)
+
+
+def written_files(files: DataFrame) -> DataFrame:
+    """A listing (one row per file) as a table, so that it is the same for all groups."""
+    path = scratch_dir(files.sparkSession, "validate-files")
+    files.write.parquet(path)
+    return files.sparkSession.read.schema(files.schema).parquet(path)
 
 
 def validate_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,

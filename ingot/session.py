@@ -1,13 +1,12 @@
 """Session helpers: a configured SparkSession and a shared scratch area.
 
 Scratch data always lives under the shared folder the cluster names in
-``spark.checkpoint.dir`` (or the context's checkpoint directory).  Only when
-neither is set (unit tests, a laptop) do we create one ourselves.
+``spark.checkpoint.dir`` (or the context's checkpoint directory).  Where neither is set the
+caller gets an error: a folder of the driver's own would not be seen by the executors.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,6 +19,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # gzip NDJSON is unsplittable: one task per file; keep parquet splits modest.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # first-N selections keep their partial limit for any N in use here
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
@@ -52,10 +53,7 @@ def shared_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
-        # Unset (tests / local runs): make our own, never on a cluster.
-        root = tempfile.mkdtemp(prefix="ingot-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
@@ -64,15 +62,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/ingot-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for driver-side file access in tests."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def fs_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -106,21 +95,20 @@ def fs_read_text(spark: SparkSession, path: str) -> str:
 
 
 def fs_rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename that replaces an existing target in one step (no moment without a file)."""
     jvm = spark.sparkContext._jvm
-    s = jvm.org.apache.hadoop.fs.Path(src)
-    fs = s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    d = jvm.org.apache.hadoop.fs.Path(dst)
-    if fs.exists(d):
-        fs.delete(d, True)
-    return bool(fs.rename(s, d))
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(s.toUri() if s.toUri().getScheme() else jvm.java.net.URI("file:///"), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(s, d, options)
+    return True
 
 
-def fs_mkdirs(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(jpath)
+def fs_delete(spark: SparkSession, path: str) -> bool:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True))
 
 
-__all__ = ["get_spark", "shared_root", "scratch_dir", "local_path", "fs_exists",
-           "fs_write_text", "fs_read_text", "fs_rename", "fs_mkdirs"]
+__all__ = ["get_spark", "shared_root", "scratch_dir", "fs_exists",
+           "fs_write_text", "fs_read_text", "fs_rename", "fs_delete"]

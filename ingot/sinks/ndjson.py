@@ -7,7 +7,7 @@ Spark's; the folder tree is kept through ``partitionBy``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_ndjson(df: DataFrame, path: str, partition_by: str | list[str] | None = None,
@@ -40,3 +40,9 @@ def write_lines(df: DataFrame, path: str, partition_by: str | list[str] | None =
         if mode == "overwrite":
             w = w.option("partitionOverwriteMode", "dynamic")
     w.text(path)
+
+
+def partition_dir(spark: SparkSession, path: str, folder: str, file: str) -> str:
+    """Where ``partition_by=["folder", "file"]`` puts a file's lines."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path.rstrip('/')}/folder={escape(folder) if folder else '__HIVE_DEFAULT_PARTITION__'}/file={escape(file)}"

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ingot.catalog import table_name
+from ingot.session import fs_delete
 
 
 class BadRecordLimitExceeded(RuntimeError):
@@ -43,13 +44,31 @@ def publish_table(spark: SparkSession, df: DataFrame, dataset: str, version: str
     m = obs.get
     n_bad = int(m.get("bad", 0) or 0)
     if n_bad > max_bad:
+        fs_delete(spark, path)
         raise BadRecordLimitExceeded(f"{name}: {n_bad} bad records > limit {max_bad}; table not replaced")
-    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE `{name}`")
+    # One catalog step replaces the table; readers see the old or the new data, never none.
+    # A schema or partitioning of another shape needs a new entry.
+    old = location_of(spark, name)
+    if old and not partition_by and spark.table(name).schema.simpleString() == spark.read.parquet(path).schema.simpleString():
+        spark.sql(f"ALTER TABLE `{name}` SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        spark.catalog.createTable(name, path=path, source="parquet")
+        if partition_by:
+            spark.sql(f"MSCK REPAIR TABLE `{name}`")
+    if old and old.rstrip("/").rsplit("/", 2)[-2] == name:
+        fs_delete(spark, old)  # the superseded copy, in this sink's own layout
     return {"table": name, "path": path, "rows": int(m.get("rows", 0) or 0) - n_bad, "bad": n_bad}
 
 
+def location_of(spark: SparkSession, name: str) -> str | None:
+    """Where a catalog table's files lie; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def read_table(spark: SparkSession, dataset: str, version: str) -> DataFrame:
     return spark.table(table_name(dataset, version))

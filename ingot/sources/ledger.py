@@ -7,6 +7,8 @@ dataset; the TSV form of the reference can be read too.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,16 @@ LEDGER_DDL = {
     "convert": "file string, records bigint, status string",
 }
 
+RUN_DDL = ", batch bigint, written bigint"
+_last_written = 0
+
+
+def next_written() -> int:
+    """A write time in nanoseconds that grows with each append of this driver."""
+    global _last_written
+    _last_written = max(time.time_ns(), _last_written + 1)
+    return _last_written
+
 
 def ledger_path(root: str, kind: str, version: str, dataset: str) -> str:
     return f"{root}/kind={kind}/version={version}/dataset={dataset}"
@@ -27,8 +39,8 @@ def read_ledger(spark: SparkSession, root: str, kind: str, version: str, dataset
     """Ledger rows of one (kind, version, dataset); empty when none were written."""
     path = ledger_path(root, kind, version, dataset)
     if not fs_exists(spark, path):
-        return spark.createDataFrame([], LEDGER_DDL[kind] + ", batch bigint")
-    return spark.read.schema(LEDGER_DDL[kind] + ", batch bigint").parquet(path)
+        return spark.createDataFrame([], LEDGER_DDL[kind] + RUN_DDL)
+    return spark.read.schema(LEDGER_DDL[kind] + RUN_DDL).parquet(path)
 
 
 def read_ledger_tsv(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -39,12 +51,14 @@ def read_ledger_tsv(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def append_ledger(rows: DataFrame, root: str, kind: str, version: str, dataset: str, batch: int = 0) -> None:
     """Append one batch of ledger rows (K5); Spark's commit protocol replaces the lock."""
     cols = [c.split()[0] for c in LEDGER_DDL[kind].split(", ")]
-    (rows.select(*cols, F.lit(batch).cast("bigint").alias("batch"))
+    (rows.select(*cols, F.lit(batch).cast("bigint").alias("batch"), F.lit(next_written()).alias("written"))
      .write.mode("append").parquet(ledger_path(root, kind, version, dataset)))
 
 
 def latest_status(ledger: DataFrame) -> DataFrame:
-    """Last status per file (later batches win) - the ledger's current view."""
+    """Last status per file - the ledger's current view.  Rows are ordered by batch, then by
+    the time of their append, which no two appends share."""
+    last = F.struct("batch", F.coalesce("written", F.lit(0))) if "written" in ledger.columns else F.struct("batch")
     return (ledger.groupBy("file")
-            .agg(F.max_by(F.struct(*[c for c in ledger.columns if c not in ("file",)]), "batch").alias("_l"))
+            .agg(F.max_by(F.struct(*[c for c in ledger.columns if c not in ("file", "written")]), last).alias("_l"))
             .select("file", "_l.*"))

@@ -10,6 +10,8 @@ from ingot.sources.paths import base_name, first_component, normalize, qualify,
 
 EXCLUDE_NAMES = ("manifest",)
 EXCLUDE_SUFFIXES = (".tmp",)
+#: Data files of a snapshot; manifests and unfinished ``*.gz.tmp`` do not match.
+DATA_GLOB = "*.gz"
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None,

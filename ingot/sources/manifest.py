@@ -23,14 +23,15 @@ def read_manifest(spark: SparkSession, paths: str | list[str], url_prefix: str =
     """Manifest entries: dataset, url, rel_path, expected, total.
 
     ``dataset`` is the manifest's parent directory name; ``rel_path`` is the
-    url without its fixed bucket prefix (it starts with the dataset name).
+    url without its fixed bucket prefix (it starts with the dataset name).  A manifest without
+    entries has no rows here; its total is in :func:`read_totals`.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.option("multiLine", True).schema(MANIFEST_DDL).json(paths)
            .select("*", metadata_path(F.col("_metadata.file_path")).alias("_mf")))
     return (raw.select(F.regexp_extract("_mf", r"([^/]+)/[^/]+$", 1).alias("dataset"),
                        F.col("meta.record_count").alias("total"),
-                       F.explode_outer("entries").alias("e"))
+                       F.explode("entries").alias("e"))
             .select("dataset",
                     F.col("e.url").alias("url"),
                     strip_prefix(F.col("e.url"), url_prefix).alias("rel_path"),
@@ -38,6 +39,14 @@ def read_manifest(spark: SparkSession, paths: str | list[str], url_prefix: str =
                     "total"))
 
 
+def read_totals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(dataset, total) of each manifest, also of one without entries."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return (spark.read.option("multiLine", True).schema(MANIFEST_DDL).json(paths)
+            .select(F.regexp_extract(metadata_path(F.col("_metadata.file_path")), r"([^/]+)/[^/]+$", 1).alias("dataset"),
+                    F.col("meta.record_count").alias("total")))
+
+
 def manifest_document(entries: DataFrame, url_prefix: str, totals: DataFrame | None = None) -> DataFrame:
     """Build one manifest document from ``(rel_path, expected)`` rows.
 

@@ -16,6 +16,22 @@ from ingot.functions.jsonf import is_blank, is_json_object
 from ingot.sources.paths import first_component, metadata_path, qualify, relative_to
 
 
+def raw_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+    """Lines with their file's path as the scan reports it: ``value``, ``raw_path``.  Names are
+    derived from it once per file (:func:`with_names` after an aggregate, or a join)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return ((reader.option("pathGlobFilter", glob) if glob else reader).text(paths)
+            .select("value", F.col("_metadata.file_path").alias("raw_path")))
+
+
+def with_names(df: DataFrame, spark: SparkSession, root: str) -> DataFrame:
+    """Rows of ``raw_path`` with ``file``, ``rel_path`` and ``folder`` under ``root``."""
+    out = df.withColumn("file", metadata_path(F.col("raw_path")))
+    out = out.withColumn("rel_path", relative_to(F.col("file"), qualify(spark, root)))
+    return out.withColumn("folder", first_component(F.col("rel_path")))
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], root: str | None = None) -> DataFrame:
     """Lines with file identity (A3).
 

@@ -59,4 +59,5 @@ def logical_rel_path(path: Column, root: str) -> Column:
     pat = r"/folder=([^/]*)/file=([^/]*)/[^/]*$"
     folder = F.url_decode(F.regexp_extract(p, pat, 1))
     name = F.url_decode(F.regexp_extract(p, pat, 2))
-    return F.when(p.rlike(pat), F.concat(folder, F.lit("/"), name)).otherwise(relative_to(path, root))
+    at_root = F.regexp_extract(p, pat, 1) == "__HIVE_DEFAULT_PARTITION__"  # the empty folder
+    return F.when(p.rlike(pat) & at_root, name).when(p.rlike(pat), F.concat(folder, F.lit("/"), name)).otherwise(relative_to(path, root))

@@ -17,18 +17,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ingot.functions.jsonf import is_blank, is_json_object
+from ingot.sources.listing import DATA_GLOB
+from ingot.sources.ndjson import line_kind
 from ingot.sources.paths import first_component, metadata_path, qualify, relative_to
 
 
-def stream_lines(spark: SparkSession, root: str, glob: str = "*/*", max_files_per_trigger: int | None = None,
+def stream_lines(spark: SparkSession, root: str, glob: str = DATA_GLOB, max_files_per_trigger: int | None = None,
                  fmt: str = "text") -> DataFrame:
-    """Streaming lines with file identity (rel_path, folder) under ``root``."""
-    r = spark.readStream.format(fmt)
+    """Streaming lines with file identity (rel_path, folder) of the files named like ``glob``
+    at any depth under ``root``."""
+    r = spark.readStream.format(fmt).option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = qualify(spark, root)
-    df = r.load(f"{root.rstrip('/')}/{glob}")
+    df = r.load(root.rstrip("/"))
     rel = relative_to(metadata_path(F.col("_metadata.file_path")), q)
     return df.select("value", metadata_path(F.col("_metadata.file_path")).alias("file"),
                      rel.alias("rel_path"), first_component(rel).alias("folder"))
@@ -36,7 +38,7 @@ def stream_lines(spark: SparkSession, root: str, glob: str = "*/*", max_files_pe
 
 def stream_intake(spark: SparkSession, root: str, checkpoint: str,
                   handler: Callable[[DataFrame, int], None], available_now: bool = True,
-                  glob: str = "*/*", max_files_per_trigger: int | None = None,
+                  glob: str = DATA_GLOB, max_files_per_trigger: int | None = None,
                   query_name: str | None = None) -> StreamingQuery:
     """Start the intake stream; with ``available_now`` it stops after the backlog."""
     lines = stream_lines(spark, root, glob, max_files_per_trigger)
@@ -56,22 +58,17 @@ def ndjson_table_handler(schema: T.StructType, table_path: str, ledger_path: str
     batch replaces its earlier partial output instead of duplicating it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where(~is_blank(F.col("value")) & is_json_object(F.col("value")))
+        here = [F.lit(run).alias("run"), F.lit(batch_id).cast("bigint").alias("batch")]
+        kind = line_kind(F.col("value"))
+        good = batch.withColumn("_kind", kind).where("_kind = 'good'")
         recs = (good.select(F.from_json("value", schema).alias("r"), "rel_path", "folder")
-                .select("r.*", "rel_path", "folder",
-                        F.lit(run).alias("run"), F.lit(batch_id).cast("bigint").alias("batch")))
+                .select("r.*", "rel_path", "folder", *here))
         (recs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run", "batch").parquet(table_path))
-        # Ledger rows from what was just written (one pruned Parquet column),
-        # not from a second pass over the gzip text.
-        written = spark_of(batch).read.parquet(f"{table_path}/run={run}/batch={batch_id}")
-        led = (written.groupBy("rel_path").agg(F.count(F.lit(1)).alias("records"))
-               .select(F.col("rel_path").alias("file"), "records", F.lit("OK").alias("status"),
-                       F.lit(run).alias("run"), F.lit(batch_id).cast("bigint").alias("batch")))
+        # Counts come from the batch's own files: a file without a good line gets a row too.
+        led = (batch.groupBy(F.col("rel_path").alias("file"))
+               .agg(F.count_if(kind == "good").alias("records"), F.count_if(kind == "bad").alias("dropped"))
+               .select("file", "records", "dropped", F.lit("OK").alias("status"), *here))
         (led.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run", "batch").parquet(ledger_path))
     return handle
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
