@@ -13,9 +13,9 @@ A task writes under a name of its own and renames when complete, so a repeated o
 attempt leaves either nothing or the same file.  Shards reach any store that pyarrow opens by
 the scheme of ``spark.checkpoint.dir``.
 
-Words between plain spaces and line feeds are encoded once per worker and looked up after
-that; the vocabulary's normaliser and splitter never join text across them, so the ids equal
-those of the whole text.
+Words are encoded once per worker and looked up after that (``Encoder``), which gives the ids of
+the whole text for vocabularies that lower-case, drop white space and part letters from marks.
+For others there is ``split_words=False``: whole texts.
 
 Defined cases: a null text counts as empty and has only the end id; rows without a doc_id come
 first; rows that share a doc_id follow each other ordered by text, and a lookup returns them
@@ -24,6 +24,8 @@ all; an empty table has no shards.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -39,7 +41,11 @@ from ingot.session import scratch_dir
 
 MAGIC = b"INGTOKS1"
 FOOTER = "<8sIIQQQQqQ"  # magic, id bytes, levels, documents, ids, keys, index at, first null row or -1, null rows
-MAX_CACHED, MAX_CACHED_WORD = 300_000, 64
+MAX_CACHED, MAX_CACHED_WORD = 250_000, 64
+WORD = re.compile("[a-z\u00DF-\u00F6\u00F8-\u00FE]+")
+#: Where the short way does not hold: a mark before a full stop or comma joins it, and special
+#: tokens are found before lower-casing.
+UNCLEAR = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,](?:[ \n])|<\|")
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -48,37 +54,88 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet of public BPE vocabularies: printable bytes stand for
+    themselves, the others for the characters from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
-    """Ids of texts as bytes, through a table of the words met so far."""
+    """Ids of texts as bytes, through a table of the words met so far.
+
+    Texts of Latin-1 characters take the short way: lower-cased, full stops and commas at the
+    ends of words set apart, split at spaces and line feeds.  That is what the vocabulary's
+    normaliser and splitter do there, so words can be encoded one by one; words of letters go
+    straight to the vocabulary's model.  Other texts are split at spaces only, and each word
+    runs through the whole tokenizer.
+
+    The table has two generations: a full one becomes the old one, and words in use move to
+    the new one, so frequent words stay while memory is bounded."""
 
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.type, self.known = Tokenizer.from_file(path), np.dtype(f"<u{width}"), {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer, self.type = Tokenizer.from_file(path), np.dtype(f"<u{width}")
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.tables = {True: ({}, {}), False: ({}, {})}  # by way: new and old generation
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word(self, w: str) -> bytes:
+        """The ids of a lower-case word of Latin-1 letters."""
+        x = w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(x)], self.type).tobytes()
+
+    def learn(self, words: set[str], short: bool) -> dict[str, bytes]:
+        """The ids of words that the new generation lacks."""
+        known, old = self.tables[short]
+        out = {w: old[w] for w in words if w in old}
+        rest = []
+        for w in words:
+            if w not in out:
+                if short and WORD.fullmatch(w):
+                    out[w] = self.word(w)
+                else:
+                    rest.append(w)
+        out.update(zip(rest, self.plain(rest)))
+        if len(known) + len(out) > MAX_CACHED:
+            self.tables[short] = known, old = {}, known
+        known.update((w, x) for w, x in out.items() if len(w) <= MAX_CACHED_WORD)
+        return out
+
     def __call__(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
+        short = text.isascii() or latin(text)
+        if short and not UNCLEAR.search(text):
+            low = text.lower().replace("\n", " ")
+            parts = low.replace(". ", " . ").replace(", ", " , ").split(" ")
+        else:
+            short, parts = False, text.replace("\n", " ").split(" ")
+        known = self.tables[short][0]
         try:
-            return b"".join([self.known[w] for w in parts])
+            return b"".join([known[w] for w in parts])
         except KeyError:
-            pass
-        new = list({w for w in parts if w not in self.known})
-        if len(self.known) + len(new) > MAX_CACHED:
-            self.known = {}
-            new = list(set(parts))
-        ids = dict(zip(new, self.plain(new)))
-        self.known.update((w, x) for w, x in ids.items() if len(w) <= MAX_CACHED_WORD)
-        return b"".join([ids[w] if w in ids else self.known[w] for w in parts])
+            new = self.learn({w for w in parts if w not in known}, short)
+            return b"".join([new[w] if w in new else known[w] for w in parts])
+
+
+def latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
-def encoder(path: str, width: int) -> Encoder:
+def encoder(path: str, width: int, split_words: bool = True):
     cache = worker_cache()
     if ("encoder", path, width) not in cache:
         cache["encoder", path, width] = Encoder(path, width)
-    return cache["encoder", path, width]
+    own = cache["encoder", path, width]
+    return own if split_words else lambda text: own.plain([text])[0]
 
 
 def level_bit(h: np.ndarray, level: int, bits: int) -> np.ndarray:
@@ -207,7 +264,7 @@ MANIFEST = "part int, name string, low long, high long, nulls long, n_docs long,
 
 
 def write_shards(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, text_col: str = "text", doc_col: str = "doc_id",
-                 base: str | None = None) -> tuple[str, DataFrame]:
+                 base: str | None = None, split_words: bool = True) -> tuple[str, DataFrame]:
     """Writes the shards of ``docs``; the folder and the manifest (a row per shard, written)."""
     base = base or scratch_dir(docs.sparkSession, "token-shards")
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
@@ -217,7 +274,7 @@ def write_shards(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int,
         from pyspark import TaskContext
 
         part, out, keys = TaskContext.get().partitionId(), None, []
-        end, encode = np.array([end_id], f"<u{width}").tobytes(), encoder(tokenizer, width)
+        end, encode = np.array([end_id], f"<u{width}").tobytes(), encoder(tokenizer, width, split_words)
         for batch in batches:
             if not batch.num_rows:
                 continue
