@@ -5,7 +5,8 @@ warehouse load coerces quoted numbers and rejects unknown fields and NULL for
 a REPEATED field.  So: parse every line once with a *loose* read schema (typed
 scalar leaves read as STRING), coerce with ``try_cast``, and flag a record bad
 when the line is not an object, the parser marks it corrupt (shape error), a
-coercion fails, a top-level key is unknown, or a top-level array is explicit null.
+coercion fails, a key is unknown, an array is explicit null, or an array below the top level
+holds a null element (at any depth, :func:`nested_issues`).
 """
 
 from __future__ import annotations
@@ -63,8 +64,44 @@ def _any(flags: list[Column]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once (a lambda variable is not re-evaluated)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def nested_issues(v: Column, dt: T.DataType, path: str = "") -> Column:
+    """What the table contract refuses below the top level of a parsed line (a VARIANT): unknown
+    fields, explicit null for a repeated field, null elements.  An array of texts, empty if there
+    is nothing.  Only structure that the schema has is entered, so open maps stay closed."""
+    none = F.array().cast("array<string>")
+    if isinstance(dt, T.ArrayType):
+        if not isinstance(dt.elementType, (T.StructType, T.ArrayType)):
+            nulls = F.exists(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.is_variant_null(x))
+            return F.when(F.coalesce(nulls, F.lit(False)), F.array(F.lit(f"null element: {path}"))).otherwise(none)
+        items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.when(
+            F.is_variant_null(x), F.array(F.lit(f"null element: {path}"))).otherwise(nested_issues(x, dt.elementType, path)))
+        return F.coalesce(F.flatten(items), none)
+    if not isinstance(dt, T.StructType):
+        return none
+
+    def inside(m: Column) -> Column:
+        parts = []
+        if path:
+            unknown = F.array_except(F.map_keys(m), F.array(*[F.lit(n) for n in dt.names]).cast("array<string>"))
+            parts.append(F.transform(unknown, lambda k: F.concat(F.lit(f"unknown field: {path}."), k)))
+        for f in dt.fields:
+            own = f"{path}.{f.name}" if path else f.name
+            if path and isinstance(f.dataType, T.ArrayType):
+                parts.append(F.when(F.coalesce(F.is_variant_null(m[f.name]), F.lit(False)), F.array(F.lit(f"null for repeated field: {own}"))).otherwise(none))
+            if isinstance(f.dataType, (T.StructType, T.ArrayType)):
+                parts.append(nested_issues(m[f.name], f.dataType, own))
+        return F.concat(*parts) if parts else none
+
+    return F.coalesce(_let(F.try_variant_get(v, "$", "map<string,variant>"), inside), none)
+
+
 def strict_parse(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ("file", "rel_path", "folder"),
-                 null_repeated_is_error: bool = True, value_col: str = "value") -> DataFrame:
+                 null_repeated_is_error: bool = True, nested_is_error: bool = True, value_col: str = "value") -> DataFrame:
     """Typed records plus ``_bad`` (bool) and ``_bad_reason`` (string).  Blank lines are skipped.
 
     One ``from_json`` over the whole line with the full loose schema, so the
@@ -82,15 +119,18 @@ def strict_parse(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
         val, bad = coerce(F.col("_r").getField(f.name), f.dataType)
         typed.append(val.alias(f.name))
         cast_bad.append(bad)
-    keys = F.json_object_keys(F.col("_line"))
+    df = df.withColumn("_keys", F.json_object_keys("_line"))
+    keys = F.col("_keys")
+    nested = nested_issues(F.try_parse_json("_line"), schema)
     unknown = F.array_except(keys, F.array(*[F.lit(n) for n in schema.names]).cast("array<string>"))
     null_rep = [F.array_contains(keys, f.name) & F.col("_r").getField(f.name).isNull()
                 for f in schema.fields if isinstance(f.dataType, T.ArrayType)] if null_repeated_is_error else []
-    reason = (F.when(~is_json_object(F.col("_line")), F.lit("not a JSON object"))
+    reason = (F.when(keys.isNull(), F.lit("not a JSON object"))
               .when(F.col("_r._corrupt").isNotNull(), F.lit("shape"))
               .when(_any(cast_bad), F.lit("coercion"))
               .when(F.size(unknown) > 0, F.concat(F.lit("unknown field: "), F.array_join(F.sort_array(unknown), ",")))
-              .when(_any(null_rep), F.lit("null for repeated field")))
+              .when(_any(null_rep), F.lit("null for repeated field"))
+              .when(F.lit(nested_is_error), F.get(nested, 0)))
     kept = [c for c in keep if c in lines.columns]
     return df.select(*typed, *kept, reason.isNotNull().alias("_bad"), reason.alias("_bad_reason"))
 
@@ -112,7 +152,7 @@ def tolerant_report(lines: DataFrame, by: tuple[str, ...] = ("folder",), max_bad
             .withColumn("over_limit", F.col("n_bad") > F.lit(max_bad)))
 
 
-def unknown_paths(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+def unknown_paths(lines: DataFrame, schema: T.StructType, value_col: str = "value", opaque: tuple[str, ...] = ()) -> DataFrame:
     """Field paths present in the lines but absent from the schema, at any depth,
     with the number of occurrences (K4, nested part).
 
@@ -120,10 +160,12 @@ def unknown_paths(lines: DataFrame, schema: T.StructType, value_col: str = "valu
     row per path per task; the schema's path table is schema-sized and broadcast.
     """
     from ingot import schemas
-    from ingot.operators.profile import json_facts
+    from ingot.operators.profile import OPEN_MAPS, json_facts
 
     spark = lines.sparkSession
     known = spark.createDataFrame([(p,) for p, _, _ in schemas.flatten(schema)], "path string")
-    facts = json_facts(lines, value_col).where(F.col("path") != "")
+    # known text is not entered, whatever the line holds there: open maps stay one path
+    closed = [p for p, t, _ in schemas.flatten(schema) if t == "STRING"]
+    facts = json_facts(lines, value_col, opaque=tuple({*closed, *OPEN_MAPS, *opaque})).where(F.col("path") != "")
     return (facts.groupBy("path").agg(F.sum("n").cast("bigint").alias("n"))
             .join(F.broadcast(known), "path", "left_anti"))

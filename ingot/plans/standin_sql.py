@@ -50,7 +50,10 @@ SELECT 'W' || o_orderkey AS id,
        CAST(0 AS BIGINT) AS n_countries,
        CASE WHEN o_orderpriority = '1-URGENT' OR c_acctbal < 0 THEN NULL ELSE 'I' || n_nationkey END AS inst_id,
        CAST(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS BIGINT) AS n_referenced,
-       '{"' || o_orderpriority || '":[0]}' AS abstract_json
+       '{"' || o_orderpriority || '":[0]}' AS abstract_json,
+       '{"x":' || o_orderkey || ',"y":[1,null]}' AS brand_new, '"' || o_custkey || '"' AS cited_text,
+       '2024-01-05T10:11:12.123456' AS updated_text, o_orderstatus AS ids_newid,
+       CASE WHEN o_orderstatus = 'O' THEN 'gold' END AS oa_status
 FROM orders LEFT JOIN li ON li.l_orderkey = o_orderkey
 LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
 """,
@@ -59,14 +62,16 @@ SELECT 'S' || s_suppkey AS id,
        CAST(CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END AS BIGINT) AS n_issn,
        CAST(2 AS BIGINT) AS n_alternate_titles, CAST(1 AS BIGINT) AS n_apc_prices,
        CAST(floor(s_acctbal) AS BIGINT) AS first_price, CAST(1 AS BIGINT) AS n_topics,
-       CAST(0 AS BIGINT) AS n_counts_by_year, CAST(0 AS BIGINT) AS n_lineage, true AS ids_issn_null
+       CAST(0 AS BIGINT) AS n_counts_by_year, CAST(0 AS BIGINT) AS n_lineage, true AS ids_issn_null,
+       '[{"m":null,"n":"' || s_suppkey || '"}]' AS new_list
 FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey
 """,
     "institutions_convert": """
 SELECT 'I' || c_custkey AS id, substr(n_name, 1, 2) AS country_code, c_custkey AS works_count,
        'https://img/' || c_custkey AS image_url, substr(n_name, 1, 2) AS geo_country_code,
        c_mktsegment AS geo_city, substr(n_name, 1, 2) AS assoc_country_code, n_name AS assoc_display_name,
-       'associated_institutions,country_code,display_name,geo,id,image_url,works_count' AS top_keys
+       c_custkey AS geo_extra, '[{"works_count":"' || c_custkey || '","year":2020}]' AS counts_text,
+       'associated_institutions,country_code,counts_by_year,display_name,display_name_acronyms,geo,id,image_url,works_count' AS top_keys
 FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
 """,
     "ndjson_scan": f"""
@@ -291,7 +296,7 @@ UNION ALL SELECT 'props.key', count(*) FROM events
 WITH cat AS (
   SELECT DISTINCT event_type AS dataset, strftime(ts, '%Y%m%d') AS version,
          CAST(CASE WHEN user_id % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS pattern_rank
-  FROM events WHERE value > 150),
+  FROM events),
 r AS (SELECT *, row_number() OVER (PARTITION BY dataset
                                    ORDER BY (version = '20240115') DESC, version DESC, pattern_rank ASC) AS rn
       FROM cat)
@@ -304,7 +309,9 @@ SELECT o_orderstatus, count(*) AS n_orders, round(sum(o_totalprice), 2) AS sum_t
 """,
     "intake_stream": """
 SELECT l_returnflag, CAST(CASE WHEN l_returnflag IN ('A', 'N') THEN 1 ELSE 2 END AS BIGINT) AS run,
-       count(*) AS n_records
+       count(*) AS n_records, count(*) AS ledger_records, CAST(0 AS BIGINT) AS ledger_dropped
 FROM lineitem GROUP BY l_returnflag
+UNION ALL
+SELECT 'bad', 3, 0, 0, 1
 """,
 }

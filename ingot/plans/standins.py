@@ -32,7 +32,7 @@ from ingot.sinks.ndjson import write_lines, write_ndjson
 from ingot.sinks.table import BadRecordLimitExceeded, publish_table, read_table
 from ingot.sources.listing import count_folders, list_files
 from ingot.sources.manifest import manifest_document, read_manifest
-from ingot.sources.ndjson import parse_records, read_lines, read_records
+from ingot.sources.ndjson import parse_records, raw_lines, read_lines, read_records, with_names
 from ingot.sources.paths import parent_dir
 from ingot.streaming.intake import ndjson_table_handler, stream_intake
 
@@ -46,8 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def big_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table scan spread over the cluster's parallelism when it has fewer splits
-    (the driver tables are single-row-group files); unchanged at cluster scale."""
+    """A table scan; its splits follow ``spark.sql.files.maxPartitionBytes``."""
     return table(spark, sf_dir, name)
 
 
@@ -182,7 +181,7 @@ def q_manifest_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------- A3, G1 ---
 def q_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, _ = _lineitem_files(spark, sf_dir, "file_counts")
-    per_file = count_lines(read_lines(spark, f"{root}/lineitem", root=f"{root}/lineitem"), key="rel_path")
+    per_file = with_names(count_lines(raw_lines(spark, f"{root}/lineitem"), key="raw_path"), spark, f"{root}/lineitem")
     return (per_file.groupBy(parent_dir(F.col("rel_path")).alias("folder"))
             .agg(F.sum("actual").cast("bigint").alias("n_lines")))
 
@@ -214,8 +213,8 @@ def _validation_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     m_od = write_manifest(od_doc, f"{root}/manifests/orders/manifest")
     manifest = read_manifest(spark, [m_li, m_od], URL_PREFIX)
 
-    lines = read_lines(spark, [f"{root}/lineitem", f"{root}/orders"], root=root)
-    counts = (count_lines(lines, key="rel_path")
+    lines = raw_lines(spark, [f"{root}/lineitem", f"{root}/orders"])
+    counts = (with_names(count_lines(lines, key="raw_path"), spark, root)
               .select(F.regexp_extract("rel_path", "^([^/]+)/", 1).alias("dataset"),
                       parent_dir(F.col("rel_path")).alias("rel_path"), "actual")
               .groupBy("dataset", "rel_path").agg(F.sum("actual").cast("bigint").alias("actual")))
@@ -546,8 +545,8 @@ def q_unknown_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- J5 ---
 def schema_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A schema catalog derived from events: dataset = event type, version = day,
-    two file-name patterns; only days with a large event (value > 150) have a file."""
-    ev = table(spark, sf_dir, "events").where(F.col("value") > 150)
+    two file-name patterns."""
+    ev = table(spark, sf_dir, "events")
     cat = ev.select(F.col("event_type").alias("dataset"), F.date_format("ts", "yyyyMMdd").alias("version"),
                     F.when(F.col("user_id") % 2 == 0, 1).otherwise(2).cast("bigint").alias("pattern_rank")).distinct()
     suffix = F.when(F.col("pattern_rank") == 1, F.lit(".schema.json")).otherwise(F.lit("_schema.json"))
@@ -587,16 +586,22 @@ def q_intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "intake")
     landing, ckpt, tbl, led = f"{root}/landing", f"{root}/checkpoint", f"{root}/table", f"{root}/ledger"
     write_ndjson(li.where(F.col("l_returnflag").isin("A", "N")), landing, partition_by="l_returnflag")
-    q = stream_intake(spark, landing, ckpt, ndjson_table_handler(LINEITEM_JSON, tbl, led, run=1),
-                      max_files_per_trigger=8)
+    q = stream_intake(spark, landing, ckpt, ndjson_table_handler(LINEITEM_JSON, tbl, led, run=1))
+    q.awaitTermination()
+    # a round of broken lines and an empty file only: it must not stop the intake
+    bad = li.where(F.col("l_returnflag") == "A").groupBy("l_returnflag").agg(F.lit('{"l_orderkey": 1').alias("value")).select("value", F.lit("bad").alias("l_returnflag"))
+    write_lines(bad, landing, partition_by="l_returnflag", mode="append")
+    write_lines(bad.where("value = ''").select("value"), f"{landing}/l_returnflag=none")
+    q = stream_intake(spark, landing, ckpt, ndjson_table_handler(LINEITEM_JSON, tbl, led, run=3))
     q.awaitTermination()
     write_ndjson(li.where(~F.col("l_returnflag").isin("A", "N")), landing, partition_by="l_returnflag", mode="append")
-    q = stream_intake(spark, landing, ckpt, ndjson_table_handler(LINEITEM_JSON, tbl, led, run=2),
-                      max_files_per_trigger=8)
+    q = stream_intake(spark, landing, ckpt, ndjson_table_handler(LINEITEM_JSON, tbl, led, run=2))
     q.awaitTermination()
-    t = spark.read.parquet(tbl)
-    return (t.groupBy(F.regexp_extract("folder", "=(.*)$", 1).alias("l_returnflag"), F.col("run").cast("bigint").alias("run"))
-            .agg(F.count(F.lit(1)).alias("n_records")))
+    by = [F.regexp_extract("folder", "=(.*)$", 1).alias("l_returnflag"), F.col("run").cast("bigint").alias("run")]
+    t = spark.read.parquet(tbl).groupBy(*by).agg(F.count(F.lit(1)).alias("n_records"))
+    files = spark.read.parquet(led).withColumn("folder", parent_dir(F.col("file"))).groupBy(*by).agg(
+        F.sum("records").cast("bigint").alias("ledger_records"), F.sum("dropped").cast("bigint").alias("ledger_dropped"))
+    return files.join(t, ["l_returnflag", "run"], "left").na.fill(0, ["n_records"])
 
 
 # ------------------------------------------------------- works R1-R7 ---
@@ -613,7 +618,9 @@ def works_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     only for status F, with a null ``issn``; ``best_oa_location`` only for status O,
     without a source; ``authorships`` absent for 1-URGENT, institutions empty for
     negative balances, a null institution id in affiliations, null countries;
-    ``referenced_works`` absent for status P; an inverted index object.
+    ``referenced_works`` absent for status P; an inverted index object.  Untouched members that no
+    table schema has: ``brand_new``, ``ids.newid``, ``best_oa_location.oa_status``; a quoted number
+    and a timestamp with microseconds.
     """
     od = big_table(spark, sf_dir, "orders")
     li = big_table(spark, sf_dir, "lineitem")
@@ -640,7 +647,7 @@ def works_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("id"),
                  F.lit(None).cast("array<string>").alias("issn")).alias("source"),
         F.lit(True).alias("is_oa")))
-    best = F.when(status == "O", F.struct(F.lit(True).alias("is_oa")))
+    best = F.when(status == "O", F.struct(F.lit(True).alias("is_oa"), F.lit("gold").alias("oa_status")))
     inst = F.struct(F.concat(F.lit("I"), F.col("n_nationkey").cast("string")).alias("id"),
                     F.col("n_name").alias("display_name"), F.lit(None).cast("array<string>").alias("lineage"))
     author = F.struct(
@@ -658,7 +665,9 @@ def works_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array(F.concat(F.lit("W"), F.col("o_custkey").cast("string")))).alias("referenced_works")))
     # splice the raw-text members (object-or-array union, open map) into the object
     extra = F.concat(F.coalesce(F.concat(F.lit(',"apc_list":'), apc), F.lit("")),
-                     F.lit(',"abstract_inverted_index":{"'), prio, F.lit('":[0]}'))
+                     F.lit(',"abstract_inverted_index":{"'), prio, F.lit('":[0]}'),
+                     F.lit(',"brand_new":{"x":'), F.col("o_orderkey").cast("string"), F.lit(',"y":[1,null]},"cited_by_count":"'),
+                     F.col("o_custkey").cast("string"), F.lit('","updated_date":"2024-01-05T10:11:12.123456","ids":{"mag":"1","newid":"'), status, F.lit('"}'))
     line = F.concat(body.substr(F.lit(1), F.length(body) - 1), extra, F.lit("}"))
     return rec.select(line.alias("value"), F.concat(F.lit("updated_date="), status).alias("folder"))
 
@@ -672,7 +681,8 @@ def q_works_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "works_convert")
     write_lines(works_records(spark, sf_dir), f"{root}/raw/works", partition_by="folder")
     convert(spark, "works", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
-    w = read_records(spark, f"{root}/converted/works", table_schema("works"), root=f"{root}/converted/works")
+    lines = raw_lines(spark, f"{root}/converted/works").withColumn("line", F.col("value"))
+    w = parse_records(lines, table_schema("works"), keep=("line",))
     locs, auths = F.col("locations"), F.col("authorships")
 
     def total(arr, f):
@@ -697,7 +707,12 @@ def q_works_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
         total(auths, lambda a: F.size(a.getField("countries"))).alias("n_countries"),
         F.get(F.get(auths, 0).getField("institutions"), 0).getField("id").alias("inst_id"),
         F.size("referenced_works").cast("bigint").alias("n_referenced"),
-        F.col("abstract_inverted_index").alias("abstract_json"))
+        F.col("abstract_inverted_index").alias("abstract_json"),
+        F.get_json_object("line", "$.brand_new").alias("brand_new"),
+        F.regexp_extract("line", '"cited_by_count":("?[0-9]+"?)', 1).alias("cited_text"),
+        F.get_json_object("line", "$.updated_date").alias("updated_text"),
+        F.get_json_object("line", "$.ids.newid").alias("ids_newid"),
+        F.get_json_object("line", "$.best_oa_location.oa_status").alias("oa_status"))
 
 
 # ---------------------------------------------------------- sources R10 ---
@@ -722,7 +737,9 @@ def sources_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("n_name").alias("display_name")),
                 F.lit(None).cast("struct<id: string, display_name: string>")).alias("topics"),
         F.struct(F.lit(None).cast("array<string>").alias("issn"),
-                 F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("openalex")).alias("ids")))
+                 F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("openalex")).alias("ids"),
+        F.array(F.struct(F.col("s_suppkey").cast("string").alias("n"), nul.alias("m")), F.lit(None).cast("struct<n: string, m: string>")).alias("new_list")),
+        {"ignoreNullFields": "false"})
     line = F.concat(body.substr(F.lit(1), F.length(body) - 1),
                     F.lit(',"counts_by_year":null,"host_organization_lineage":null}'))
     return rec.select(line.alias("value"), F.concat(F.lit("updated_date="), F.col("n_regionkey").cast("string")).alias("folder"))
@@ -736,7 +753,8 @@ def q_sources_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "sources_convert")
     write_lines(sources_records(spark, sf_dir), f"{root}/raw/sources", partition_by="folder")
     convert(spark, "sources", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
-    w = read_records(spark, f"{root}/converted/sources", table_schema("sources"), root=f"{root}/converted/sources")
+    lines = raw_lines(spark, f"{root}/converted/sources").withColumn("line", F.col("value"))
+    w = parse_records(lines, table_schema("sources"), keep=("line",))
     return w.select("id",
                     F.size("issn").cast("bigint").alias("n_issn"),
                     F.size("alternate_titles").cast("bigint").alias("n_alternate_titles"),
@@ -745,7 +763,8 @@ def q_sources_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("topics").cast("bigint").alias("n_topics"),
                     F.size("counts_by_year").cast("bigint").alias("n_counts_by_year"),
                     F.size("host_organization_lineage").cast("bigint").alias("n_lineage"),
-                    F.col("ids.issn").isNull().alias("ids_issn_null"))
+                    F.col("ids.issn").isNull().alias("ids_issn_null"),
+                    F.get_json_object("line", "$.new_list").alias("new_list"))
 
 
 # ------------------------------------------------------- institutions R8/R9 ---
@@ -763,7 +782,9 @@ def institutions_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("I"), cid).alias("id"), F.col("c_name").alias("display_name"),
         cc.alias("country-code"), F.col("c_custkey").alias("works-count"),
         F.concat(F.lit("https://img/"), cid).alias("image-url"), F.lit("stale").alias("image_url"),
-        F.struct(cc.alias("country-code"), F.col("c_mktsegment").alias("city")).alias("geo"),
+        F.struct(cc.alias("country-code"), F.col("c_mktsegment").alias("city"), F.col("c_custkey").alias("extra-mix_ed-key")).alias("geo"),
+        F.array(F.struct(F.lit(2020).alias("year"), F.col("c_custkey").cast("string").alias("works-count"))).alias("counts_by_year"),
+        F.lit(1).alias("display-name_acronyms"),
         F.array(F.struct(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("id"),
                          cc.alias("country-code"), F.col("n_name").alias("display-name"))).alias("associated_institutions"),
         F.struct(F.struct(F.col("c_name").alias("zh-cn"), F.col("n_name").alias("pt-br")).alias("display_name"))
@@ -781,7 +802,7 @@ def q_institutions_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_lines(institutions_records(spark, sf_dir), f"{root}/raw/institutions", partition_by="folder")
     convert(spark, "institutions", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
     conv = f"{root}/converted/institutions"
-    lines = read_lines(spark, conv, root=conv).withColumnRenamed("value", "line").withColumn("value", F.col("line"))
+    lines = raw_lines(spark, conv).withColumn("line", F.col("value"))
     # one parse per line; the raw line is kept alongside to list its top-level keys
     w = parse_records(lines, table_schema("institutions"), keep=("line",))
     first = F.get("associated_institutions", 0)
@@ -789,6 +810,8 @@ def q_institutions_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "country_code", "works_count", "image_url", F.col("geo.country_code").alias("geo_country_code"),
         F.col("geo.city").alias("geo_city"), first.getField("country_code").alias("assoc_country_code"),
         first.getField("display_name").alias("assoc_display_name"),
+        F.get_json_object("line", "$.geo.extra_mix_ed_key").cast("bigint").alias("geo_extra"),
+        F.get_json_object("line", "$.counts_by_year").alias("counts_text"),
         F.array_join(F.sort_array(F.json_object_keys("line")), ",").alias("top_keys"))
 
 
