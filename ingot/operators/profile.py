@@ -70,6 +70,11 @@ def scalar_kind(v) -> str:
     return "STRING"
 
 
+def path_step(key: str) -> str:
+    """A key as one step of a path: its own dots and backslashes are escaped."""
+    return key.replace("\\", "\\\\").replace(".", "\\.")
+
+
 def _visit(v, path: str, out: Counter, in_array: bool, opaque: frozenset = frozenset()) -> None:
     if path in opaque and v is not None:
         # an open map kept as JSON text: one STRING fact, no descent into its keys
@@ -78,7 +83,7 @@ def _visit(v, path: str, out: Counter, in_array: bool, opaque: frozenset = froze
     if isinstance(v, dict):
         out[(path, "RECORD", in_array)] += 1
         for k, x in v.items():
-            _visit(x, f"{path}.{k}", out, False, opaque)
+            _visit(x, f"{path}.{path_step(k)}", out, False, opaque)
     elif isinstance(v, list):
         if in_array:
             out[(path, "NESTED_ARRAY", True)] += 1
@@ -111,7 +116,7 @@ def facts_of_lines(lines, opaque: frozenset = frozenset()) -> Counter:
             out[("", "INVALID", False)] += 1
             continue
         for k, x in rec.items():
-            _visit(x, k, out, False, opaque)
+            _visit(x, path_step(k), out, False, opaque)
     return out
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot.catalog import CONVERTIBLE, SCAN_MODE, check_datasets, table_schema
-from ingot.operators.repair import KEYS, repair
+from ingot.operators.repair import KEYS, repair, rules_for
 from ingot.operators.selection import parse_batch_range, pending, select_batch
 from ingot.operators.shape import VARIANT, check_names, merge_shapes, mixed, parse_shape, reader, record_shape, with_table_fields
 from ingot.plans.groups import GROUP_FILES, bisected, in_groups, names_by_path, setting
@@ -57,7 +57,7 @@ def batch_schema(dataset: str, shapes: list[str]) -> tuple[T.StructType, T.Struc
         raise ValueError(f"{dataset}: records of several kinds")
     check_names(shape)
     table = table_schema(dataset)
-    works = dataset == "works"
+    works, renames = dataset == "works", any(r.id == "R8" for r in rules_for(dataset))
     read, target, unclear = [], [], set()
     for f in shape.fields:
         if works and f.name not in WORKS_KEYS:
@@ -68,7 +68,7 @@ def batch_schema(dataset: str, shapes: list[str]) -> tuple[T.StructType, T.Struc
         if not works and f.name == "international":
             read.append(T.StructField(f.name, VARIANT))
             continue
-        if mixed(f.dataType) and not works:
+        if renames and mixed(f.dataType):
             unclear.add(f.name)
         kind = VARIANT if f.name in unclear else reader(f.dataType)
         own = with_table_fields(kind, table[f.name].dataType) if works and f.name in table.names else kind

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ingot.session import scratch_dir
+from ingot.session import fs_delete, scratch_dir
 
 GROUP_FILES = 500
 #: What the readers say about a file whose bytes are at fault.
@@ -39,8 +39,11 @@ def in_groups(files: DataFrame, group_files: int) -> Iterator[list]:
     files.select("path", "rel_path", F.floor(rank / group_files).alias("g")).write.parquet(path)
     listed = spark.read.parquet(path)
     n = listed.agg(F.max("g")).first()[0]
-    for g in range(0 if n is None else n + 1):
-        yield listed.where(F.col("g") == g).select("path", "rel_path").orderBy("path").collect()
+    try:
+        for g in range(0 if n is None else n + 1):
+            yield listed.where(F.col("g") == g).select("path", "rel_path").orderBy("path").collect()
+    finally:
+        fs_delete(spark, path)
 
 
 def bisected(rows: list, work: Callable[[list], list]) -> tuple[list, dict[str, str]]:

@@ -99,10 +99,11 @@ def dumps(schema: T.StructType, sort: bool = True) -> str:
 
 
 def flatten(schema: T.StructType, prefix: str = "") -> list[tuple[str, str, str]]:
-    """Depth-first ``(path, type, mode)`` list; arrays are transparent in the path."""
+    """Depth-first ``(path, type, mode)`` list; arrays are transparent in the path.  Dots and
+    backslashes inside a name are escaped with a backslash."""
     rows: list[tuple[str, str, str]] = []
     for f in schema.fields:
-        path = f"{prefix}{f.name}"
+        path = prefix + f.name.replace("\\", "\\\\").replace(".", "\\.")
         dt, mode = f.dataType, ("NULLABLE" if f.nullable else "REQUIRED")
         if isinstance(dt, T.ArrayType):
             dt, mode = dt.elementType, "REPEATED"
@@ -118,6 +119,19 @@ def path_table(spark: SparkSession, schemas: dict[tuple[str, str], T.StructType]
     return spark.createDataFrame(rows, PATH_SCHEMA)
 
 
+def split_path(path: str) -> list[str]:
+    """The names of a path; a backslash takes the next character as part of its name."""
+    if "\\" not in path:
+        return path.split(".")
+    names, chars = [""], iter(path)
+    for c in chars:
+        if c == ".":
+            names.append("")
+        else:
+            names[-1] += next(chars, "") if c == "\\" else c
+    return names
+
+
 def struct_from_paths(rows: Iterable[tuple[str, str, str]]) -> T.StructType:
     """Inverse of :func:`flatten`: rebuild a StructType from ``(path, type, mode)`` rows.
 
@@ -127,7 +141,7 @@ def struct_from_paths(rows: Iterable[tuple[str, str, str]]) -> T.StructType:
     tree: dict = {}
     for path, typ, mode in rows:
         node = tree
-        parts = path.split(".")
+        parts = split_path(path)
         for p in parts[:-1]:
             node = node.setdefault(p, {"type": "RECORD", "mode": "NULLABLE", "children": {}})["children"]
         leaf = node.setdefault(parts[-1], {"children": {}})

@@ -45,25 +45,3 @@ def read_totals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return (spark.read.option("multiLine", True).schema(MANIFEST_DDL).json(paths)
             .select(F.regexp_extract(metadata_path(F.col("_metadata.file_path")), r"([^/]+)/[^/]+$", 1).alias("dataset"),
                     F.col("meta.record_count").alias("total")))
-
-
-def manifest_document(entries: DataFrame, url_prefix: str, totals: DataFrame | None = None) -> DataFrame:
-    """Build one manifest document from ``(rel_path, expected)`` rows.
-
-    ``meta.record_count`` is the sum of the entries unless ``totals`` (one row,
-    column ``total``) gives the dataset's own count.  The document is a single
-    row by definition; its size is the number of files listed, so the one
-    group holds file names, not records.
-    """
-    rows = entries.select("rel_path", F.col("expected").cast("bigint").alias("expected"),
-                          F.lit(None).cast("bigint").alias("_total"))
-    if totals is not None:
-        rows = rows.unionByName(totals.select(F.lit(None).cast("string").alias("rel_path"),
-                                              F.lit(None).cast("bigint").alias("expected"),
-                                              F.col("total").cast("bigint").alias("_total")))
-    total = F.sum("_total") if totals is not None else F.sum("expected")
-    return (rows.agg(total.alias("total"),
-                     F.sort_array(F.collect_list(F.when(F.col("rel_path").isNotNull(), F.struct(
-                         F.concat(F.lit(url_prefix), F.col("rel_path")).alias("url"),
-                         F.struct(F.col("expected").alias("record_count")).alias("meta"))))).alias("entries"))
-            .select(F.struct(F.col("total").alias("record_count")).alias("meta"), "entries"))
