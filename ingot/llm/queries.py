@@ -95,6 +95,29 @@ m AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op2_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, 1000 * j AS o, substr(h, CAST(2000 * j + 1 AS BIGINT), 2198) AS h FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2000 + 1)) AS j FROM d)),
+f AS (SELECT doc_id, o + i AS i, substr(h, 2 * i + 1, 200) AS x FROM (SELECT doc_id, o, h, unnest(range(0, least(1000, len(h) // 2 - 99))) AS i FROM c)),
+p AS (SELECT doc_id, i, row_number() OVER (PARTITION BY hash(x), hash(x || '.') ORDER BY doc_id, i) AS k FROM f),
+m AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM p WHERE k > 1),
+g AS (SELECT doc_id, i, sum(CASE WHEN gap <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM m),
+x AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, s),
+y AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM x),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+             string_agg(substr(h, CAST(2 * z + 1 AS BIGINT), CAST(2 * (a - z) AS BIGINT)), '' ORDER BY a) AS head FROM y JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""",
+    "op8_minhash_odd_sketch": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+e AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2)
+      JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c AS component_id, c = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM r GROUP BY 1) ON a = d.doc_id""",
     "op6_grace_exact_dedup": """
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS s FROM documents),
 g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY s ORDER BY points DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size FROM t)
