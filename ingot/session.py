@@ -59,7 +59,17 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the shared root (not created)."""
-    return f"{shared_root(spark)}/ingot-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own part of the shared folder."""
+    return f"{shared_root(spark)}/ingot-scratch/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes all scratch data of this application, once its results are written elsewhere."""
+    fs_delete(spark, scratch_root(spark))
 
 
 def fs_exists(spark: SparkSession, path: str) -> bool:
@@ -111,4 +121,5 @@ def fs_delete(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["get_spark", "shared_root", "scratch_dir", "fs_exists",
-           "fs_write_text", "fs_read_text", "fs_rename", "fs_delete"]
+           "fs_write_text", "fs_read_text", "fs_rename", "fs_delete",
+           "scratch_root", "clear_scratch"]
