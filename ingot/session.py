@@ -1,12 +1,15 @@
 """Session helpers: a configured SparkSession and a shared scratch area.
 
 Scratch data always lives under the shared folder the cluster names in
-``spark.checkpoint.dir`` (or the context's checkpoint directory).  Where neither is set the
-caller gets an error: a folder of the driver's own would not be seen by the executors.
+``spark.checkpoint.dir`` (or the context's checkpoint directory).  Where neither is set, a
+local session (tests, a laptop) gets a folder of its own; on a cluster the caller gets an
+error, for a folder of the driver's own would not be seen by the executors.
 """
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,7 +56,10 @@ def shared_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ingot-ckpt-"))  # one process on one machine: tests, a laptop
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 

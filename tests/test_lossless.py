@@ -198,12 +198,14 @@ def test_tables_and_files_are_swapped_in_one_step(spark, tmp_path):
     assert fs_read_text(spark, p) == "two" and os.listdir(tmp_path / "t")
 
 
-def test_a_session_without_a_shared_folder_is_refused():
+def test_a_cluster_without_a_shared_folder_is_refused():
     class Conf:
         def get(self, *a):
             return None
 
     class Context:
+        master = "spark://somewhere:7077"
+
         def getCheckpointDir(self):
             return None
 
