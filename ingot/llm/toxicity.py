@@ -82,52 +82,59 @@ def counted(sample: DataFrame) -> DataFrame:
         F.first("stem").alias("stem"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def arrays(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded table to the driver: its key column sorted, the other columns as rows."""
-    p = df.toPandas()
-    k = p[key].to_numpy(np.int64).view(U64)
+def arrays(df: DataFrame, key: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """A bounded table to the driver: its key column sorted, and the other columns by name."""
+    t = df.toArrow()
+    k = t.column(key).to_numpy().view(U64)
     order = np.argsort(k)
-    return k[order], p.drop(columns=[key]).to_numpy(np.float64)[order].T
+    return k[order], {c: t.column(c).to_numpy()[order] for c in t.column_names if c != key}
+
+
+def single(*columns: np.ndarray) -> np.ndarray:
+    return np.stack(columns).astype(np.float32)
 
 
 class KneserNey:
     """Class-conditional tables; the class index is 1 for toxic, 0 for ordinary."""
 
     def __init__(self, bigrams: DataFrame):
-        """``bigrams``: the counts of a bounded sample (``counted``).  Pairs and words seen
-        once in both classes together are left to their backoff."""
+        """``bigrams``: the counts of a bounded sample (``counted``).  Words seen once and pairs
+        seen once or twice in both classes together are left to their backoff."""
         seen = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"t{c}") for c in (1, 0)]
         total = [F.sum(f"n{c}").alias(f"n{c}") for c in (1, 0)]
         by_v = bigrams.groupBy(F.col("v").alias("x")).agg(*[F.sum(f"n{c}").alias(f"a{c}") for c in (1, 0)], *[F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"b{c}") for c in (1, 0)])
         by_w = bigrams.groupBy(F.col("w").alias("x")).agg(*seen, *total, F.first("stem").alias("stem"))
         one = by_w.join(by_v, "x", "full").na.fill(0).where("n1 + n0 + a1 + a0 > 2")
-        self.words, (t1, t0, n1, n0, a1, a0, b1, b0) = arrays(one.select("x", "t1", "t0", "n1", "n0", "a1", "a0", "b1", "b0"), "x")
-        stems = one.select("x", F.col("stem").alias("s")).toPandas().sort_values("x", key=lambda s: s.to_numpy(np.int64).view(U64))
-        word_stem = stems["s"].to_numpy(np.int64).view(U64)
-        self.stems, (s1, s0) = arrays(by_w.groupBy("stem").agg(F.sum("t1").alias("s1"), F.sum("t0").alias("s0")), "stem")
-        t, s = np.stack([t0, t1]), np.stack([s0, s1])
+        self.words, c = arrays(one.drop("n1", "n0"), "x")
+        word_stem = c["stem"].view(U64)
+        t, a, b = (single(c[f"{k}0"], c[f"{k}1"]) for k in "tab")
+        del c
+        self.stems, c = arrays(by_w.groupBy("stem").agg(F.sum("t1").alias("s1"), F.sum("t0").alias("s0")), "stem")
+        s = single(c["s0"], c["s1"])
         types = by_w.agg(F.sum("t1"), F.sum("t0"), F.sum((F.col("t1") > 0).cast("long")), F.sum((F.col("t0") > 0).cast("long"))).first()
         bigram_types, word_types = np.array([types[1], types[0]], float), np.array([types[3], types[2]], float)
         shared_stem = (s.sum(0) + 0.5) / (s.sum() + 0.5 * (len(self.stems) + 1))
         left = DISCOUNT * (s > 0).sum(1) / s.sum(1)
         self.stem_p = np.maximum(s - DISCOUNT, 0) / s.sum(1, keepdims=True) + left[:, None] * shared_stem
         unseen = 0.5 / (s.sum() + 0.5 * (len(self.stems) + 1))
-        self.stem_p = np.concatenate([self.stem_p, (left * unseen)[:, None]], 1)
+        self.stem_p = np.concatenate([self.stem_p, (left * unseen)[:, None]], 1).astype(np.float32)
         self.rest = DISCOUNT * word_types / bigram_types  # of a class's continuation mass, to the stems
         # among the words of a stem, counts that both classes share
         own = find(self.stems, word_stem)
         within = (t.sum(0) + 0.5) / (np.append(s.sum(0), 0.0)[own] + 1.0)
         self.word_p = np.maximum(t - DISCOUNT, 0) / bigram_types[:, None] + self.rest[:, None] * self.stem_p[:, own] * np.minimum(within, 1)
-        a, b = np.stack([a0, a1]), np.stack([b0, b1])
+        self.word_p = self.word_p.astype(np.float32)
         self.gamma = (DISCOUNT * b + PRIOR) / (a + PRIOR)
-        self.gamma = np.concatenate([self.gamma, np.ones((2, 1))], 1)
-        self.context = np.concatenate([a, np.zeros((2, 1))], 1)
-        pair = bigrams.where("n1 + n0 > 1").select("v", "w", "n1", "n0").toPandas()
-        key = self.pair(pair["v"].to_numpy(np.int64).view(U64), pair["w"].to_numpy(np.int64).view(U64))
+        self.gamma = np.concatenate([self.gamma, np.ones((2, 1))], 1).astype(np.float32)
+        self.context = np.concatenate([a, np.zeros((2, 1), np.float32)], 1)
+        p = bigrams.where("n1 + n0 > 2").select("v", "w", "n1", "n0").toArrow()
+        key = self.pair(p.column("v").to_numpy().view(U64), p.column("w").to_numpy().view(U64))
         order = np.argsort(key)
         self.pairs = key[order]
-        n = pair[["n0", "n1"]].to_numpy(np.float64)[order].T
-        self.pair_n = np.concatenate([np.maximum(n - DISCOUNT, 0), np.zeros((2, 1))], 1)
+        n = np.maximum(single(p.column("n0").to_numpy()[order], p.column("n1").to_numpy()[order]) - DISCOUNT, 0)
+        self.pair_n = np.concatenate([n, np.zeros((2, 1), np.float32)], 1)
+        del p
+        pa.default_memory_pool().release_unused()
 
     @staticmethod
     def pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -141,7 +148,7 @@ class KneserNey:
         known = w_at < len(self.words)
         out = []
         for c in (0, 1):
-            p = self.rest[c] * self.stem_p[c][s_at] * 0.5 / (1 + len(self.words))
+            p = self.rest[c] * self.stem_p[c][s_at].astype(np.float64) * 0.5 / (1 + len(self.words))
             p[known] = self.word_p[c][w_at[known]]
             p *= self.gamma[c][v_at]
             out.append(p + self.pair_n[c][p_at] / (self.context[c][v_at] + PRIOR))
@@ -233,6 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, folds: int = 4
                 yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), batch.column(1).slice(i, j - i)], names=[*EVIDENCE, "toxic"])
 
     x = sample.where("unseen").select("text", "toxic").mapInArrow(run, ", ".join(f"{k} double" for k in EVIDENCE) + ", toxic int").toPandas()
+    shipped.destroy()
     y = x["toxic"].to_numpy(float)
     if not 0 < y.sum() < len(y):
         return Scorer(model, np.array([10.0, 0.0, 0.0, 0.0, np.log(max(share, 1e-6) / max(1 - share, 1e-6))]), share)
