@@ -119,10 +119,10 @@ def with_rates(df: DataFrame, lam: dict[str, dict], into: str) -> DataFrame:
 
 def rounded(df: DataFrame, group: str, size: str, rate: str, doc_col: str, into: str, cap: int, block_rows: int) -> DataFrame:
     """``df`` with whole ``copies`` for its rates, by error diffusion within blocks of a group."""
-    block, parts = fresh(df, "_block"), fresh(df, "_parts")
-    counts = df.groupBy(group).agg(F.ceil(F.count("*") / block_rows).alias(parts)).withColumnRenamed(group, "_group")
-    x = df.join(counts, df[group].eqNullSafe(counts["_group"])).withColumn(
-        block, F.pmod(F.xxhash64(F.col(doc_col), F.lit(7)), F.col(parts))).drop(parts, "_group")
+    block, parts, own = (fresh(df, c) for c in ("_block", "_parts", "_group"))
+    counts = df.groupBy(F.col(group).alias(own)).agg(F.ceil(F.count("*") / block_rows).alias(parts))
+    x = df.join(counts, df[group].eqNullSafe(counts[own])).withColumn(
+        block, F.pmod(F.xxhash64(F.col(doc_col), F.lit(7)), F.col(parts))).drop(parts, own)
     x = x.repartition(group, block).sortWithinPartitions(group, block, F.desc(size), doc_col)
     schema = df.withColumn(into, F.lit(0).cast("int")).schema
     at = {c: x.columns.index(c) for c in (group, block, size, rate)}
