@@ -122,6 +122,17 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM r GROUP BY 1)
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS s FROM documents),
 g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY s ORDER BY points DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(s) AS text_sha256 FROM g""",
+    "op9_prefix_sum_shards": """
+WITH t AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+           FROM (SELECT unnest(range(0, 256)) AS n)),
+b AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+d AS (SELECT doc_id, octet_length(raw) + 8 AS size,
+             list_prepend(4294967295, list_transform(regexp_extract_all(hex(raw), '..'), lambda x: CAST('0x' || x AS BIGINT))) AS b FROM b),
+c AS (SELECT doc_id, CAST(size AS BIGINT) AS size, xor(4294967295, list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS text_crc32 FROM d, t),
+s AS (SELECT *, sum(size) OVER (ORDER BY doc_id) AS upto, sum(size) OVER () AS total FROM c),
+h AS (SELECT *, CAST(least(23, (2 * upto - size) * 24 // (2 * total)) AS INTEGER) AS shard FROM s)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM h""",
     "op10_url_vocabulary": f"""
 WITH h AS (SELECT page_id, {LOWER.format("coalesce(url, '')")} AS u,
                   {LOWER.format("coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')")} AS host,
