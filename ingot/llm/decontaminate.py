@@ -15,8 +15,6 @@ once per id, repeated documents each get their own row; an empty benchmark hits
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,30 +27,62 @@ ARROW_TYPE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items"
 
 
 class NgramSet:
-    """Windows by length: sorted hashes with a bit filter in front; windows by hash, with
-    their words and the items that contain them."""
+    """The windows of some items, in flat arrays: the items' words joined by spaces, and for each
+    window length its different windows sorted by hash, each with its place in that text and
+    the items that contain it; a bit filter in front."""
 
     def __init__(self, items: list[tuple[str, str | None]], n: int):
-        ids = [i for i, _ in items]
         data, offsets = utf8(pa.array([t or "" for _, t in items], pa.large_string()))
         data = lower_az()[data]
         h, starts, ends, first = words(data, offsets, "alnum")
-        text = data.tobytes()
-        self.grams: dict[int, dict[int, dict[bytes, set[str]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(set)))
-        for r, item in enumerate(ids):
-            a, b = int(first[r]), int(first[r + 1])
-            k = min(n, b - a)
-            if k:
-                for i, x in enumerate(windows(h[a:b], k).tolist(), a):
-                    self.grams[k][x][b" ".join(text[starts[j]:ends[j]] for j in range(i, i + k))].add(item)
-        self.grams = {k: {x: dict(w) for x, w in g.items()} for k, g in self.grams.items()}
-        self.sorted = {k: np.sort(np.fromiter(g, np.uint64, len(g))) for k, g in self.grams.items()}
-        self.filters = {}
-        for k, s in self.sorted.items():
-            bits = min(26, max(16, len(s).bit_length() + 6))
-            f = np.zeros(1 << bits, bool)
-            f[s >> np.uint64(64 - bits)] = True
-            self.filters[k] = (bits, f)
+        self.ids = [i for i, _ in items]
+        inside = np.zeros(len(data) + 1, np.int32)
+        inside[starts] += 1
+        inside[ends] -= 1
+        kept = np.cumsum(inside[:-1]) > 0
+        size = ends - starts
+        self.end = np.cumsum(size + 1) - 1
+        self.start = self.end - size
+        text = np.full(int(self.end[-1]) + 1 if len(size) else 0, 32, np.uint8)
+        spot = np.ones(len(text), bool)
+        spot[self.end] = False
+        text[spot] = data[kept]
+        self.text = text.tobytes()
+        self.tables = {}
+        row = np.repeat(np.arange(len(items)), np.diff(first))
+        length = np.minimum(n, np.diff(first))
+        for k in sorted(set(length[length > 0].tolist())):
+            at = np.arange(len(h) - k + 1)
+            at = at[(length[row[at]] == k) & (row[at] == row[at + k - 1])]
+            w = windows(h, k)[at]
+            order = np.lexsort((row[at], w))
+            self.tables[k] = self.table(w[order], at[order], row[at][order], k)
+
+    def table(self, w: np.ndarray, at: np.ndarray, row: np.ndarray, k: int) -> tuple:
+        """Different windows with their items; equal hashes are told apart by their words."""
+        new = np.concatenate([[True], w[1:] != w[:-1]])
+        heads = np.flatnonzero(new)
+        for i in np.flatnonzero(~new).tolist():
+            if self.gram(int(at[i]), k) != self.gram(int(at[i - 1]), k):
+                new[i] = True  # two windows under one hash: each occurrence stands for itself
+        heads = np.flatnonzero(new)
+        bits = min(26, max(16, len(heads).bit_length() + 6))
+        f = np.zeros(1 << bits, bool)
+        f[w >> np.uint64(64 - bits)] = True
+        return w[heads], at[heads], np.append(heads, len(w)), row, bits, f
+
+    def gram(self, at: int, k: int) -> bytes:
+        return self.text[self.start[at]:self.end[at + k - 1]]
+
+    def items(self, k: int, h: np.uint64, gram: bytes) -> set[str]:
+        """The items that contain the window."""
+        hashes, at, span, row, _, _ = self.tables[k]
+        i, found = int(np.searchsorted(hashes, h)), set()
+        while i < len(hashes) and hashes[i] == h:
+            if self.gram(int(at[i]), k) == gram:
+                found |= {self.ids[r] for r in row[span[i]:span[i + 1]].tolist()}
+            i += 1
+        return found
 
     def scan(self, data: np.ndarray, offsets: np.ndarray):
         """For some rows: words, hit words, items, and the hit words as a mask over all words
@@ -61,15 +91,14 @@ class NgramSet:
         h, starts, ends, first = words(data, offsets, "alnum")
         cover = np.zeros(len(h) + 1, np.int64)
         items: list[set[str]] = [set() for _ in range(len(offsets) - 1)]
-        for k, known in self.sorted.items():
+        for k, (known, _, _, _, bits, f) in self.tables.items():
             w = windows(h, k)
-            bits, f = self.filters[k]
             at = np.flatnonzero(f[w >> np.uint64(64 - bits)])
             at = at[known[np.minimum(np.searchsorted(known, w[at]), len(known) - 1)] == w[at]]
             row = np.searchsorted(first, at, side="right") - 1
             inside = at + k <= first[row + 1]
             for i, r in zip(at[inside].tolist(), row[inside].tolist()):
-                found = self.grams[k][int(w[i])].get(b" ".join(data[starts[j]:ends[j]].tobytes() for j in range(i, i + k)))
+                found = self.items(k, w[i], b" ".join(data[starts[j]:ends[j]].tobytes() for j in range(i, i + k)))
                 if found:
                     cover[i] += 1
                     cover[i + k] -= 1
