@@ -7,11 +7,13 @@
    of exact copies never meet in a join.
 3. Nodes that share a band key are tied to the key's smallest node; the connected components
    of these ties are the candidate clusters.  Every linked pair that shares a band lies in one.
-4. Inside a cluster, pairs are taken in order of the population count of their sketches' XOR.
-   Pairs beyond a bound that a linked pair practically never reaches are skipped, as are pairs
-   already connected; the rest are confirmed on their full shingle sets.  A cluster over
-   ``block_weight`` is dealt in blocks, each pair of blocks its own group, so no group and no
-   task holds more than two blocks.  Only a spanning set of confirmed links leaves a group.
+4. Inside a cluster, a document's pairs are taken in order of the population count of their
+   sketches' XOR.  Pairs beyond a bound that a linked pair practically never reaches are skipped,
+   as are pairs already connected; the rest are confirmed on their full shingle sets.  In a cluster
+   over ``block_weight`` the ties are confirmed first, which is linear in its members; those
+   outside its largest part so far then meet all others in blocks, each pair of blocks its own
+   group, so no group and no task holds more than two blocks.  Only a spanning set of confirmed
+   links leaves a group.
 5. Components of the confirmed links, with the members of each node joined back.
 
 A pair at similarity 0.85 shares no band with probability (1 - 0.85**5)**32 = 7e-9.
@@ -113,61 +115,100 @@ def sketch_bound(threshold: float, samples: int = BANDS * ROWS, bits: int = SKET
 
 def confirm(ids: list[int], side: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray, percent: int, bound: float) -> list[tuple[int, int]]:
     """Links that span the components among the given documents; of two blocks (``side``), only
-    pairs across are looked at."""
-    parent = list(range(len(ids)))
-
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    pairs across are looked at.  Each document meets those that it is not connected with yet,
+    the most similar sketches first; memory is that of one document's row of counts."""
     size = np.array([len(s) for s in sets], np.int64)
-    found_i, found_j, found_c = [], [], []
+    label = np.arange(len(ids))  # component so far
     two = bool(side.any()) and not bool(side.all())
+    right = np.flatnonzero(side)
+    links = []
     for i in range(len(ids)):
         if two and side[i]:
             continue
-        others = np.flatnonzero(side) if two else np.arange(i + 1, len(ids))
-        others = others[(100 * size[others] >= percent * size[i]) & (100 * size[i] >= percent * size[others])]
+        others = right if two else np.arange(i + 1, len(ids))
+        others = others[(label[others] != label[i]) & (100 * size[others] >= percent * size[i]) & (100 * size[i] >= percent * size[others])]
         count = np.bitwise_count(sketches[others] ^ sketches[i]).sum(1)
         near = count <= bound
-        found_i.append(np.full(int(near.sum()), i))
-        found_j.append(others[near])
-        found_c.append(count[near])
-    if not found_i:
-        return []
-    ci, cj, cc = map(np.concatenate, (found_i, found_j, found_c))
-    links = []
-    for k in np.argsort(cc, kind="stable").tolist():
-        i, j = int(ci[k]), int(cj[k])
-        a, b = root(i), root(j)
-        if a == b:
-            continue
-        both = np.concatenate([sets[i], sets[j]])
-        both.sort()
-        common = int((both[1:] == both[:-1]).sum())
-        if ids[i] == ids[j] or 100 * common >= percent * (len(both) - common):
-            parent[a] = b
-            links.append((ids[i], ids[j]))
+        for j in others[near][np.argsort(count[near], kind="stable")].tolist():
+            if label[i] == label[j]:
+                continue
+            if ids[i] == ids[j] or jaccard_reaches(sets[i], sets[j], percent):
+                label[label == label[j]] = label[i]
+                links.append((ids[i], ids[j]))
     return links
 
 
+def jaccard_reaches(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([a, b])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
+def with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` (with a column rep) and the text of the document rep.  The plan is held to one
+    form: the members grow with the corpus, so they are not broadcast at any size."""
+    texts = docs.hint("merge").join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
+    return rows.join(texts, "rep")
+
+
+def star_links(ties: DataFrame, docs: DataFrame, percent: int, n: int, rows_each: int) -> DataFrame:
+    """The ties (a, rep) that are links.  A node's ties are dealt in runs of about ``rows_each``,
+    each led by the node itself, so a hub is as many tasks as it needs and a task holds one set."""
+    runs = ties.groupBy("a").agg(F.ceil(F.count("*") / rows_each).alias("runs"))
+    member = ties.join(runs, "a").select("a", F.pmod(F.xxhash64("rep"), F.col("runs")).alias("run"), F.lit(1).alias("place"), "rep")
+    leader = runs.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("runs") - 1)).alias("run"), F.lit(0).alias("place"), F.col("a").alias("rep"))
+    rows = with_texts(member.unionByName(leader), docs).select("a", "run", "place", "rep", "text")
+    rows = rows.repartition("a", "run").sortWithinPartitions("a", "run", "place")
+
+    def run(batches):
+        key, lead = None, None
+        for batch in batches:
+            a, r, place, rep = (batch.column(c).to_pylist() for c in range(4))
+            data, offsets = utf8(batch.column(4))
+            out = []
+            for i, j in blocks(offsets):
+                x, first = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], n)
+                for k in range(i, j):
+                    own = x[first[k - i]:first[k - i + 1]]
+                    if place[k] == 0 and (a[k], r[k]) != key:
+                        key, lead = (a[k], r[k]), own.copy()
+                    elif jaccard_reaches(lead, own, percent):
+                        out.append((a[k], rep[k]))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def links(nodes: DataFrame, docs: DataFrame, percent: int, n: int, block_weight: int) -> DataFrame:
     """Confirmed links (a, b) that span the components of the nodes (rep, n_shingles, sketch, bands)."""
     keys = nodes.select("rep", F.explode("bands").alias("key"))
     low = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("key", "a")
-    clusters = components(keys.join(low, "key").select("a", F.col("rep").alias("b")), "near-candidates")
-    members = nodes.join(clusters.withColumnRenamed("id", "rep"), "rep").select("rep", "component", "n_shingles", "sketch")
-    dealt = written(members, "near-members")
-    parts = dealt.groupBy("component").agg(F.ceil(F.sum(F.col("n_shingles") + 500) / block_weight).alias("parts"))
-    mine = F.pmod(F.xxhash64("rep"), F.col("parts"))
-    tasks = (dealt.join(parts, "component").withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-             .select("rep", "sketch", "component", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine"))
-    # The plan is held to one form: the members grow with the corpus, so they are not broadcast at any size.
-    texts = docs.hint("merge").join(dealt.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
-    rows = tasks.join(texts, "rep").select("component", "p", "q", "mine", "rep", "sketch", "text")
+    ties = written(keys.join(low, "key").where("a < rep").select("a", "rep").distinct(), "near-ties")
+    clusters = components(ties.withColumnRenamed("rep", "b"), "near-candidates").withColumnRenamed("id", "rep")
+    weight = (F.col("n_shingles") + 500).alias("weight")
+    dealt = written(nodes.join(clusters, "rep").select("rep", "component", weight, "sketch"), "near-members")
+    parts = dealt.groupBy("component").agg(F.ceil(F.sum("weight") / block_weight).alias("parts"))
+    small = dealt.join(parts.where("parts = 1"), "component").select("rep", "sketch", "component", *(F.lit(0).cast("long").alias(c) for c in ("p", "q", "mine")))
+
+    # Large clusters: their ties first, which is linear.  Who is in the largest part then, meets
+    # only those who are not; mostly there is nobody left.
+    large = written(dealt.join(parts.where("parts > 1"), "component").select("rep", "component", "weight", "sketch"), "near-large")
+    stars = written(star_links(ties.join(large.select("rep"), "rep"), docs, percent, n, 1000), "near-stars")
+    label = components(stars, "near-parts").select(F.col("id").alias("rep"), F.col("component").alias("label"))
+    state = large.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    size = state.groupBy("component", "label").agg(F.count("*").alias("rows"))
+    core = size.groupBy("component").agg(F.max_by("label", F.struct("rows", "label")).alias("core"))
+    state = state.join(core, "component").withColumn("open", F.col("label") != F.col("core"))
+    counts = state.groupBy("component").agg(*[F.ceil(F.sum(F.when(F.col("open") == v, F.col("weight")).otherwise(0)) / block_weight).alias(c) for c, v in (("open_parts", True), ("core_parts", False))])
+    state = state.join(counts.where("open_parts > 0"), "component")
+    state = state.withColumn("mine", F.when(F.col("open"), F.pmod(F.xxhash64("rep"), F.col("open_parts"))).otherwise(
+        F.col("open_parts") + F.pmod(F.xxhash64("rep"), F.greatest("core_parts", F.lit(1)))))
+    last = F.when(F.col("open"), F.col("open_parts") + F.col("core_parts")).otherwise(F.col("open_parts")) - 1
+    pairs = state.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
+        "rep", "sketch", "component", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine")
+
+    rows = with_texts(small.unionByName(pairs), docs).select("component", "p", "q", "mine", "rep", "sketch", "text")
     # A block against itself holds each member once, two blocks hold both.
     rows = rows.repartition("component", "p", "q").sortWithinPartitions("component", "p", "q")
     bound = sketch_bound(percent / 100)
@@ -197,7 +238,7 @@ def links(nodes: DataFrame, docs: DataFrame, percent: int, n: int, block_weight:
         if ids:
             yield done()
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long").unionByName(stars)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, n: int = 5, text_col: str = "text", doc_col: str = "doc_id",
