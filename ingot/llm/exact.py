@@ -177,7 +177,7 @@ def classes(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     names, types = ["digest", "keep_id", "group_size"], [pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches):
-        records = (tuple(r.values()) for b in batches for r in b.to_pylist())
+        records = (tuple(x.as_py() for x in row) for b in batches for row in zip(*b.columns))
         yield from as_batches(((e[0], None if e[3] == NO_ID else e[3], e[4]) for e in grace(records, budget)), names, types)
 
     return folded(docs, budget).repartition("digest").mapInArrow(run, "digest binary, keep_id long, group_size long")
