@@ -41,8 +41,11 @@ from ingot.session import scratch_dir
 
 MAGIC = b"INGTOKS1"
 FOOTER = "<8sIIQQQQqQ"  # magic, id bytes, levels, documents, ids, keys, index at, first null row or -1, null rows
-MAX_CACHED, MAX_CACHED_WORD = 250_000, 64
-WORD = re.compile("[a-z\u00DF-\u00F6\u00F8-\u00FE]+")
+MAX_CACHED, MAX_CACHED_WORD = 500_000, 64
+#: How the vocabulary's splitter parts a lower-case word of Latin-1 characters: contractions,
+#: letters, single digits, other marks.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00AA\u00B5\u00BA\u00DF-\u00F6\u00F8-\u00FF]+|[0-9\u00B2\u00B3\u00B9\u00BC-\u00BE]"
+                    "|[^\t\n\x0b\x0c\r \u0085\u00A00-9a-z\u00AA\u00B5\u00BA\u00DF-\u00F6\u00F8-\u00FF\u00B2\u00B3\u00B9\u00BC-\u00BE]+")
 #: Where the short way does not hold: a mark before a full stop or comma joins it, and special
 #: tokens are found before lower-casing.
 UNCLEAR = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,](?:[ \n])|<\|")
@@ -67,7 +70,7 @@ class Encoder:
 
     Texts of Latin-1 characters take the short way: lower-cased, full stops and commas at the
     ends of words set apart, split at spaces and line feeds.  That is what the vocabulary's
-    normaliser and splitter do there, so words can be encoded one by one; words of letters go
+    normaliser and splitter do there, so words can be encoded one by one, and their pieces go
     straight to the vocabulary's model.  Other texts are split at spaces only, and each word
     runs through the whole tokenizer.
 
@@ -80,28 +83,29 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer, self.type = Tokenizer.from_file(path), np.dtype(f"<u{width}")
         self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.raw = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.tables = {True: ({}, {}), False: ({}, {})}  # by way: new and old generation
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def word(self, w: str) -> bytes:
-        """The ids of a lower-case word of Latin-1 letters."""
-        x = w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(x)], self.type).tobytes()
+    def piece(self, w: str) -> bytes:
+        """The ids of one piece (lower-case Latin-1 letters, a digit, or marks)."""
+        x = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.raw[t.id] for t in self.model.tokenize(x)])
 
     def learn(self, words: set[str], short: bool) -> dict[str, bytes]:
-        """The ids of words that the new generation lacks."""
+        """The ids of words that the new generation lacks; kept unless long."""
         known, old = self.tables[short]
-        out = {w: old[w] for w in words if w in old}
-        rest = []
+        out = {}
         for w in words:
-            if w not in out:
-                if short and WORD.fullmatch(w):
-                    out[w] = self.word(w)
-                else:
-                    rest.append(w)
-        out.update(zip(rest, self.plain(rest)))
+            if w in old:
+                out[w] = old[w]
+            elif short:
+                out[w] = b"".join([known[x] if x in known else self.piece(x) for x in PIECES.findall(w)])
+        if not short:
+            rest = [w for w in words if w not in out]
+            out.update(zip(rest, self.plain(rest)))
         if len(known) + len(out) > MAX_CACHED:
             self.tables[short] = known, old = {}, known
         known.update((w, x) for w, x in out.items() if len(w) <= MAX_CACHED_WORD)
@@ -304,9 +308,8 @@ def read_shards(spark: SparkSession, base: str, manifest: DataFrame) -> DataFram
     """One row per document, from the files: doc_id, start (ids of all documents before it),
     n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers)."""
     shards = placed(manifest)
-    rows = spark.createDataFrame([(n, s) for n, s, *_ in shards], "name string, start long")
-    if shards:
-        rows = rows.repartition(len(shards), "name")
+    # a task per shard
+    rows = spark.createDataFrame(spark.sparkContext.parallelize([(n, s) for n, s, *_ in shards], max(1, len(shards))), "name string, start long")
 
     def run(batches):
         for batch in batches:
