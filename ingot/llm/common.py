@@ -172,16 +172,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def in_order(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, list[int]]:
+def in_order(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """``df`` sorted by ``keys`` across partitions and written: the result has ``part`` (the
-    partition, ascending with the keys) and ``nth`` (the row's place in it).  Also the sorted
-    list of parts.  Rows that tie on all keys may come in either order."""
+    partition, ascending with the keys) and ``nth`` (the row's place in it).  Rows that tie on
+    all keys may come in either order."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id())
-    out = written(parts.withColumn("nth", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), name)
-    return out, sorted(r[0] for r in out.select("part").distinct().collect())
-
-
+    return written(parts.withColumn("nth", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), name)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -24,7 +24,7 @@ def shards(docs: DataFrame, n_shards: int = 24, doc_col: str = "doc_id", text_co
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(doc_col).alias("doc_id"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    placed, _ = in_order(rows, ["doc_id", "text_crc32", "size"], "shard-order")
+    placed = in_order(rows, ["doc_id", "text_crc32", "size"], "shard-order")
     totals = placed.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).orderBy("part").collect()
     before, offsets, first = 0, [], 0
     for r in totals:
