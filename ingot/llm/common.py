@@ -39,6 +39,14 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_ingot_llm_worker", types.ModuleType("_ingot_llm_worker")).__dict__
 
 
+def of_state(cls: type, state: dict):
+    """An object from its attributes.  Broadcasts carry attributes (arrays and plain values), not
+    objects: they are pickled by reference, and workers need no installed copy of a class."""
+    out = cls.__new__(cls)
+    out.__dict__.update(state)
+    return out
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n."""
     cache = worker_cache()

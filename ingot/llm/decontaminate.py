@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingot.llm.common import blocks, fresh, lower_az, utf8, windows, words, written
+from ingot.llm.common import blocks, fresh, lower_az, of_state, utf8, windows, words, written
 
 SCAN_TYPE = "struct<n_words:bigint,n_hit:bigint,items:array<string>,mask:binary>"
 ARROW_TYPE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("mask", pa.binary())])
@@ -123,14 +123,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", n: int =
     at = docs.columns.index(text_col)
     out_schema = docs.select("*", F.lit(None).cast(SCAN_TYPE).alias(into)).schema
     for k, block in enumerate(benchmark_blocks(benchmark, id_col, bench_text_col, block_bytes)):
-        grams = docs.sparkSession.sparkContext.broadcast(NgramSet([(r.i, r.t) for r in block.collect()], n))
+        grams = docs.sparkSession.sparkContext.broadcast(vars(NgramSet([(r.i, r.t) for r in block.collect()], n)))
 
         def run(batches, grams=grams, again=k > 0):
+            known = of_state(NgramSet, grams.value)
             for batch in batches:
                 data, offsets = utf8(batch.column(at))
                 rows = []
                 for i, j in blocks(offsets):
-                    n_words, _, items, hit, first, _, _ = grams.value.scan(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                    n_words, _, items, hit, first, _, _ = known.scan(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                     for r in range(j - i):
                         mask = hit[first[r]:first[r + 1]]
                         rows.append((int(n_words[r]), mask, items[r]))

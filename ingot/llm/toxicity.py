@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingot.llm.common import U64, as_long, blocks, fresh, lower_az, mix64, utf8, words, written
+from ingot.llm.common import U64, as_long, blocks, fresh, lower_az, mix64, of_state, utf8, words, written
 
 DISCOUNT, WINDOW, PRIOR, CLEAR = 0.75, 16, 50.0, 2.0
 
@@ -230,13 +230,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, folds: int = 4
     if len(seen) < 2:
         return Scorer(None, None, share)
     model = KneserNey(written(counted(sample.where("NOT unseen")), "toxicity-bigrams"))
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
+        own = of_state(KneserNey, shipped.value)
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             for i, j in blocks(offsets):
-                x = evidence(shipped.value, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                x = evidence(own, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), batch.column(1).slice(i, j - i)], names=[*EVIDENCE, "toxic"])
 
     x = sample.where("unseen").select("text", "toxic").mapInArrow(run, ", ".join(f"{k} double" for k in EVIDENCE) + ", toxic int").toPandas()
@@ -252,12 +253,14 @@ def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text", into: str =
     """``docs`` with one more column: the score of the whole text."""
     at = docs.columns.index(text_col)
     schema = docs.withColumn(into, F.lit(0.0)).schema
-    shipped = docs.sparkSession.sparkContext.broadcast(scorer)
+    shipped = docs.sparkSession.sparkContext.broadcast((vars(scorer.model) if scorer.model else None, scorer.beta, scorer.share))
 
     def run(batches):
+        state, beta, share = shipped.value
+        own = Scorer(of_state(KneserNey, state) if state else None, beta, share)
         for batch in batches:
             data, offsets = utf8(batch.column(at))
-            s = [shipped.value.scores(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets)]
+            s = [own.scores(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(s) if s else np.zeros(0))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
