@@ -9,11 +9,17 @@ by its length-normalised log-likelihood ratio, over the whole text, over its mos
 and over the words that speak clearly for either side; a logistic curve fitted on labelled
 documents that the models have not seen turns these into a score between 0 and 1.
 
-Labels are used only from rows with crc32(doc_id as text) mod ``folds`` != ``held``.  The models are
-fitted on at most ``max_rows`` labelled documents of each class (those with the smallest hash
-of doc_id); scores cover every document and whole texts.  Words: A-Z lower-cased, runs of
+Labels are used only from rows with crc32(doc_id as text) mod ``folds`` != ``held``.  Of these, a
+quarter by hash of doc_id is left for the curve, which is fitted on at most ``max_rows``
+documents of each class (those with the smallest hash); all others are counted, with every word
+and pair.  Scores cover every document and whole texts.  Words: A-Z lower-cased, runs of
 ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.
 
+The counts stay in Spark tables, dealt by key to slots.  Documents are dealt to chunks; a chunk asks
+each slot for its distinct words, stems and pairs, and the answers meet the chunk's texts again.
+Requests and answers are packed, one row for each chunk and slot.  Large inputs take ``ROUNDS``
+rounds, so that a part of the requests is on disk at a time.
+
 Defined cases: null, empty and wordless texts have a ratio of 0; without labels of both
 classes every score is the labelled share of toxic rows (0 without labels); labels that are
 null or repeated: null rows are left out, of repeated ones the largest counts; a document
@@ -22,14 +28,21 @@ without a doc_id is not held out.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingot.llm.common import U64, as_long, blocks, fresh, lower_az, mix64, of_state, utf8, words, written
+from ingot.llm.common import U64, as_long, blocks, fresh, lower_az, mix64, utf8, words, written
+from ingot.session import fs_delete
 
 DISCOUNT, WINDOW, PRIOR, CLEAR = 0.75, 16, 50.0, 2.0
+COUNTED, CHUNK, PART, SLOT = 4 << 20, 4 << 20, 1 << 16, 500_000  # bytes, bytes, words, keys
+ROUNDS, LARGE = 4, 64 << 20  # rounds of inputs over so many bytes
+PAIR, WORD, STEM = 0, 1, 2  # kinds of keys
+WIDTH = {PAIR: 2, WORD: 6, STEM: 2}  # counts of a key
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,128 +63,155 @@ def previous(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return v
 
 
-def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Places of ``keys`` in the sorted ``table``; its length where missing."""
-    if not len(table):
-        return np.zeros(len(keys), np.int64)
-    at = np.searchsorted(table, keys)
-    at[at == len(table)] = 0
-    return np.where(table[at] == keys, at, len(table))
-
-
-def counted(sample: DataFrame) -> DataFrame:
-    """Bigram counts of the sample (text, toxic): v, w, stem (of w), n1 (toxic), n0."""
+def counted(sample: DataFrame, rounds: int = 1, turn: int = 0) -> DataFrame:
+    """Bigram counts of the sample (text, toxic): v, w, n1 (toxic), n0.  Rows without a count tell
+    the stem (v) of each word (w).  Of ``rounds`` parts of the rows, dealt by hash, that of this turn."""
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             toxic = np.asarray(batch.column(1).to_pylist(), np.int64)
-            for i, j in blocks(offsets):
+            for i, j in blocks(offsets, COUNTED):
                 h, stem, first = tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 if not len(h):
                     continue
                 v, y = previous(h, first), np.repeat(toxic[i:j], np.diff(first))
-                order = np.lexsort((h, v))
-                a, b, s, y = v[order], h[order], stem[order], y[order]
-                at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-                n1 = np.add.reduceat(y, at)
+                own = np.flatnonzero(pair(v, h) % U64(rounds) == turn)
+                own = own[np.lexsort((h[own], v[own]))]
+                a, b, y = v[own], h[own], y[own]
+                at = np.flatnonzero(np.concatenate([[len(a) > 0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[:len(a)])
+                n1 = np.add.reduceat(y, at) if len(at) else y
                 n = np.diff(np.append(at, len(a)))
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(x)) for x in (a[at], b[at], s[at])] + [pa.array(n1), pa.array(n - n1)],
-                                                 names=["v", "w", "stem", "n1", "n0"])
+                w, one = np.unique(h, return_index=True)
+                mine = pair(stem[one], w) % U64(rounds) == turn
+                w, one = w[mine], one[mine]
+                none = np.zeros(len(w), np.int64)
+                for columns in ((as_long(a[at]), as_long(b[at]), n1, n - n1), (as_long(stem[one]), as_long(w), none, none)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["v", "w", "n1", "n0"])
+
+    return sample.select("text", "toxic").mapInArrow(run, "v long, w long, n1 long, n0 long").groupBy("v", "w").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+
+
+def pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix64(v * U64(0x9E3779B97F4A7C15) + w)
+
+
+def slots(keys: np.ndarray, kind: int, n: int) -> np.ndarray:
+    """The slot of each key; of one kind they ascend with the keys."""
+    return kind * n + ((keys >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """64-bit values, compressed by byte planes."""
+    return pa.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
 
-    return sample.select("text", "toxic").mapInArrow(run, "v long, w long, stem long, n1 long, n0 long").groupBy("v", "w").agg(
-        F.first("stem").alias("stem"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
+def unpacked(b: bytes, n: int, dtype: type = np.int64) -> np.ndarray:
+    if not n:
+        return np.zeros(0, dtype)
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(b, 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n).T).view(dtype).reshape(n)
 
-def arrays(df: DataFrame, key: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """A bounded table to the driver: its key column sorted, and the other columns by name."""
-    t = df.toArrow()
-    k = t.column(key).to_numpy().view(U64)
-    order = np.argsort(k)
-    return k[order], {c: t.column(c).to_numpy()[order] for c in t.column_names if c != key}
 
+def steps(keys: np.ndarray) -> bytes:
+    """Sorted keys, packed by their differences."""
+    return packed(np.diff(keys, prepend=U64(0)))
 
-def single(*columns: np.ndarray) -> np.ndarray:
-    return np.stack(columns).astype(np.float32)
+
+def keys_of(b: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(b, n, U64), dtype=U64)
+
+
+def slot_table(rows: DataFrame, kind: int, n: int) -> DataFrame:
+    """One row for each slot of the table (key, counts): slot, n, its sorted keys and counts, packed."""
+    names = rows.columns[1:]
+
+    def deal(batches):
+        for batch in batches:
+            key = batch.column(0).to_numpy().view(U64)
+            yield pa.RecordBatch.from_arrays([pa.array(slots(key, kind, n)), *batch.columns], names=["slot", "key", *names])
+
+    def pack(table):
+        key = table.column("key").to_numpy().view(U64)
+        order = np.argsort(key)
+        counts = np.concatenate([table.column(c).to_numpy()[order] for c in names])
+        return pa.table({"slot": table.column("slot").slice(0, 1), "n": [len(key)], "keys": pa.array([steps(key[order])], pa.binary()), "counts": pa.array([packed(counts)], pa.binary())})
+
+    return rows.mapInArrow(deal, "slot long, key long, " + ", ".join(f"{c} long" for c in names)).groupBy("slot").applyInArrow(pack, "slot long, n long, keys binary, counts binary")
+
+
+def release(spark, *over: DataFrame) -> None:
+    """Lets Spark delete the shuffle files of jobs that are over, and deletes the written tables ``over``."""
+    for path in {f.rpartition("/")[0] for x in over for f in x.inputFiles()}:
+        fs_delete(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 class KneserNey:
-    """Class-conditional tables; the class index is 1 for toxic, 0 for ordinary."""
+    """Class-conditional counts in slots; in arrays and names 1 is toxic, 0 ordinary."""
 
     def __init__(self, bigrams: DataFrame):
-        """``bigrams``: the counts of a bounded sample (``counted``).  Words seen once and pairs
-        seen once or twice in both classes together are left to their backoff."""
-        seen = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"t{c}") for c in (1, 0)]
-        total = [F.sum(f"n{c}").alias(f"n{c}") for c in (1, 0)]
-        by_v = bigrams.groupBy(F.col("v").alias("x")).agg(*[F.sum(f"n{c}").alias(f"a{c}") for c in (1, 0)], *[F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"b{c}") for c in (1, 0)])
-        by_w = bigrams.groupBy(F.col("w").alias("x")).agg(*seen, *total, F.first("stem").alias("stem"))
-        one = by_w.join(by_v, "x", "full").na.fill(0).where("n1 + n0 + a1 + a0 > 2")
-        self.words, c = arrays(one.drop("n1", "n0"), "x")
-        word_stem = c["stem"].view(U64)
-        t, a, b = (single(c[f"{k}0"], c[f"{k}1"]) for k in "tab")
-        del c
-        self.stems, c = arrays(by_w.groupBy("stem").agg(F.sum("t1").alias("s1"), F.sum("t0").alias("s0")), "stem")
-        s = single(c["s0"], c["s1"])
-        types = by_w.agg(F.sum("t1"), F.sum("t0"), F.sum((F.col("t1") > 0).cast("long")), F.sum((F.col("t0") > 0).cast("long"))).first()
-        bigram_types, word_types = np.array([types[1], types[0]], float), np.array([types[3], types[2]], float)
-        shared_stem = (s.sum(0) + 0.5) / (s.sum() + 0.5 * (len(self.stems) + 1))
-        left = DISCOUNT * (s > 0).sum(1) / s.sum(1)
-        self.stem_p = np.maximum(s - DISCOUNT, 0) / s.sum(1, keepdims=True) + left[:, None] * shared_stem
-        unseen = 0.5 / (s.sum() + 0.5 * (len(self.stems) + 1))
-        self.stem_p = np.concatenate([self.stem_p, (left * unseen)[:, None]], 1).astype(np.float32)
-        self.rest = DISCOUNT * word_types / bigram_types  # of a class's continuation mass, to the stems
-        # among the words of a stem, counts that both classes share
-        own = find(self.stems, word_stem)
-        within = (t.sum(0) + 0.5) / (np.append(s.sum(0), 0.0)[own] + 1.0)
-        self.word_p = np.maximum(t - DISCOUNT, 0) / bigram_types[:, None] + self.rest[:, None] * self.stem_p[:, own] * np.minimum(within, 1)
-        self.word_p = self.word_p.astype(np.float32)
-        self.gamma = (DISCOUNT * b + PRIOR) / (a + PRIOR)
-        self.gamma = np.concatenate([self.gamma, np.ones((2, 1))], 1).astype(np.float32)
-        self.context = np.concatenate([a, np.zeros((2, 1), np.float32)], 1)
-        p = bigrams.where("n1 + n0 > 2").select("v", "w", "n1", "n0").toArrow()
-        key = self.pair(p.column("v").to_numpy().view(U64), p.column("w").to_numpy().view(U64))
-        order = np.argsort(key)
-        self.pairs = key[order]
-        n = np.maximum(single(p.column("n0").to_numpy()[order], p.column("n1").to_numpy()[order]) - DISCOUNT, 0)
-        self.pair_n = np.concatenate([n, np.zeros((2, 1), np.float32)], 1)
-        del p
-        pa.default_memory_pool().release_unused()
-
-    @staticmethod
-    def pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        return mix64(v * U64(0x9E3779B97F4A7C15) + w)
-
-    def ratios(self, h: np.ndarray, stem: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log P(word | context, toxic) - log P(word | context, ordinary) of each word."""
-        v = previous(h, first)
-        w_at, s_at = find(self.words, h), find(self.stems, stem)
-        v_at, p_at = find(self.words, v), find(self.pairs, self.pair(v, h))
-        known = w_at < len(self.words)
-        out = []
-        for c in (0, 1):
-            p = self.rest[c] * self.stem_p[c][s_at].astype(np.float64) * 0.5 / (1 + len(self.words))
-            p[known] = self.word_p[c][w_at[known]]
-            p *= self.gamma[c][v_at]
-            out.append(p + self.pair_n[c][p_at] / (self.context[c][v_at] + PRIOR))
-        return np.log(out[1] / out[0])
+        """``bigrams``: the written result of ``counted``."""
+        spark = bigrams.sparkSession
+        real = bigrams.where("n1 + n0 > 0")
+        zero = F.lit(0).cast("long")
+        one = lambda c: (F.col(c) > 0).cast("long")
+        sides = real.select(F.col("v").alias("key"), F.col("n1").alias("a1"), F.col("n0").alias("a0"), one("n1").alias("b1"), one("n0").alias("b0"), zero.alias("t1"), zero.alias("t0")).unionByName(
+            real.select(F.col("w").alias("key"), *[zero.alias(c) for c in ("a1", "a0", "b1", "b0")], one("n1").alias("t1"), one("n0").alias("t0")))
+        word = written(sides.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("t0", "t1", "a0", "a1", "b0", "b1")]), "toxicity-words")
+        release(spark)
+        of = bigrams.where("n1 + n0 = 0").select(F.col("v").alias("stem"), F.col("w").alias("key"))
+        stem = written(word.where("t0 + t1 > 0").join(of, "key").groupBy(F.col("stem").alias("key")).agg(F.sum("t0").alias("s0"), F.sum("t1").alias("s1")), "toxicity-stems")
+        release(spark)
+        w = word.where("t0 + t1 > 0").agg(F.count("*"), *[F.coalesce(F.sum(x), F.lit(0)) for x in ("t0", "t1")], *[F.count_if(F.col(x) > 0) for x in ("t0", "t1")]).first()
+        s = stem.agg(F.count("*"), F.count_if(F.col("s0") > 0), F.count_if(F.col("s1") > 0)).first()
+        self.words, self.stems = w[0], s[0]
+        self.bigram_types, self.word_types, self.stem_types = np.array(w[1:3], float), np.array(w[3:5], float), np.array(s[1:3], float)
+        if not self.bigram_types.all():
+            return
+        self.n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-real.count() // SLOT))
+
+        def keyed(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(pair(*(batch.column(k).to_numpy().view(U64) for k in (0, 1))))), batch.column(2), batch.column(3)], names=["key", "n0", "n1"])
+
+        two = real.select("v", "w", "n0", "n1").mapInArrow(keyed, "key long, n0 long, n1 long")
+        self.table = written(slot_table(two, PAIR, self.n).unionByName(slot_table(word, WORD, self.n)).unionByName(slot_table(stem, STEM, self.n)), "toxicity-slots")
+
+    def sums(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "table"}
+
+
+def ratios(sums: dict, pairs: np.ndarray, word: np.ndarray, context: np.ndarray, stem: np.ndarray) -> np.ndarray:
+    """log P(word | context, toxic) - log P(word | context, ordinary) of each word, from the counts of
+    its pair (2, n), itself and its context (6, n), and its stem (2, n)."""
+    total = sums["bigram_types"].sum() + 0.5 * (sums["stems"] + 1)
+    shared = (stem.sum(0) + 0.5) / total
+    known = word[0] + word[1] > 0
+    within = np.where(known, np.minimum((word[0] + word[1] + 0.5) / (stem.sum(0) + 1.0), 1), 0.5 / (1 + sums["words"]))
+    out = []
+    for c in (0, 1):
+        types, t, a, b = sums["bigram_types"][c], word[c], context[2 + c], context[4 + c]
+        stem_p = np.maximum(stem[c] - DISCOUNT, 0) / types + DISCOUNT * sums["stem_types"][c] / types * shared
+        p = np.maximum(t - DISCOUNT, 0) / types + DISCOUNT * sums["word_types"][c] / types * stem_p * within
+        out.append((p * (DISCOUNT * b + PRIOR) + np.maximum(pairs[c] - DISCOUNT, 0)) / (a + PRIOR))
+    return np.log(out[1] / out[0])
 
 
 EVIDENCE = ["whole", "window", "clear", "share"]
 
 
-def evidence(model: KneserNey, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def evidence(ratio: np.ndarray, first: np.ndarray) -> np.ndarray:
     """(rows, 4): the ratio per word of each row; that of its highest window of ``WINDOW`` words
     (of the whole row if shorter); what clear words add per word; the share of clear words."""
-    h, stem, first = tokens(data, offsets)
-    out = np.zeros((len(offsets) - 1, len(EVIDENCE)))
-    if len(h):
-        ratio = model.ratios(h, stem, first)
+    out = np.zeros((len(first) - 1, len(EVIDENCE)))
+    if len(ratio):
         n = np.diff(first)
         full = n > 0
         for k, x in ((0, np.clip(ratio, -CLEAR, 3 * CLEAR)), (2, np.maximum(ratio - CLEAR, 0)), (3, (ratio > CLEAR).astype(float))):
             total = np.concatenate([[0.0], np.cumsum(x)])
             out[full, k] = (total[first[1:]] - total[first[:-1]])[full] / n[full]
         out[full, 1] = out[full, 0]
-        if len(h) >= WINDOW:
+        if len(ratio) >= WINDOW:
             total = np.concatenate([[0.0], np.cumsum(ratio)])
             w = (total[WINDOW:] - total[:-WINDOW]) / WINDOW
             row = np.searchsorted(first, np.arange(len(w)), side="right") - 1
@@ -183,6 +223,95 @@ def evidence(model: KneserNey, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
+def rounds_of(size: int) -> int:
+    return ROUNDS if size > LARGE else 1
+
+
+def asked(text: pa.ChunkedArray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Of a chunk's texts: the sorted distinct keys by kind; the places among them of each word's
+    pair, of itself, its stem and its context; first word of each row."""
+    data, offsets = utf8(text)
+    parts = [tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets)]
+    h, stem = (np.concatenate([x[k] for x in parts] or [np.zeros(0, U64)]) for k in (0, 1))
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[2]) for x in parts] or [np.zeros(0, np.int64)]))])
+    v = previous(h, first)
+    pairs, p_at = np.unique(pair(v, h), return_inverse=True)
+    word, w_at = np.unique(np.append(h, U64(0)), return_inverse=True)
+    stems, s_at = np.unique(stem, return_inverse=True)
+    w_at = w_at[:-1]
+    v_at = np.append(0, w_at)[:-1] if len(w_at) else w_at
+    v_at[v == 0] = 0  # the key 0 is the first
+    return [pairs, word, stems], [p_at, w_at, s_at, v_at], first
+
+
+def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str], size: int) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the evidence (``evidence_names``), written."""
+    spark, n, sums = docs.sparkSession, model.n, model.sums()
+    chunk = fresh(docs, "_chunk")
+    schema = docs.select(*keep).withColumns({k: F.lit(0.0) for k in evidence_names(docs)}).schema
+    rounds = rounds_of(size)
+    chunks = max(1, -(-size // (rounds * CHUNK)))
+    code = F.xxhash64(*docs.columns)
+
+    def ask(key, table):
+        rows = []
+        for kind, keys in enumerate(asked(table.column(text_col))[0]):
+            at = slots(keys, kind, n)
+            edges = np.append(np.flatnonzero(np.diff(at, prepend=-1)), len(at))
+            rows += [(at[i], j - i, steps(keys[i:j])) for i, j in zip(edges[:-1], edges[1:])]
+        return pa.table({"slot": pa.array([int(r[0]) for r in rows], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()), "asked": pa.array([int(r[1]) for r in rows], pa.int64()), "of": pa.array([r[2] for r in rows], pa.binary())})
+
+    def answer(key, left, right):
+        slot, width = key[0].as_py(), WIDTH[key[0].as_py() // n]
+        own, counts = np.zeros(0, U64), np.zeros((width, 0), np.int64)
+        if len(right):
+            m = right.column("n")[0].as_py()
+            own, counts = keys_of(right.column("keys")[0].as_py(), m), unpacked(right.column("counts")[0].as_py(), m * width).reshape(width, m)
+        counts = np.concatenate([counts, np.zeros((width, 1), np.int64)], 1)
+        out = []
+        for k, b in zip(left.column("asked").to_pylist(), left.column("of")):
+            keys = keys_of(b.as_py(), k)
+            at = np.searchsorted(own, keys)
+            at[np.append(own, U64(0))[at] != keys] = len(own)
+            out.append(packed(counts[:, at].ravel()))
+        return pa.table({"chunk": left.column("chunk"), "slot": pa.array([slot] * len(out), pa.int64()), "got": left.column("asked"), "counts": pa.array(out, pa.binary())})
+
+    def score(key, left, right):
+        keys, (p_at, w_at, s_at, v_at), first = asked(left.column(text_col))
+        found = []
+        got = sorted(zip(right.column("slot").to_pylist(), right.column("got").to_pylist(), right.column("counts")), key=lambda r: r[0])
+        for kind in (PAIR, WORD, STEM):
+            x = [unpacked(b.as_py(), m * WIDTH[kind]).reshape(WIDTH[kind], m) for slot, m, b in got if slot // n == kind]
+            found.append(np.concatenate([np.zeros((WIDTH[kind], 0), np.int64), *x], 1))
+            if found[-1].shape[1] != len(keys[kind]):
+                raise ValueError("the answers are not those of the chunk's rows")
+        ratio = np.zeros(len(w_at))
+        for i in range(0, len(ratio), PART):
+            k = slice(i, i + PART)
+            ratio[k] = ratios(sums, found[PAIR][:, p_at[k]], found[WORD][:, w_at[k]], found[WORD][:, v_at[k]], found[STEM][:, s_at[k]])
+        out = left.select(keep)
+        for name, x in zip(schema.names[-len(EVIDENCE):], evidence(ratio, first).T):
+            out = out.append_column(name, pa.array(x.copy()))
+        return out
+
+    parts = []
+    for r in range(rounds):
+        own = docs.where(F.pmod(code, F.lit(rounds)) == r).withColumn(chunk, F.pmod(F.shiftright(code, 8), F.lit(chunks)))
+        requests = own.groupBy(chunk).applyInArrow(ask, "slot long, chunk long, asked long, of binary")
+        answers = requests.groupBy("slot").cogroup(model.table.groupBy("slot")).applyInArrow(answer, "chunk long, slot long, got long, counts binary")
+        parts.append(written(own.groupBy(chunk).cogroup(answers.groupBy("chunk")).applyInArrow(score, schema), "toxicity-evidence"))
+        del own, requests, answers
+        release(spark)
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def evidence_names(docs: DataFrame) -> list[str]:
+    return [fresh(docs, f"_{k}") for k in EVIDENCE]
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Weights (bias last) of a ridge logistic regression, by Newton steps."""
     x = np.concatenate([x, np.ones((len(x), 1))], 1)
@@ -197,78 +326,54 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
-class Scorer:
-    def __init__(self, model: KneserNey | None, beta: np.ndarray | None, share: float):
-        self.model, self.beta, self.share = model, beta, share
-
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        if self.model is None:
-            return np.full(len(offsets) - 1, self.share)
-        x = evidence(self.model, data, offsets)
-        return 1 / (1 + np.exp(-np.clip(x @ self.beta[:-1] + self.beta[-1], -500, 500)))
-
-
 def remainder(col, folds: int = 4):
     return F.crc32(col.cast("string").cast("binary")) % folds
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, folds: int = 4, held: int = 2, text_col: str = "text") -> Scorer:
-    """Fits on at most ``max_rows`` labelled documents of each class."""
+def scored(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, folds: int = 4, held: int = 2, text_col: str = "text", into: str = "score", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) with one more: the score of the whole text.  The curve is fitted on at most
+    ``max_rows`` labelled documents of each class, the counts are of all others."""
     rows = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id"), folds) != held))
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if len(totals) < 2:
-        return Scorer(None, None, share)
+        return docs.select(*(keep or docs.columns), F.lit(share).alias(into))
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0
+    learnt = docs.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text")).where((remainder(F.col("doc_id"), folds) != held) & ~unseen).join(rows, "doc_id")
+    learnt, spark = written(learnt.select("text", "toxic"), "toxicity-learnt"), docs.sparkSession
+    release(spark)
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    bigrams = None
+    for turn in range(rounds_of(size)):
+        part = written(counted(learnt, rounds_of(size), turn), "toxicity-bigrams")
+        bigrams = bigrams.unionByName(part) if bigrams else part
+        release(spark)
+    model = KneserNey(bigrams)
+    release(spark, learnt, bigrams)
+    if not model.bigram_types.all():
+        return docs.select(*(keep or docs.columns), F.lit(share).alias(into))
+    keep = keep or docs.columns
+    names, found = evidence_names(docs), gathered(docs, model, text_col, keep, size)
     order = F.xxhash64("doc_id")
-    ids = rows.where("toxic = 1").orderBy(order, "doc_id").limit(max_rows).unionByName(rows.where("toxic = 0").orderBy(order, "doc_id").limit(max_rows))
+    ids = rows.where("toxic = 1").where(unseen).orderBy(order, "doc_id").limit(max_rows).unionByName(rows.where("toxic = 0").where(unseen).orderBy(order, "doc_id").limit(max_rows))
     # at most 2 * max_rows ids
-    sample = docs.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id").withColumn(
-        "unseen", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0)
-    sample = written(sample, "toxicity-sample")
-    seen = {r.toxic for r in sample.where("NOT unseen AND length(text) > 0").select("toxic").distinct().collect()}
-    if len(seen) < 2:
-        return Scorer(None, None, share)
-    model = KneserNey(written(counted(sample.where("NOT unseen")), "toxicity-bigrams"))
-    shipped = docs.sparkSession.sparkContext.broadcast(vars(model))
-
-    def run(batches):
-        own = of_state(KneserNey, shipped.value)
-        for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            for i, j in blocks(offsets):
-                x = evidence(own, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), batch.column(1).slice(i, j - i)], names=[*EVIDENCE, "toxic"])
-
-    x = sample.where("unseen").select("text", "toxic").mapInArrow(run, ", ".join(f"{k} double" for k in EVIDENCE) + ", toxic int").toPandas()
-    shipped.destroy()
+    x = found.select("doc_id", *names).join(F.broadcast(ids), "doc_id").select(*names, "toxic").toPandas()
     y = x["toxic"].to_numpy(float)
     if not 0 < y.sum() < len(y):
-        return Scorer(model, np.array([10.0, 0.0, 0.0, 0.0, np.log(max(share, 1e-6) / max(1 - share, 1e-6))]), share)
-    weight = np.where(y == 1, share * len(y) / y.sum(), (1 - share) * len(y) / (len(y) - y.sum()))
-    return Scorer(model, logistic(x[EVIDENCE].to_numpy(), y, weight), share)
-
-
-def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text", into: str = "score") -> DataFrame:
-    """``docs`` with one more column: the score of the whole text."""
-    at = docs.columns.index(text_col)
-    schema = docs.withColumn(into, F.lit(0.0)).schema
-    shipped = docs.sparkSession.sparkContext.broadcast((vars(scorer.model) if scorer.model else None, scorer.beta, scorer.share))
-
-    def run(batches):
-        state, beta, share = shipped.value
-        own = Scorer(of_state(KneserNey, state) if state else None, beta, share)
-        for batch in batches:
-            data, offsets = utf8(batch.column(at))
-            s = [own.scores(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(s) if s else np.zeros(0))], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+        beta = np.array([10.0, 0.0, 0.0, 0.0, np.log(max(share, 1e-6) / max(1 - share, 1e-6))])
+    else:
+        weight = np.where(y == 1, share * len(y) / y.sum(), (1 - share) * len(y) / (len(y) - y.sum()))
+        beta = logistic(x[names].to_numpy(), y, weight)
+    z = F.lit(float(beta[-1]))
+    for name, b in zip(names, beta):
+        z = z + F.col(name) * float(b)
+    return found.withColumn(into, 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))).select(*keep, into)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 6000) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    out = scored(docs.select("doc_id", "text"), fit(docs, labels, max_rows))
+    out = scored(docs.select("doc_id", "text"), labels, max_rows, keep=["doc_id"])
     return out.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -276,4 +381,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_row
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 6000) -> DataFrame:
     """``docs`` with the same columns, without those scored ``threshold`` or more."""
     name = fresh(docs, "_score")
-    return scored(docs, fit(docs, labels, max_rows), into=name).where(F.col(name) < threshold).drop(name)
+    return scored(docs, labels, max_rows, into=name).where(F.col(name) < threshold).drop(name)

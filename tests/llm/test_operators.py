@@ -207,6 +207,17 @@ def test_toxicity_on_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == sum(r.score < 0.3 for r in got)
 
 
+def test_toxicity_counts_all_learnable_rows(spark):
+    rows = [(i, ("vile " if i % 2 else "kind ") + f"zq{i} xw{i}", i % 2) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    # a word and a pair of a single learnable row have a say, whatever max_rows is
+    seen = {r.doc_id for r in docs.where("pmod(xxhash64(doc_id, 1), 4) != 0").collect()} - {i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2}
+    new = spark.createDataFrame([(1000 + i, f"zq{i} xw{i}") for i in sorted(seen)], "doc_id long, text string")
+    got = {r.doc_id - 1000: r.score for r in toxicity.toxicity(docs.unionByName(new), labels, max_rows=20).where("doc_id >= 1000").collect()}
+    assert len(got) == len(seen) > 200 and min(got[i] for i in seen if i % 2) > max(got[i] for i in seen if not i % 2)
+
+
 # -- 6
 
 def exact_rows(rows):
