@@ -1,5 +1,6 @@
 """Every operator against a brute-force version, on odd rows and on the smallest tables."""
 
+import functools
 import hashlib
 import math
 import random
@@ -218,6 +219,27 @@ def test_toxicity_counts_all_learnable_rows(spark):
     assert len(got) == len(seen) > 200 and min(got[i] for i in seen if i % 2) > max(got[i] for i in seen if not i % 2)
 
 
+def test_toxicity_counts_keep_every_pair_and_word(spark, monkeypatch):
+    texts = [("a b c a b", 1), ("A b d", 0), (None, 1), ("", 0), ("rare", 1)] + [(f"w{i} w{i + 1}", i % 2) for i in range(50)]
+    want, words = Counter(), set()
+    for text, y in texts:
+        w = alnum(text)
+        want.update((a, b, y) for a, b in zip([""] + w, w))
+        words.update(w)
+    for rounds in (1, 3):
+        parts = [toxicity.counted(spark.createDataFrame(texts, "text string, toxic int"), rounds, k).cache() for k in range(rounds)]
+        rows = [r for p in parts for r in p.collect()]
+        assert sum(r.n1 + r.n0 > 0 for r in rows) == len({k[:2] for k in want}) and sum(r.n1 + r.n0 for r in rows) == sum(want.values())
+        model = toxicity.KneserNey(toxicity.written(functools.reduce(lambda a, b: a.unionByName(b), parts), "test-bigrams"))
+        assert model.words == len(words) and {r.k: r.n for r in model.table.selectExpr(f"slot div {model.n} k", "n").groupBy("k").sum("n").toDF("k", "n").collect()} == {
+            toxicity.PAIR: len({k[:2] for k in want}), toxicity.WORD: len(words) + 1, toxicity.STEM: len({w[:4] for w in words})}
+    # and rounds change no score
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    one = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "LARGE", 0)
+    assert one == pytest.approx({r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()})
+
+
 # -- 6
 
 def exact_rows(rows):
