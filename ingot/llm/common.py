@@ -16,7 +16,7 @@ from ingot.session import scratch_dir
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
-PIECE = 1 << 20  # bytes hashed at once: bounds the per-byte temporaries
+PIECE = 1 << 20  # bytes hashed at once: bounds the temporaries
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,8 +110,8 @@ def blocks(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]
 
 def words(data: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of the rows: 64-bit hashes, byte starts, byte ends, and for each row (len+1) the
-    index of its first word.  ``data`` is lower-cased by the caller.  Works in pieces cut
-    between words, so that temporaries stay bounded for rows of any length."""
+    index of its first word.  ``data`` is lower-cased by the caller.  Hashes are taken in pieces, so
+    that their temporaries stay bounded for words of any length."""
     inside = word_table(kind)[data]
     n = len(data)
     edge = np.zeros(n + 1, bool)
@@ -125,18 +125,48 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray,
     else:
         starts = ends = np.zeros(0, np.int64)
     hashes = np.empty(len(starts), U64)
-    k = 0
-    while k < len(starts):
-        a = starts[k]
-        m = max(k + 1, int(np.searchsorted(ends, a + PIECE, side="right")))
-        b = ends[m - 1]
-        p, q = powers(int(b - a) + 1)
-        s = np.empty(b - a + 1, U64)
-        s[0] = 0
-        np.cumsum((data[a:b].astype(U64) + U64(1)) * p[:b - a], out=s[1:])
-        hashes[k:m] = (s[ends[k:m] - a] - s[starts[k:m] - a]) * q[starts[k:m] - a]
-        k = m
-    return mix64(hashes), starts, ends, np.searchsorted(starts, offsets)
+    at = Lanes(data)
+    for i in range(0, len(starts), PIECE >> 3):
+        hashes[i:i + (PIECE >> 3)] = at.hashes(starts[i:i + (PIECE >> 3)], ends[i:i + (PIECE >> 3)])
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
+class Lanes:
+    """Bytes eight at a time, from any place."""
+
+    def __init__(self, data: np.ndarray):
+        self.view = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+    def read(self, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The bytes from ``at``, eight or up to ``ends``, zeros after."""
+        left = np.minimum(ends - at, 8).astype(U64)
+        return self.view[at] & (~U64(0) >> (U64(64) - U64(8) * left))
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the (not empty) byte runs: each eight bytes are scrambled, together with their place
+        scrambled again, and summed; no run of bytes cancels another's sum, as in a polynomial."""
+        size = ends - starts
+        h = mix64(self.read(starts, ends))
+        long = np.flatnonzero(size > 8)
+        step = PIECE >> 3
+        for i in range(0, len(long), step):
+            w = long[i:i + step]
+            more = (size[w] - 1) >> 3  # eights after the first
+            head = np.cumsum(more) - more
+            for a, b, j in runs(more, step):
+                k = np.arange(b - a) + a - np.repeat(head[j], np.diff(np.append(np.maximum(head[j], a), b))) + 1
+                own = np.repeat(j, np.diff(np.append(np.maximum(head[j], a), b)))
+                x = mix64(mix64(self.read(starts[w[own]] + 8 * k, ends[w[own]])) + mix64(k.astype(U64) * U64(BASE)))
+                np.add.at(h, w[j], np.add.reduceat(x, np.maximum(head[j], a) - a))
+        return mix64(h + size.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
+def runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The concatenation of runs of ``sizes`` (above 0) in pieces: begin, end, and which runs lie in it."""
+    ends = np.cumsum(sizes)
+    for a in range(0, int(ends[-1]) if len(ends) else 0, limit):
+        b = min(a + limit, int(ends[-1]))
+        yield a, b, np.arange(np.searchsorted(ends, a, side="right"), np.searchsorted(ends, b, side="left") + 1)
 
 
 def windows(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -189,6 +219,19 @@ def in_order(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return written(parts.withColumn("nth", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), name)
 
 
+def salted(*by: str, salts: int = 32):
+    """The salt of a row, from the columns ``by``."""
+    return F.pmod(F.xxhash64(*by), F.lit(salts))
+
+
+def salted_totals(rows: DataFrame, keys: list[str], partial: list, final: list) -> DataFrame:
+    """Totals per key of ``rows``, which have a column ``salt``: aggregates ``partial`` per key and salt, then
+    ``final`` over these.  A row for each key and salt that occur together, so that a join on both
+    spreads the rows of a hot key over as many tasks as it has salts."""
+    full = rows.groupBy(*keys, "salt").agg(*partial).groupBy(*keys).agg(*final, F.collect_set("salt").alias("salt"))
+    return full.withColumn("salt", F.explode("salt"))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}
