@@ -10,11 +10,14 @@ from ingot.llm.decontaminate import contamination
 from ingot.llm.exact import exact_duplicates
 from ingot.llm.mixing import mixture
 from ingot.llm.neardup import near_duplicates
+from ingot.llm.ranked import ranked
 from ingot.llm.sharding import shards
 from ingot.llm.suffixes import dedup
 from ingot.llm.tokens import token_table
 from ingot.llm.toxicity import toxicity
+from ingot.llm.trie import conversation_trie
 from ingot.llm.urls import RULES, SOFT, STRICT, judge
+from ingot.llm.warc import archived
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -59,6 +62,18 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+def op11_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -70,6 +85,9 @@ QUERIES = {
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
     "op9_prefix_sum_shards": op9_prefix_sum_shards,
     "op10_url_vocabulary": op10_url_vocabulary,
+    "op11_warc_transactions": op11_warc_transactions,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_fp_tree_search": op13_fp_tree_search,
 }
 
 _WORDS = f"regexp_extract_all({LOWER.format('coalesce(text, chr(32))')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -80,6 +98,9 @@ _BY_LENGTH = sorted(RULES, key=lambda r: (-len(r[0] + r[1]), -len(r[0])))
 _RULE = "CASE " + " ".join(f"WHEN {_FITS.format(h=h, p=p)} THEN '{h}{p}'" for h, p, _ in _BY_LENGTH) + " END"
 _VERDICT = "CASE rule " + " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in _BY_LENGTH)
 
+_CRC = """(SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+           FROM (SELECT unnest(range(0, 256)) AS n))"""
+
 SQL = {
     "op1_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -141,4 +162,35 @@ r AS (SELECT *, {_RULE} AS rule, {" + ".join(f"CAST({_HIT.format(t)} AS BIGINT)"
              {" + ".join(f"CAST({_HIT.format(t)} AS BIGINT)" for t in SOFT)} AS n_soft FROM h)
 SELECT page_id, host, path, rule, {_VERDICT} ELSE CASE WHEN n_strict >= 1 OR n_soft >= 2 THEN 'block' ELSE 'allow' END END AS verdict,
        n_strict, n_soft FROM r""",
+    "op11_warc_transactions": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY 1)
+SELECT page_id, n AS payload_bytes, sha256(p.h) AS payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, true AS intact, CAST(1 AS BIGINT) AS n_requests
+FROM p LEFT JOIN f ON f.h = p.h AND n >= 100""",
+    "op12_conversation_trie": f"""
+WITH x AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x FROM conversations WHERE conv_id IS NOT NULL),
+c AS {_CRC},
+o AS (SELECT conv_id, list(x ORDER BY p) AS own, list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(CAST(conv_id AS VARCHAR))), '..'), lambda y: CAST('0x' || y AS BIGINT))) AS b FROM x GROUP BY conv_id),
+h AS (SELECT conv_id, own, xor(4294967295, list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 4 AS h FROM o, c),
+r AS (SELECT h.conv_id, list_concat(CASE WHEN h.h > 0 THEN coalesce(b.own[1:h.h], []) ELSE [] END, h.own[h.h + 1:]) AS s FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 20),
+n AS (SELECT conv_id, d, CASE WHEN d > 0 THEN s[1:d] ELSE [] END AS k, len(s) = d AS whole FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM r)),
+g AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CASE WHEN whole THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends FROM n GROUP BY k, d),
+u AS (SELECT CASE WHEN d > 1 THEN k[1:d - 1] ELSE [] END AS k, d - 1 AS d, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1, 2),
+v AS (SELECT g.*, coalesce(n_children, 0) AS n_children, CASE WHEN g.d > 0 THEN (n_convs - 1) * len(regexp_extract_all(g.k[g.d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved FROM g LEFT JOIN u ON u.k = g.k AND u.d = g.d),
+w AS (SELECT CASE WHEN e > 0 THEN k[1:e] ELSE [] END AS k, e AS d, sum(saved) AS saved_tokens, count_if(n_children = 0) AS n_leaves FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM v) GROUP BY 1, 2)
+SELECT v.conv_id, v.d AS depth, q.conv_id AS parent_conv_id, v.n_convs, v.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM v JOIN w ON w.k = v.k AND w.d = v.d LEFT JOIN g q ON v.d > 0 AND q.d = v.d - 1 AND q.k = CASE WHEN v.d > 1 THEN v.k[1:v.d - 1] ELSE [] END""",
+    "op13_fp_tree_search": f"""
+WITH d AS (SELECT doc_id, unnest({_WORDS}) AS t FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1),
+s AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM n),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY 1, 2),
+i AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS t FROM benchmark),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM (SELECT t, count(*) AS df FROM tf GROUP BY 1), s WHERE t IN (SELECT t FROM i)),
+m AS (SELECT doc_id, CAST(10 + (90 * n * n_docs) // n_terms AS BIGINT) AS m FROM n, s),
+x AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM i JOIN w USING (t) JOIN tf USING (t) JOIN m USING (doc_id) GROUP BY 1, 2),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM x WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10""",
 }
