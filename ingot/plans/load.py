@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from ingot import schemas
 from ingot.operators.profile import OPEN_MAPS, json_facts, merge_facts, merge_schema, to_struct
-from ingot.operators.selection import head_of_files
 from ingot.operators.repair import conform_columns
 from ingot.operators.strict import strict_parse
 from ingot.sinks.schema_file import write_schema_file
 from ingot.sinks.table import publish_table
+from ingot.sources.heads import head_lines
 from ingot.sources.listing import DATA_GLOB, list_files
 from ingot.sources.ndjson import raw_lines
 
@@ -33,8 +33,8 @@ def infer_schema(spark: SparkSession, dataset: str, data_root: str, sample: int
     """H1-H5: sample every file, profile, merge into ``existing`` (only adds or
     widens), emit (and write ``out_path``).  ``max_files`` > 0 takes the first files by path
     (the schema step's ``-m N``).  ``observation`` gets the sampled-line total (G8)."""
-    lines = data_lines(spark, f"{data_root.rstrip('/')}/{dataset}", max_files)
-    src = head_of_files(lines, sample) if sample > 0 else lines.select("value")
+    root = f"{data_root.rstrip('/')}/{dataset}"
+    src = head_lines(spark, root, sample, max_files=max_files).select("value") if sample > 0 else data_lines(spark, root, max_files).select("value")
     if observation is not None:
         src = src.observe(observation, F.count(F.lit(1)).alias("sampled_lines"))
     facts = json_facts(src, opaque=OPEN_MAPS)

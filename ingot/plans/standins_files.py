@@ -3,6 +3,7 @@ rerun, validation with files that go, publishing, strict scans and loads, schema
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +13,6 @@ from pyspark.sql import types as T
 from ingot import schemas
 from ingot.operators.profile import profile_schema
 from ingot.operators.repair import UNWIRED, Ctx
-from ingot.operators.selection import head_of_files
 from ingot.operators.strict import strict_parse
 from ingot.operators.validate import overall_ok
 from ingot.plans.convert import convert
@@ -21,6 +21,7 @@ from ingot.plans.validate import validate_dataset
 from ingot.session import fs_delete, fs_write_text, scratch_dir
 from ingot.sinks.ndjson import write_lines, write_ndjson
 from ingot.sinks.schema_file import write_schema_file
+from ingot.sources.heads import head_lines
 from ingot.sources.ledger import append_ledger, latest_status, read_ledger, read_ledger_tsv
 from ingot.sources.listing import choose_source, list_files
 from ingot.sources.ndjson import parse_records, raw_lines, with_names
@@ -80,22 +81,22 @@ def q_strict_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_validate_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """validate twice: between the runs one counted file goes; an empty file counts 0 = 0."""
     root = scratch_dir(spark, "validate_changes")
-    li = table(spark, sf_dir, "lineitem").select("l_returnflag", F.to_json(F.struct("l_orderkey", "l_linenumber")).alias("value"))
-    for flag in ("A", "N", "R"):  # the generator's three flags: a file of its own each
-        write_lines(li.where(F.col("l_returnflag") == flag).select("value").coalesce(1), f"{root}/data/lineitem/flag={flag}")
-    write_lines(li.where("false").select("value").coalesce(1), f"{root}/data/lineitem/flag=empty")
-    files = list_files(spark, f"{root}/data/lineitem", "*.gz").select("rel_path", "folder").collect()  # four files
-    counts = {f"flag={r[0]}": r[1] for r in li.groupBy("l_returnflag").count().collect()} | {"flag=empty": 0}
-    import json
-
-    doc = {"meta": {"record_count": sum(counts.values())}, "entries": [{"url": f"u/lineitem/{r.rel_path}", "meta": {"record_count": counts[r.folder]}} for r in files]}
+    li = table(spark, sf_dir, "lineitem")
+    _flag_files(li, f"{root}/data/lineitem")
+    write_lines(spark.createDataFrame([], "value string").coalesce(1), f"{root}/data/lineitem/flag=empty/bucket=0")
+    counts = li.groupBy(F.coalesce("l_returnflag", F.lit("none")).alias("flag"), F.floor(F.col("l_orderkey") / 5000).alias("bucket")).agg(F.count("*").alias("expected"))
+    files = list_files(spark, f"{root}/data/lineitem", "*.gz").select(F.concat(F.lit("u/lineitem/"), "rel_path").alias("url"), *[F.regexp_extract("rel_path", f"{k}=([^/]+)", 1).alias(k) for k in ("flag", "bucket")])
+    entries = files.join(counts.withColumn("bucket", F.col("bucket").cast("string")), ["flag", "bucket"], "left").select("url", F.coalesce("expected", F.lit(0).cast("bigint")).alias("expected"))
+    # one document, a line per file
+    doc = {"meta": {"record_count": li.count()}, "entries": [{"url": r.url, "meta": {"record_count": r.expected}} for r in entries.orderBy("url").toLocalIterator()]}
     fs_write_text(spark, f"{root}/m/lineitem/manifest", json.dumps(doc))
     args = ("lineitem", "v1", f"{root}/data", f"{root}/m/lineitem/manifest", f"{root}/ledger", "u/")
     out = []
     for run in (1, 2):
         per_file, summary = validate_dataset(spark, *args, batch_id=run)
         ok = overall_ok(summary)  # G5
-        out.append(per_file.select(F.lit(run).alias("run"), F.regexp_extract("rel_path", "flag=([^/]+)", 1).alias("flag"), "actual", "expected", "status", F.lit(ok).alias("all_ok")))
+        out.append(per_file.groupBy(F.regexp_extract("rel_path", "flag=([^/]+)", 1).alias("flag"), "status").agg(
+            F.count("*").alias("n_files"), F.sum("actual").cast("bigint").alias("actual"), F.sum("expected").cast("bigint").alias("expected")).select(F.lit(run).alias("run"), "*", F.lit(ok).alias("all_ok")))
         out[-1] = _kept(out[-1], "validate-out")
         if run == 1:
             fs_delete(spark, f"{root}/data/lineitem/flag=R")
@@ -186,17 +187,22 @@ def q_sampled_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first lines of each gzip file, counted in the scan (B3, H1, G8), and the choice of
     converted over raw data (A9)."""
     root = scratch_dir(spark, "sampled_heads")
-    li = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), F.to_json(F.struct("l_returnflag", "l_orderkey", "l_linenumber")).alias("value"))
-    for flag in ("A", "N", "R"):  # one sorted file each
-        write_lines(li.where(F.col("flag") == flag).select("value").coalesce(1).sortWithinPartitions(
-            F.get_json_object("value", "$.l_orderkey").cast("long"), F.get_json_object("value", "$.l_linenumber").cast("long")), f"{root}/raw/lineitem/flag={flag}")
+    key, line = F.get_json_object("value", "$.l_orderkey").cast("bigint"), F.get_json_object("value", "$.l_linenumber").cast("int")
+    _flag_files(table(spark, sf_dir, "lineitem"), f"{root}/raw/lineitem", key, line)
     src = choose_source(spark, f"{root}/converted/lineitem", f"{root}/raw/lineitem")
     obs = Observation("heads")
-    heads = head_of_files(raw_lines(spark, src, "*.gz"), 50).observe(obs, F.count(F.lit(1)).alias("sampled_lines"))
+    heads = head_lines(spark, src, 50, tasks=16).observe(obs, F.count(F.lit(1)).alias("sampled_lines"))
     got = _kept(heads, "heads")
-    key = F.get_json_object("value", "$.l_orderkey").cast("bigint")
-    return got.groupBy(F.get_json_object("value", "$.l_returnflag").alias("flag")).agg(F.count("*").alias("n"), F.sum(key).cast("bigint").alias("keys")).withColumn(
-        "sampled", F.lit(int(obs.get["sampled_lines"])).cast("bigint"))
+    out = got.groupBy(F.get_json_object("value", "$.l_returnflag").alias("flag")).agg(
+        F.countDistinct("file").alias("n_files"), F.count("*").alias("n"), F.sum(key).cast("bigint").alias("keys"), F.sum("line").cast("bigint").alias("line_sum"))
+    return out.withColumn("sampled", F.lit(int(obs.get["sampled_lines"])).cast("bigint"))
+
+
+def _flag_files(lineitem: DataFrame, path: str, *order) -> None:
+    """Lines of lineitem, a folder per return flag and in it a sorted file for each run of 5,000 order keys."""
+    rows = lineitem.select(F.coalesce("l_returnflag", F.lit("none")).alias("flag"), F.floor(F.col("l_orderkey") / 5000).alias("bucket"),
+                           F.to_json(F.struct("l_returnflag", "l_orderkey", "l_linenumber")).alias("value"))
+    write_lines(rows.repartition("flag", "bucket").sortWithinPartitions("flag", "bucket", *order), path, partition_by=["flag", "bucket"])
 
 
 def q_overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,9 +228,9 @@ SELECT r.run, r.failed, CASE r.run WHEN 1 THEN k WHEN 2 THEN 1 ELSE 0 END AS rec
 FROM n, (VALUES (1, 2), (2, 0), (3, 0)) r(run, failed)""",
     "strict_scan": "SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS last, true AS bad_refused FROM orders GROUP BY 1",
     "validate_changes": """
-WITH c AS (SELECT l_returnflag AS flag, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT 'empty', 0)
-SELECT 1 AS run, flag, n AS actual, n AS expected, 'OK' AS status, true AS all_ok FROM c
-UNION ALL SELECT 2, flag, CASE WHEN flag <> 'R' THEN n END, n, CASE WHEN flag <> 'R' THEN 'OK' ELSE 'FILE NOT FOUND' END, false FROM c""",
+WITH c AS (SELECT coalesce(l_returnflag, 'none') AS flag, count(DISTINCT l_orderkey // 5000) AS n_files, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT 'empty', 1, 0)
+SELECT 1 AS run, flag, 'OK' AS status, n_files, n AS actual, n AS expected, true AS all_ok FROM c
+UNION ALL SELECT 2, flag, CASE WHEN flag <> 'R' THEN 'OK' ELSE 'FILE NOT FOUND' END, n_files, CASE WHEN flag <> 'R' THEN n END, n, false FROM c""",
     "publish_files": """
 SELECT 'OK' AS status, count(*) AS n_lines, CAST(0 AS BIGINT) AS n_without, true AS retried_alone FROM supplier
 UNION ALL SELECT 'FAIL', NULL, 1, true""",
@@ -244,8 +250,9 @@ SELECT o_orderkey, '[{"n":' || o_custkey || '}]' AS authorships,
        CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN o_orderpriority END AS venue, CAST(1 AS BIGINT) AS n_venue,
        CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS alternate, CAST(2 AS BIGINT) AS n_dropped FROM orders""",
     "sampled_heads": """
-WITH r AS (SELECT l_returnflag AS flag, l_orderkey, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS k FROM lineitem)
-SELECT flag, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(150 AS BIGINT) AS sampled FROM r WHERE k <= 50 GROUP BY 1""",
+WITH r AS (SELECT l_returnflag AS flag, l_orderkey, l_orderkey // 5000 AS bucket, row_number() OVER (PARTITION BY l_returnflag, l_orderkey // 5000 ORDER BY l_orderkey, l_linenumber) AS k FROM lineitem)
+SELECT flag, count(DISTINCT bucket) AS n_files, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(sum(k) AS BIGINT) AS line_sum,
+       CAST(sum(count(*)) OVER () AS BIGINT) AS sampled FROM r WHERE k <= 50 GROUP BY 1""",
     "overwrite_partition": """
 SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
 WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0 GROUP BY 1""",
