@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ingot.llm.common import U64, Lanes, blocks, lower_az, of_state, utf8, words, written
 
-GROUP, BLOCK, LEAF = 4096, 1 << 22, 32  # terms of a group, entries of a tree, documents of a leaf
+GROUP, BLOCK, DOCS, LEAF = 4096, 1 << 22, 1 << 15, 32  # terms of a group, entries and documents of a tree, documents of a leaf
 VECTOR = "n long, terms array<int>, counts array<int>"
 
 
@@ -287,15 +287,14 @@ def search(vectors: DataFrame, items: list[np.ndarray], df: np.ndarray, n_docs:
         best: dict[int, list] = {}
 
         def blocked():
-            held, size = [], 0
+            held, size, rows = [], 0, 0
             for batch in batches:
-                step = max(1, min(batch.num_rows, 4096))
-                for i in range(0, batch.num_rows, step):
-                    held.append(batch.slice(i, step))
-                    size += len(held[-1].column(2).flatten())
-                    if size >= BLOCK:
+                for i in range(0, batch.num_rows, 4096):
+                    held.append(batch.slice(i, 4096))
+                    size, rows = size + len(held[-1].column(2).flatten()), rows + held[-1].num_rows
+                    if size >= BLOCK or rows >= DOCS:
                         yield pa.Table.from_batches(held)
-                        held, size = [], 0
+                        held, size, rows = [], 0, 0
             if held:
                 yield pa.Table.from_batches(held)
 
