@@ -4,16 +4,21 @@ existing schema (H4), emit (H5/K7); resolve a schema (J5) and load strictly
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot import schemas
+from ingot.catalog import table_name
 from ingot.operators.profile import OPEN_MAPS, json_facts, merge_facts, merge_schema, to_struct
 from ingot.operators.repair import conform_columns
 from ingot.operators.strict import strict_parse
+from ingot.plans.groups import GROUP_FILES, in_groups
 from ingot.sinks.schema_file import write_schema_file
 from ingot.sinks.table import publish_table
+from ingot.sinks.versions import publish_version
 from ingot.sources.heads import head_lines
 from ingot.sources.listing import DATA_GLOB, list_files
 from ingot.sources.ndjson import raw_lines
@@ -61,6 +66,20 @@ def load_dataset(spark: SparkSession, dataset: str, version: str, data_root: str
     return publish_table(spark, table, dataset, version, table_root, max_bad, bad=F.col("_bad"))
 
 
+def load_version(spark: SparkSession, dataset: str, version: str, data_root: str, schema: T.StructType, table_root: str, max_bad: int = 0, contract: bool = True,
+                 group_files: int = GROUP_FILES, parallel: int = 4, progress: Callable[[dict], None] | None = None, append: bool = False) -> dict:
+    """``load_dataset`` into a table with a version log (:class:`TableLog` at ``<table_root>/<dataset>_<version>``), in
+    groups of files; it stops as soon as the finished groups hold more than ``max_bad`` bad records."""
+    files = list_files(spark, f"{data_root.rstrip('/')}/{dataset}", DATA_GLOB)
+    columns = conform_columns(schema, contract)
+
+    def groups():
+        for rows in in_groups(files, group_files):
+            yield strict_parse(raw_lines(spark, [r["path"] for r in rows]), schema, keep=()).select(*columns, "_bad")
+
+    return publish_version(spark, groups(), f"{table_root.rstrip('/')}/{table_name(dataset, version)}", schema, max_bad, parallel=parallel, progress=progress, append=append)
+
+
 def load_all(spark: SparkSession, datasets: list[str], version: str, converted_root: str, raw_root: str,
              schemas_root: str, table_root: str, max_bad: int = 0) -> tuple[dict, list[str]]:
     """``load <dataset...|all>``: per dataset, data from converted else raw (A9), the

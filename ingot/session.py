@@ -8,10 +8,12 @@ error, for a folder of the driver's own would not be seen by the executors.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -121,11 +123,47 @@ def fs_rename(spark: SparkSession, src: str, dst: str) -> bool:
     return True
 
 
+def fs_create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small document under a name that must be new: False if it is taken.  Of several
+    writers of one name a single one gets True, and readers see the whole document or none: it is written
+    aside and takes its name by a rename that does not replace (on a local disk by a hard link)."""
+    jvm = spark.sparkContext._jvm
+    aside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    fs_write_text(spark, aside, text)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s, d = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(path)
+    fs = s.getFileSystem(conf)
+    try:
+        if fs.getScheme() == "file":
+            try:
+                os.link(s.toUri().getPath(), d.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(s).toUri(), conf)
+        try:
+            context.rename(s, d, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e.java_exception):
+                return False
+            raise
+        return True
+    finally:
+        fs_delete(spark, aside)
+
+
+def fs_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of control documents; none if there is no such folder."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
 def fs_delete(spark: SparkSession, path: str) -> bool:
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True))
 
 
 __all__ = ["get_spark", "shared_root", "scratch_dir", "fs_exists",
-           "fs_write_text", "fs_read_text", "fs_rename", "fs_delete",
+           "fs_write_text", "fs_read_text", "fs_rename", "fs_create_new", "fs_names", "fs_delete",
            "scratch_root", "clear_scratch"]

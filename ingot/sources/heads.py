@@ -55,7 +55,7 @@ class Counted(io.RawIOBase):
 
 
 def first_lines(fs: pafs.FileSystem, path: str, n: int):
-    """(line, compressed bytes read so far) of the first ``n`` lines.  Lines end as in Spark's text
+    """(line, compressed bytes read so far) of the first ``n`` lines (all if 0).  Lines end as in Spark's text
     reader: at a line feed, a carriage return or both."""
     with fs.open_input_stream(path, compression=None) as raw:
         taken = Counted(raw)
@@ -125,6 +125,27 @@ class HeadLines(DataSource):
         return HeadReader(dict(self.options))
 
 
+def heads_of(files: DataFrame, n: int = 1000, path: str = "path", tasks: int | None = None) -> DataFrame:
+    """The first ``n`` lines (0: all) of the listed files, which the tasks share evenly: columns as ``head_lines``."""
+    def run(batches):
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                fs, at = opened(name)
+                out = []
+                try:
+                    for k, (line, taken) in enumerate(first_lines(fs, at, n)):
+                        out.append((k + 1, line, taken))
+                        if len(out) == BATCH:
+                            yield batch(name, out)
+                            out = []
+                except (EOFError, OSError) as e:
+                    raise RuntimeError(f"{name}: {e}") from None
+                if out:
+                    yield batch(name, out)
+
+    return files.select(path).repartition(tasks or files.sparkSession.sparkContext.defaultParallelism * 4).mapInArrow(run, DDL)
+
+
 def head_lines(spark: SparkSession, root: str, n: int = 1000, glob: str = "*.gz", max_files: int = 0, tasks: int = 0) -> DataFrame:
     """The first ``n`` lines of each file under ``root``, at any depth: file, line, value, bytes_read
     (null from the text scan).  A missing folder has no lines; a broken file ends the job with its name."""

@@ -1,7 +1,7 @@
 """Ledgers (A6): append-only per-file status tables.
 
-Kinds: ``validation`` (file, actual, expected, status) and ``upload``
-(file, destination, status).  Stored as Parquet partitioned by kind, version,
+Kinds: ``validation`` (file, actual, expected, status), ``upload`` (file, destination, status),
+``convert`` (file, records, status) and ``content`` (file, records, two fingerprints, status).  Stored as Parquet partitioned by kind, version,
 dataset; the TSV form of the reference can be read too.
 """
 
@@ -18,6 +18,7 @@ LEDGER_DDL = {
     "validation": "file string, actual bigint, expected bigint, status string",
     "upload": "file string, destination string, status string",
     "convert": "file string, records bigint, status string",
+    "content": "file string, records bigint, f1 string, f2 string, status string",
 }
 
 RUN_DDL = ", batch bigint, written bigint"
