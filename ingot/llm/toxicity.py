@@ -28,7 +28,9 @@ without a doc_id is not held out.
 
 from __future__ import annotations
 
+import functools
 import gc
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,10 @@ from ingot.llm.common import U64, as_long, blocks, fresh, lower_az, mix64, utf8,
 from ingot.session import fs_delete
 
 DISCOUNT, WINDOW, PRIOR, CLEAR = 0.75, 16, 50.0, 2.0
-COUNTED, CHUNK, PART, SLOT = 4 << 20, 4 << 20, 1 << 16, 500_000  # bytes, bytes, words, keys
+COUNTED, CHUNK, PART, SLOT = 1 << 20, 4 << 20, 1 << 16, 500_000  # bytes, bytes, words, keys
 ROUNDS, LARGE = 4, 64 << 20  # rounds of inputs over so many bytes
 PAIR, WORD, STEM = 0, 1, 2  # kinds of keys
+COUNTS = ("t0", "t1", "a0", "a1", "b0", "b1")  # of a word
 WIDTH = {PAIR: 2, WORD: 6, STEM: 2}  # counts of a key
 
 
@@ -75,14 +78,14 @@ def counted(sample: DataFrame, rounds: int = 1, turn: int = 0) -> DataFrame:
                 if not len(h):
                     continue
                 v, y = previous(h, first), np.repeat(toxic[i:j], np.diff(first))
-                own = np.flatnonzero(pair(v, h) % U64(rounds) == turn)
+                own = np.flatnonzero(turns(pair(v, h), rounds) == turn)
                 own = own[np.lexsort((h[own], v[own]))]
                 a, b, y = v[own], h[own], y[own]
                 at = np.flatnonzero(np.concatenate([[len(a) > 0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[:len(a)])
                 n1 = np.add.reduceat(y, at) if len(at) else y
                 n = np.diff(np.append(at, len(a)))
                 w, one = np.unique(h, return_index=True)
-                mine = pair(stem[one], w) % U64(rounds) == turn
+                mine = turns(pair(stem[one], w), rounds) == turn
                 w, one = w[mine], one[mine]
                 none = np.zeros(len(w), np.int64)
                 for columns in ((as_long(a[at]), as_long(b[at]), n1, n - n1), (as_long(stem[one]), as_long(w), none, none)):
@@ -95,6 +98,11 @@ def pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix64(v * U64(0x9E3779B97F4A7C15) + w)
 
 
+def turns(keys: np.ndarray, rounds: int) -> np.ndarray:
+    """The turn of each key, out of ``rounds``; they ascend with the keys, as slots do."""
+    return ((keys >> U64(32)) * U64(rounds) >> U64(32)).astype(np.int64)
+
+
 def slots(keys: np.ndarray, kind: int, n: int) -> np.ndarray:
     """The slot of each key; of one kind they ascend with the keys."""
     return kind * n + ((keys >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
@@ -146,36 +154,51 @@ def release(spark, *over: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def keyed(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(as_long(pair(*(batch.column(k).to_numpy().view(U64) for k in (0, 1))))), batch.column(2), batch.column(3)], names=["key", "n0", "n1"])
+
+
 class KneserNey:
     """Class-conditional counts in slots; in arrays and names 1 is toxic, 0 ordinary."""
 
-    def __init__(self, bigrams: DataFrame):
-        """``bigrams``: the written result of ``counted``."""
-        spark = bigrams.sparkSession
-        real = bigrams.where("n1 + n0 > 0")
-        zero = F.lit(0).cast("long")
-        one = lambda c: (F.col(c) > 0).cast("long")
-        sides = real.select(F.col("v").alias("key"), F.col("n1").alias("a1"), F.col("n0").alias("a0"), one("n1").alias("b1"), one("n0").alias("b0"), zero.alias("t1"), zero.alias("t0")).unionByName(
-            real.select(F.col("w").alias("key"), *[zero.alias(c) for c in ("a1", "a0", "b1", "b0")], one("n1").alias("t1"), one("n0").alias("t0")))
-        word = written(sides.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("t0", "t1", "a0", "a1", "b0", "b1")]), "toxicity-words")
-        release(spark)
-        of = bigrams.where("n1 + n0 = 0").select(F.col("v").alias("stem"), F.col("w").alias("key"))
-        stem = written(word.where("t0 + t1 > 0").join(of, "key").groupBy(F.col("stem").alias("key")).agg(F.sum("t0").alias("s0"), F.sum("t1").alias("s1")), "toxicity-stems")
-        release(spark)
+    def __init__(self, bigrams: DataFrame | Iterable[DataFrame], rounds: int = 1):
+        """``bigrams``: the written result of ``counted``, or those of its ``rounds`` turns one after the
+        other; a turn's is packed into slots, then deleted."""
+        parts = [bigrams] if isinstance(bigrams, DataFrame) else bigrams
+        self.n, pairs, sides, stems = 0, [], [], []
+        for part in parts:
+            spark, real = part.sparkSession, part.where("n1 + n0 > 0")
+            # a multiple of the rounds, so that a slot's keys are of one turn
+            self.n = self.n or rounds * max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // rounds), -(-real.count() // SLOT))
+            sides.append(written(self.by_word(real), "toxicity-words"))
+            stems.append(written(part.where("n1 + n0 = 0").select(F.col("v").alias("stem"), F.col("w").alias("key")), "toxicity-stems"))
+            release(spark)
+            pairs.append(written(slot_table(real.select("v", "w", "n0", "n1").mapInArrow(keyed, "key long, n0 long, n1 long"), PAIR, self.n), "toxicity-slots"))
+            release(spark, *([part] if rounds > 1 else []))
+        union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
+        word = written(union(sides).groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS]), "toxicity-words")
+        release(spark, *sides)
+        stem = written(word.where("t0 + t1 > 0").join(union(stems), "key").groupBy(F.col("stem").alias("key")).agg(F.sum("t0").alias("s0"), F.sum("t1").alias("s1")), "toxicity-stems")
+        release(spark, *stems)
         w = word.where("t0 + t1 > 0").agg(F.count("*"), *[F.coalesce(F.sum(x), F.lit(0)) for x in ("t0", "t1")], *[F.count_if(F.col(x) > 0) for x in ("t0", "t1")]).first()
         s = stem.agg(F.count("*"), F.count_if(F.col("s0") > 0), F.count_if(F.col("s1") > 0)).first()
         self.words, self.stems = w[0], s[0]
         self.bigram_types, self.word_types, self.stem_types = np.array(w[1:3], float), np.array(w[3:5], float), np.array(s[1:3], float)
-        if not self.bigram_types.all():
-            return
-        self.n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-real.count() // SLOT))
-
-        def keyed(batches):
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(pair(*(batch.column(k).to_numpy().view(U64) for k in (0, 1))))), batch.column(2), batch.column(3)], names=["key", "n0", "n1"])
-
-        two = real.select("v", "w", "n0", "n1").mapInArrow(keyed, "key long, n0 long, n1 long")
-        self.table = written(slot_table(two, PAIR, self.n).unionByName(slot_table(word, WORD, self.n)).unionByName(slot_table(stem, STEM, self.n)), "toxicity-slots")
+        if self.bigram_types.all():
+            rest = written(slot_table(word, WORD, self.n).unionByName(slot_table(stem, STEM, self.n)), "toxicity-slots")
+            release(spark, word, stem)
+            self.table = union([*pairs, rest])
+
+    @staticmethod
+    def by_word(real: DataFrame) -> DataFrame:
+        """Sums (``COUNTS``) of each word: its different predecessors by class (t), occurrences (a) and different
+        words (b) after it."""
+        zero = F.lit(0).cast("long")
+        one = lambda c: (F.col(c) > 0).cast("long")
+        sides = real.select(F.col("v").alias("key"), F.col("n1").alias("a1"), F.col("n0").alias("a0"), one("n1").alias("b1"), one("n0").alias("b0"), zero.alias("t1"), zero.alias("t0")).unionByName(
+            real.select(F.col("w").alias("key"), *[zero.alias(c) for c in ("a1", "a0", "b1", "b0")], one("n1").alias("t1"), one("n0").alias("t0")))
+        return sides.groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
     def sums(self) -> dict:
         return {k: v for k, v in vars(self).items() if k != "table"}
@@ -261,20 +284,24 @@ def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str],
             rows += [(at[i], j - i, steps(keys[i:j])) for i, j in zip(edges[:-1], edges[1:])]
         return pa.table({"slot": pa.array([int(r[0]) for r in rows], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()), "asked": pa.array([int(r[1]) for r in rows], pa.int64()), "of": pa.array([r[2] for r in rows], pa.binary())})
 
-    def answer(key, left, right):
-        slot, width = key[0].as_py(), WIDTH[key[0].as_py() // n]
-        own, counts = np.zeros(0, U64), np.zeros((width, 0), np.int64)
-        if len(right):
-            m = right.column("n")[0].as_py()
-            own, counts = keys_of(right.column("keys")[0].as_py(), m), unpacked(right.column("counts")[0].as_py(), m * width).reshape(width, m)
-        counts = np.concatenate([counts, np.zeros((width, 1), np.int64)], 1)
-        out = []
-        for k, b in zip(left.column("asked").to_pylist(), left.column("of")):
-            keys = keys_of(b.as_py(), k)
-            at = np.searchsorted(own, keys)
-            at[np.append(own, U64(0))[at] != keys] = len(own)
-            out.append(packed(counts[:, at].ravel()))
-        return pa.table({"chunk": left.column("chunk"), "slot": pa.array([slot] * len(out), pa.int64()), "got": left.column("asked"), "counts": pa.array(out, pa.binary())})
+    def answer(batches):
+        """A slot's table comes before its requests, which pass one by one."""
+        slot, width, own, counts = None, 0, np.zeros(0, U64), np.zeros((0, 1), np.int64)
+        for batch in batches:
+            out = []
+            for at, to, m, keys, values in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), batch.column(4)):
+                if at != slot:
+                    slot, width, own = at, WIDTH[at // n], np.zeros(0, U64)
+                    counts = np.zeros((width, 1), np.int64)
+                if to is None:
+                    own, counts = keys_of(keys.as_py(), m), np.concatenate([unpacked(values.as_py(), m * width).reshape(width, m), np.zeros((width, 1), np.int64)], 1)
+                    continue
+                of = keys_of(keys.as_py(), m)
+                place = np.searchsorted(own, of)
+                place[np.append(own, U64(0))[place] != of] = len(own)
+                out.append((to, at, m, packed(counts[:, place].ravel())))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["chunk", "slot", "got", "counts"])
 
     def score(key, left, right):
         keys, (p_at, w_at, s_at, v_at), first = asked(left.column(text_col))
@@ -298,9 +325,11 @@ def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str],
     for r in range(rounds):
         own = docs.where(F.pmod(code, F.lit(rounds)) == r).withColumn(chunk, F.pmod(F.shiftright(code, 8), F.lit(chunks)))
         requests = own.groupBy(chunk).applyInArrow(ask, "slot long, chunk long, asked long, of binary")
-        answers = requests.groupBy("slot").cogroup(model.table.groupBy("slot")).applyInArrow(answer, "chunk long, slot long, got long, counts binary")
+        both = requests.select("slot", "chunk", F.col("asked").alias("n"), F.col("of").alias("keys"), F.lit(None).cast("binary").alias("counts")).unionByName(
+            model.table.select("slot", F.lit(None).cast("long").alias("chunk"), "n", "keys", "counts"))
+        answers = both.repartition("slot").sortWithinPartitions("slot", F.asc_nulls_first("chunk")).mapInArrow(answer, "chunk long, slot long, got long, counts binary")
         parts.append(written(own.groupBy(chunk).cogroup(answers.groupBy("chunk")).applyInArrow(score, schema), "toxicity-evidence"))
-        del own, requests, answers
+        del own, requests, both, answers
         release(spark)
     out = parts[0]
     for x in parts[1:]:
@@ -344,13 +373,9 @@ def scored(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, folds: int
     learnt, spark = written(learnt.select("text", "toxic"), "toxicity-learnt"), docs.sparkSession
     release(spark)
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    bigrams = None
-    for turn in range(rounds_of(size)):
-        part = written(counted(learnt, rounds_of(size), turn), "toxicity-bigrams")
-        bigrams = bigrams.unionByName(part) if bigrams else part
-        release(spark)
-    model = KneserNey(bigrams)
-    release(spark, learnt, bigrams)
+    rounds = rounds_of(size)
+    model = KneserNey((written(counted(learnt, rounds, turn), "toxicity-bigrams") for turn in range(rounds)), rounds)
+    release(spark, learnt)
     if not model.bigram_types.all():
         return docs.select(*(keep or docs.columns), F.lit(share).alias(into))
     keep = keep or docs.columns
