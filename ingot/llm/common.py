@@ -3,6 +3,7 @@ lineage cuts and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -39,6 +40,13 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_ingot_llm_worker", types.ModuleType("_ingot_llm_worker")).__dict__
 
 
+def trim() -> None:
+    """Gives freed memory back to the system, at the end of a task: its worker lives on into later stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(c := ctypes.CDLL(None), "malloc_trim"):
+        c.malloc_trim(0)
+
+
 def of_state(cls: type, state: dict):
     """An object from its attributes.  Broadcasts carry attributes (arrays and plain values), not
     objects: they are pickled by reference, and workers need no installed copy of a class."""

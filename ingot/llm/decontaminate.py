@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingot.llm.common import blocks, fresh, lower_az, of_state, utf8, windows, words, written
+from ingot.llm.common import blocks, fresh, lower_az, of_state, trim, utf8, windows, words, written
 
 SCAN_TYPE = "struct<n_words:bigint,n_hit:bigint,items:array<string>,mask:binary>"
 ARROW_TYPE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("mask", pa.binary())])
@@ -141,6 +141,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", n: int =
                 col = pa.array([(m, int(mask.sum()), sorted(items), mask.tobytes()) for m, mask, items in rows], ARROW_TYPE) if rows else pa.array([], ARROW_TYPE)
                 keep = batch.columns[:-1] if again else batch.columns
                 yield pa.RecordBatch.from_arrays([*keep, col], names=out_schema.names)
+            trim()
 
         docs = docs.mapInArrow(run, out_schema)
         if k:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingot.llm.common import U64, as_long, blocks, components, fresh, lower_az, mix64, utf8, windows, words, written
+from ingot.llm.common import U64, as_long, blocks, components, fresh, lower_az, mix64, trim, utf8, windows, words, written
 
 BANDS, ROWS, SKETCH_BITS = 32, 5, 512
 
@@ -101,6 +101,7 @@ def features(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id", n
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, j - i), pa.array(size.astype(np.int64)), pa.array(as_long(d[:, 0].copy())), pa.array(as_long(d[:, 1].copy())),
                     pa.array(sketch, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "d1", "d2", "sketch", "bands"])
+        trim()
 
     return docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, FEATURES)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingot.llm.common import U64, as_long, blocks, fresh, lower_az, mix64, utf8, words, written
+from ingot.llm.common import U64, as_long, blocks, fresh, lower_az, mix64, trim, utf8, words, written
 from ingot.session import fs_delete
 
 DISCOUNT, WINDOW, PRIOR, CLEAR = 0.75, 16, 50.0, 2.0
@@ -90,6 +90,7 @@ def counted(sample: DataFrame, rounds: int = 1, turn: int = 0) -> DataFrame:
                 none = np.zeros(len(w), np.int64)
                 for columns in ((as_long(a[at]), as_long(b[at]), n1, n - n1), (as_long(stem[one]), as_long(w), none, none)):
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["v", "w", "n1", "n0"])
+        trim()
 
     return sample.select("text", "toxic").mapInArrow(run, "v long, w long, n1 long, n0 long").groupBy("v", "w").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
@@ -302,6 +303,7 @@ def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str],
                 out.append((to, at, m, packed(counts[:, place].ravel())))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["chunk", "slot", "got", "counts"])
+        trim()
 
     def score(key, left, right):
         keys, (p_at, w_at, s_at, v_at), first = asked(left.column(text_col))
@@ -319,6 +321,8 @@ def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str],
         out = left.select(keep)
         for name, x in zip(schema.names[-len(EVIDENCE):], evidence(ratio, first).T):
             out = out.append_column(name, pa.array(x.copy()))
+        del keys, found, ratio, p_at, w_at, s_at, v_at
+        trim()
         return out
 
     parts = []
