@@ -14,7 +14,7 @@ from ingot.operators.content import combined, compare, fingerprints, validate_co
 from ingot.operators.profile import json_facts, merge_facts
 from ingot.operators.profile_state import ProfileState
 from ingot.plans.load import load_version
-from ingot.plans.standins_files import table
+from ingot.plans.standins_files import _flag_files, _kept, table
 from ingot.session import scratch_dir
 from ingot.sinks.ndjson import write_lines
 from ingot.sinks.table import BadRecordLimitExceeded
@@ -22,6 +22,7 @@ from ingot.sinks.versions import PublishConflict, TableLog, publish_version
 from ingot.sources.listing import DATA_GLOB, list_files
 from ingot.sources.ledger import read_ledger
 from ingot.sources.ndjson import raw_lines
+from ingot.streaming.verdict import VERDICT_DDL, count_events, manifest_events, run_verdicts
 
 ORDERS = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_totalprice", T.DoubleType())])
 
@@ -137,8 +138,34 @@ def q_content_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", F.lit(whole).alias("adds_up"), F.lit(again).cast("bigint").alias("changed_on_rerun"), F.lit(n).cast("bigint").alias("ledger_rows"))
 
 
+def q_continuous_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts while files arrive in three rounds: A is complete in the second, R then has a file with a wrong
+    count, N waits for a late file, which the timer names, until the third."""
+    root = scratch_dir(spark, "continuous_verdict")
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isNotNull())
+    _flag_files(li, f"{root}/landing")
+    entries = li.groupBy(F.col("l_returnflag").alias("dataset"), F.floor(F.col("l_orderkey") / 5000).alias("bucket")).agg(F.count("*").alias("n"))
+    per = entries.groupBy("dataset").agg(F.sum("n").alias("total"), F.min("bucket").alias("low"), F.max("bucket").alias("high"))
+    wrong = (F.col("dataset") == "R") & (F.col("bucket") == F.col("low"))
+    entries = entries.join(per, "dataset").select("dataset", F.concat(F.lit("bucket="), "bucket").alias("rel_path"), (F.col("n") + F.when(wrong, 1).otherwise(0)).alias("expected"), "total", "bucket", "high")
+    counts = raw_lines(spark, f"{root}/landing", DATA_GLOB).groupBy("raw_path").agg(F.count("*").alias("actual")).select(
+        F.regexp_extract("raw_path", "flag=([^/]+)", 1).alias("dataset"), F.regexp_extract("raw_path", "(bucket=[0-9]+)", 1).alias("rel_path"), "actual")
+    late = (F.col("dataset") == "N") & (F.col("bucket") == F.col("high"))
+    counts = _kept(counts.join(entries.select("dataset", "rel_path", "bucket", "high"), ["dataset", "rel_path"]).withColumn(
+        "round", F.when(late, 3).when(F.col("bucket") % 3 == 0, 1).otherwise(2)), "counts")
+    out = None
+    for k in (1, 2, 3):
+        events = count_events(counts.where(F.col("round") == k))
+        (events.unionByName(manifest_events(entries)) if k == 1 else events).write.mode("append").parquet(f"{root}/events")
+        run_verdicts(f"{root}/events", f"{root}/out/{k}", f"{root}/checkpoint", spark, patience=1).awaitTermination()
+        now = spark.read.schema(VERDICT_DDL).parquet(f"{root}/out/{k}").withColumn("round", F.lit(k))
+        out = now if out is None else out.unionByName(now)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_versions": q_table_versions, "load_stops": q_load_stops, "profile_follows": q_profile_follows, "content_changes": q_content_changes,
+    "continuous_verdict": q_continuous_verdict,
 }
 
 SQL = {
@@ -162,4 +189,10 @@ s AS (SELECT CASE WHEN kind = 0 AND hit > 0 THEN 'CONTENT' WHEN kind = 1 AND hit
       UNION ALL SELECT 'ADDED', NULL, n, 1 FROM f WHERE kind = 2)
 SELECT status, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS old_records, CAST(sum(m) AS BIGINT) AS new_records, CAST(sum(renamed) AS BIGINT) AS renamed, true AS adds_up, CAST(0 AS BIGINT) AS changed_on_rerun,
        (SELECT 2 * count(*) FROM f) AS ledger_rows FROM s GROUP BY 1""",
+    "continuous_verdict": """
+WITH f AS (SELECT l_returnflag AS dataset, l_orderkey // 5000 AS b, count(*) AS n FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY 1, 2),
+d AS (SELECT dataset, CAST(sum(n) AS BIGINT) AS n, max(b) AS high FROM f GROUP BY 1)
+SELECT dataset, CASE dataset WHEN 'R' THEN 'FAIL' ELSE 'PASS' END AS verdict, CAST(NULL AS VARCHAR) AS file, n AS expected, n AS actual, CAST(0 AS BIGINT) AS n_missing,
+       CAST(CASE dataset WHEN 'R' THEN 1 ELSE 0 END AS BIGINT) AS n_mismatch, CASE dataset WHEN 'N' THEN 3 ELSE 2 END AS round FROM d
+UNION ALL SELECT 'N', 'MISSING', 'bucket=' || high, f.n, NULL, 1, 0, 2 FROM d JOIN f USING (dataset) WHERE dataset = 'N' AND b = high""",
 }
