@@ -157,10 +157,10 @@ def q_continuous_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k in (1, 2, 3):
         events = count_events(counts.where(F.col("round") == k))
         (events.unionByName(manifest_events(entries)) if k == 1 else events).write.mode("append").parquet(f"{root}/events")
-        run_verdicts(f"{root}/events", f"{root}/out/{k}", f"{root}/checkpoint", spark, patience=1).awaitTermination()
-        now = spark.read.schema(VERDICT_DDL).parquet(f"{root}/out/{k}").withColumn("round", F.lit(k))
+        run_verdicts(f"{root}/events", f"{root}/out", f"{root}/checkpoint", spark, patience=1).awaitTermination()
+        now = _kept(spark.read.schema(VERDICT_DDL).parquet(f"{root}/out").withColumn("round", F.lit(k)), "verdicts")  # all so far
         out = now if out is None else out.unionByName(now)
-    return out
+    return out.groupBy(*[c for c in out.columns if c != "round"]).agg(F.min("round").alias("round"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
