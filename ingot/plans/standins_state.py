@@ -20,7 +20,8 @@ from ingot.sinks.ndjson import write_lines
 from ingot.sinks.table import BadRecordLimitExceeded
 from ingot.sinks.versions import PublishConflict, TableLog, publish_version
 from ingot.sources.listing import DATA_GLOB, list_files
-from ingot.sources.ledger import read_ledger
+from ingot.sources.ledger import append_ledger, read_ledger
+from ingot.sources.ledger_levels import LeveledLedger
 from ingot.sources.ndjson import raw_lines
 from ingot.streaming.verdict import VERDICT_DDL, count_events, manifest_events, run_verdicts
 
@@ -163,9 +164,33 @@ def q_continuous_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy(*[c for c in out.columns if c != "round"]).agg(F.min("round").alias("round"))
 
 
+def q_ledger_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per order, tried in four rounds, failed ones once more in the next; after each round the ledger is
+    compacted, after the third vacuumed too.  What is pending in both forms, and the current view by status."""
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.format_string("order-%d", "o_orderkey").alias("file"))
+    root = scratch_dir(spark, "ledger_levels")
+    at = ("upload", "v1", "orders")
+    ledger = LeveledLedger(spark, root, *at, buckets=8)
+    first, failed = F.pmod("k", F.lit(4)), F.pmod("k", F.lit(7)) == 0
+    found = []
+    for n in range(4):
+        tried = keys.where(first == n).withColumn("status", F.when(failed, "FAIL").otherwise("OK"))
+        again = keys.where((first == n - 1) & failed).withColumn("status", F.when(F.pmod("k", F.lit(14)) == 0, "OK").otherwise("FAIL"))
+        for part in (tried, again):
+            append_ledger(part.withColumn("destination", F.col("file")), root, *at, batch=n)
+        if n < 3:  # the last round stays in the tail
+            ledger.compact(ratio=1)
+        if n == 2:
+            ledger.vacuum()
+        status = ledger.latest().groupBy("status").count()
+        found.append((n, ledger.pending(keys).count(), ledger.pending(keys, done_status=("OK",)).count(), {r["status"]: r["count"] for r in status.collect()}))
+    return spark.createDataFrame([(n, a, r, s.get("OK", 0), s.get("FAIL", 0)) for n, a, r, s in found],
+                                 "round int, n_pending bigint, n_retry bigint, n_ok bigint, n_fail bigint")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_versions": q_table_versions, "load_stops": q_load_stops, "profile_follows": q_profile_follows, "content_changes": q_content_changes,
-    "continuous_verdict": q_continuous_verdict,
+    "continuous_verdict": q_continuous_verdict, "ledger_levels": q_ledger_levels,
 }
 
 SQL = {
@@ -189,6 +214,12 @@ s AS (SELECT CASE WHEN kind = 0 AND hit > 0 THEN 'CONTENT' WHEN kind = 1 AND hit
       UNION ALL SELECT 'ADDED', NULL, n, 1 FROM f WHERE kind = 2)
 SELECT status, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS old_records, CAST(sum(m) AS BIGINT) AS new_records, CAST(sum(renamed) AS BIGINT) AS renamed, true AS adds_up, CAST(0 AS BIGINT) AS changed_on_rerun,
        (SELECT 2 * count(*) FROM f) AS ledger_rows FROM s GROUP BY 1""",
+    "ledger_levels": """
+WITH t AS (SELECT r.round, o_orderkey % 4 <= r.round AS tried,
+    (o_orderkey % 4 <= r.round AND o_orderkey % 7 <> 0) OR (o_orderkey % 4 < r.round AND o_orderkey % 14 = 0) AS ok
+  FROM orders, (VALUES (0), (1), (2), (3)) r(round))
+SELECT round, count(*) FILTER (NOT tried) AS n_pending, count(*) FILTER (NOT ok) AS n_retry, count(*) FILTER (ok) AS n_ok,
+  count(*) FILTER (tried AND NOT ok) AS n_fail FROM t GROUP BY 1""",
     "continuous_verdict": """
 WITH f AS (SELECT l_returnflag AS dataset, l_orderkey // 5000 AS b, count(*) AS n FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY 1, 2),
 d AS (SELECT dataset, CAST(sum(n) AS BIGINT) AS n, max(b) AS high FROM f GROUP BY 1)
