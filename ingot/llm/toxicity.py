@@ -15,10 +15,11 @@ documents of each class (those with the smallest hash); all others are counted,
 and pair.  Scores cover every document and whole texts.  Words: A-Z lower-cased, runs of
 ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.
 
-The counts stay in Spark tables, dealt by key to slots.  Documents are dealt to chunks; a chunk asks
-each slot for its distinct words, stems and pairs, and the answers meet the chunk's texts again.
-Requests and answers are packed, one row for each chunk and slot.  Large inputs take ``ROUNDS``
-rounds, so that a part of the requests is on disk at a time.
+The counts stay in Spark tables, dealt by key to slots.  Each task packs the documents it reads into
+chunks of bounded size, whatever their keys; a chunk asks each slot for its distinct words, stems and
+pairs, and the answers meet the chunk again.  Requests and answers are packed, one row for each chunk
+and slot; a slot with many requests is copied, and each copy answers a part of the chunks.  Large
+inputs take ``ROUNDS`` rounds, so that a part of the requests is on disk at a time.
 
 Defined cases: null, empty and wordless texts have a ratio of 0; without labels of both
 classes every score is the labelled share of toxic rows (0 without labels); labels that are
@@ -28,12 +29,13 @@ without a doc_id is not held out.
 
 from __future__ import annotations
 
+import contextlib
 import functools
-import gc
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,7 @@ from ingot.session import fs_delete
 
 DISCOUNT, WINDOW, PRIOR, CLEAR = 0.75, 16, 50.0, 2.0
 COUNTED, CHUNK, PART, SLOT = 1 << 20, 4 << 20, 1 << 16, 500_000  # bytes, bytes, words, keys
+ROW, SHARE = 64, 16 << 20  # bytes that a row counts for besides its text; bytes of text whose requests one copy of a slot takes
 ROUNDS, LARGE = 4, 64 << 20  # rounds of inputs over so many bytes
 PAIR, WORD, STEM = 0, 1, 2  # kinds of keys
 COUNTS = ("t0", "t1", "a0", "a1", "b0", "b1")  # of a word
@@ -147,12 +150,23 @@ def slot_table(rows: DataFrame, kind: int, n: int) -> DataFrame:
     return rows.mapInArrow(deal, "slot long, key long, " + ", ".join(f"{c} long" for c in names)).groupBy("slot").applyInArrow(pack, "slot long, n long, keys binary, counts binary")
 
 
-def release(spark, *over: DataFrame) -> None:
-    """Lets Spark delete the shuffle files of jobs that are over, and deletes the written tables ``over``."""
-    for path in {f.rpartition("/")[0] for x in over for f in x.inputFiles()}:
-        fs_delete(spark, path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextlib.contextmanager
+def short_shuffles(spark):
+    """Jobs inside delete their shuffle files when they end: what is needed later is written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def delete(*over: DataFrame) -> None:
+    """Deletes the written tables ``over``."""
+    for x in over:
+        for path in {f.rpartition("/")[0] for f in x.inputFiles()}:
+            fs_delete(x.sparkSession, path)
 
 
 def keyed(batches):
@@ -174,21 +188,20 @@ class KneserNey:
             self.n = self.n or rounds * max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // rounds), -(-real.count() // SLOT))
             sides.append(written(self.by_word(real), "toxicity-words"))
             stems.append(written(part.where("n1 + n0 = 0").select(F.col("v").alias("stem"), F.col("w").alias("key")), "toxicity-stems"))
-            release(spark)
             pairs.append(written(slot_table(real.select("v", "w", "n0", "n1").mapInArrow(keyed, "key long, n0 long, n1 long"), PAIR, self.n), "toxicity-slots"))
-            release(spark, *([part] if rounds > 1 else []))
+            delete(*([part] if rounds > 1 else []))
         union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
         word = written(union(sides).groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS]), "toxicity-words")
-        release(spark, *sides)
+        delete(*sides)
         stem = written(word.where("t0 + t1 > 0").join(union(stems), "key").groupBy(F.col("stem").alias("key")).agg(F.sum("t0").alias("s0"), F.sum("t1").alias("s1")), "toxicity-stems")
-        release(spark, *stems)
+        delete(*stems)
         w = word.where("t0 + t1 > 0").agg(F.count("*"), *[F.coalesce(F.sum(x), F.lit(0)) for x in ("t0", "t1")], *[F.count_if(F.col(x) > 0) for x in ("t0", "t1")]).first()
         s = stem.agg(F.count("*"), F.count_if(F.col("s0") > 0), F.count_if(F.col("s1") > 0)).first()
         self.words, self.stems = w[0], s[0]
         self.bigram_types, self.word_types, self.stem_types = np.array(w[1:3], float), np.array(w[3:5], float), np.array(s[1:3], float)
         if self.bigram_types.all():
             rest = written(slot_table(word, WORD, self.n).unionByName(slot_table(stem, STEM, self.n)), "toxicity-slots")
-            release(spark, word, stem)
+            delete(word, stem)
             self.table = union([*pairs, rest])
 
     @staticmethod
@@ -268,31 +281,66 @@ def asked(text: pa.ChunkedArray) -> tuple[list[np.ndarray], list[np.ndarray], np
     return [pairs, word, stems], [p_at, w_at, s_at, v_at], first
 
 
+def chunked(docs: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    """The rows of ``docs`` in chunks of about ``CHUNK`` bytes, as the tasks read them: chunk, rows (the
+    ``columns``, packed).  A chunk's number holds for this run of the tasks only, so the result is written."""
+    def run(batches):
+        held, size, number = [], 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            _, offsets = utf8(batch.column(columns.index(text_col)))
+            offsets = offsets + ROW * np.arange(len(offsets))
+            for i, j in blocks(offsets, CHUNK):
+                more = int(offsets[j] - offsets[i])
+                if held and size + more > CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([stored(held)], pa.binary())], names=["chunk", "rows"])
+                    held, size, number = [], 0, number + 1
+                held.append(batch.slice(i, j - i))
+                size += more
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([stored(held)], pa.binary())], names=["chunk", "rows"])
+        trim()
+
+    return docs.select(*columns).mapInArrow(run, "chunk long, rows binary")
+
+
+def stored(batches: list[pa.RecordBatch]) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(pa.Table.from_batches(batches).combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def restored(rows: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
+
+
 def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str], size: int) -> DataFrame:
     """The columns ``keep`` of ``docs`` and the evidence (``evidence_names``), written."""
-    spark, n, sums = docs.sparkSession, model.n, model.sums()
-    chunk = fresh(docs, "_chunk")
+    n, sums = model.n, model.sums()
     schema = docs.select(*keep).withColumns({k: F.lit(0.0) for k in evidence_names(docs)}).schema
     rounds = rounds_of(size)
-    chunks = max(1, -(-size // (rounds * CHUNK)))
+    copies = max(1, -(-size // (rounds * n * SHARE)))
     code = F.xxhash64(*docs.columns)
 
-    def ask(key, table):
-        rows = []
-        for kind, keys in enumerate(asked(table.column(text_col))[0]):
-            at = slots(keys, kind, n)
-            edges = np.append(np.flatnonzero(np.diff(at, prepend=-1)), len(at))
-            rows += [(at[i], j - i, steps(keys[i:j])) for i, j in zip(edges[:-1], edges[1:])]
-        return pa.table({"slot": pa.array([int(r[0]) for r in rows], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()), "asked": pa.array([int(r[1]) for r in rows], pa.int64()), "of": pa.array([r[2] for r in rows], pa.binary())})
+    def ask(batches):
+        for batch in batches:
+            for chunk, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
+                out = []
+                for kind, keys in enumerate(asked(restored(rows).column(text_col))[0]):
+                    at = slots(keys, kind, n)
+                    edges = np.append(np.flatnonzero(np.diff(at, prepend=-1)), len(at))
+                    out += [(int(at[i]), chunk % copies, chunk, int(j - i), steps(keys[i:j])) for i, j in zip(edges[:-1], edges[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["slot", "copy", "chunk", "n", "keys"])
+        trim()
 
     def answer(batches):
-        """A slot's table comes before its requests, which pass one by one."""
+        """A copy of a slot's table comes before its requests, which pass one by one."""
         slot, width, own, counts = None, 0, np.zeros(0, U64), np.zeros((0, 1), np.int64)
         for batch in batches:
             out = []
-            for at, to, m, keys, values in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), batch.column(4)):
-                if at != slot:
-                    slot, width, own = at, WIDTH[at // n], np.zeros(0, U64)
+            for at, copy, to, m, keys, values in zip(*(batch.column(k).to_pylist() for k in range(4)), batch.column(4), batch.column(5)):
+                if (at, copy) != slot:
+                    slot, width, own = (at, copy), WIDTH[at // n], np.zeros(0, U64)
                     counts = np.zeros((width, 1), np.int64)
                 if to is None:
                     own, counts = keys_of(keys.as_py(), m), np.concatenate([unpacked(values.as_py(), m * width).reshape(width, m), np.zeros((width, 1), np.int64)], 1)
@@ -306,7 +354,8 @@ def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str],
         trim()
 
     def score(key, left, right):
-        keys, (p_at, w_at, s_at, v_at), first = asked(left.column(text_col))
+        rows = restored(left.column("rows")[0])
+        keys, (p_at, w_at, s_at, v_at), first = asked(rows.column(text_col))
         found = []
         got = sorted(zip(right.column("slot").to_pylist(), right.column("got").to_pylist(), right.column("counts")), key=lambda r: r[0])
         for kind in (PAIR, WORD, STEM):
@@ -318,7 +367,7 @@ def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str],
         for i in range(0, len(ratio), PART):
             k = slice(i, i + PART)
             ratio[k] = ratios(sums, found[PAIR][:, p_at[k]], found[WORD][:, w_at[k]], found[WORD][:, v_at[k]], found[STEM][:, s_at[k]])
-        out = left.select(keep)
+        out = rows.select(keep)
         for name, x in zip(schema.names[-len(EVIDENCE):], evidence(ratio, first).T):
             out = out.append_column(name, pa.array(x.copy()))
         del keys, found, ratio, p_at, w_at, s_at, v_at
@@ -326,15 +375,14 @@ def gathered(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str],
         return out
 
     parts = []
+    tables = model.table.select("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"), F.lit(None).cast("long").alias("chunk"), "n", "keys", "counts")
     for r in range(rounds):
-        own = docs.where(F.pmod(code, F.lit(rounds)) == r).withColumn(chunk, F.pmod(F.shiftright(code, 8), F.lit(chunks)))
-        requests = own.groupBy(chunk).applyInArrow(ask, "slot long, chunk long, asked long, of binary")
-        both = requests.select("slot", "chunk", F.col("asked").alias("n"), F.col("of").alias("keys"), F.lit(None).cast("binary").alias("counts")).unionByName(
-            model.table.select("slot", F.lit(None).cast("long").alias("chunk"), "n", "keys", "counts"))
-        answers = both.repartition("slot").sortWithinPartitions("slot", F.asc_nulls_first("chunk")).mapInArrow(answer, "chunk long, slot long, got long, counts binary")
-        parts.append(written(own.groupBy(chunk).cogroup(answers.groupBy("chunk")).applyInArrow(score, schema), "toxicity-evidence"))
-        del own, requests, both, answers
-        release(spark)
+        own = written(chunked(docs.where(F.pmod(code, F.lit(rounds)) == r), list(dict.fromkeys([*keep, text_col])), text_col), "toxicity-chunks")
+        requests = own.mapInArrow(ask, "slot long, copy long, chunk long, n long, keys binary")
+        both = requests.withColumn("counts", F.lit(None).cast("binary")).unionByName(tables)
+        answers = both.repartition("slot", "copy").sortWithinPartitions("slot", "copy", F.asc_nulls_first("chunk")).mapInArrow(answer, "chunk long, slot long, got long, counts binary")
+        parts.append(written(own.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema), "toxicity-evidence"))
+        delete(own)
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
@@ -366,23 +414,26 @@ def remainder(col, folds: int = 4):
 def scored(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, folds: int = 4, held: int = 2, text_col: str = "text", into: str = "score", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all) with one more: the score of the whole text.  The curve is fitted on at most
     ``max_rows`` labelled documents of each class, the counts are of all others."""
+    with short_shuffles(docs.sparkSession):
+        return _scored(docs, labels, max_rows, folds, held, text_col, into, keep or docs.columns)
+
+
+def _scored(docs: DataFrame, labels: DataFrame, max_rows: int, folds: int, held: int, text_col: str, into: str, keep: list[str]) -> DataFrame:
     rows = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id"), folds) != held))
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if len(totals) < 2:
-        return docs.select(*(keep or docs.columns), F.lit(share).alias(into))
+        return docs.select(*keep, F.lit(share).alias(into))
     unseen = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0
     learnt = docs.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text")).where((remainder(F.col("doc_id"), folds) != held) & ~unseen).join(rows, "doc_id")
-    learnt, spark = written(learnt.select("text", "toxic"), "toxicity-learnt"), docs.sparkSession
-    release(spark)
+    learnt = written(learnt.select("text", "toxic"), "toxicity-learnt")
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     rounds = rounds_of(size)
     model = KneserNey((written(counted(learnt, rounds, turn), "toxicity-bigrams") for turn in range(rounds)), rounds)
-    release(spark, learnt)
+    delete(learnt)
     if not model.bigram_types.all():
-        return docs.select(*(keep or docs.columns), F.lit(share).alias(into))
-    keep = keep or docs.columns
+        return docs.select(*keep, F.lit(share).alias(into))
     names, found = evidence_names(docs), gathered(docs, model, text_col, keep, size)
     order = F.xxhash64("doc_id")
     ids = rows.where("toxic = 1").where(unseen).orderBy(order, "doc_id").limit(max_rows).unionByName(rows.where("toxic = 0").where(unseen).orderBy(order, "doc_id").limit(max_rows))
