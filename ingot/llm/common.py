@@ -36,12 +36,16 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
 
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker (functions pickled by value get new
-    globals with each task)."""
+    globals with each task).  Entries under a tuple go with the next ``trim``."""
     return sys.modules.setdefault("_ingot_llm_worker", types.ModuleType("_ingot_llm_worker")).__dict__
 
 
 def trim() -> None:
-    """Gives freed memory back to the system, at the end of a task: its worker lives on into later stages."""
+    """Gives memory back to the system at the end of a task, that of encoders and tries which the worker kept
+    from an earlier stage too: it lives on into later stages."""
+    kept = worker_cache()
+    for key in [k for k in kept if isinstance(k, tuple)]:
+        del kept[key]
     pa.default_memory_pool().release_unused()
     if hasattr(c := ctypes.CDLL(None), "malloc_trim"):
         c.malloc_trim(0)

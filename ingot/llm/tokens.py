@@ -36,12 +36,12 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm.common import U64, mix64, worker_cache, written
+from ingot.llm.common import U64, mix64, trim, worker_cache, written
 from ingot.session import scratch_dir
 
 MAGIC = b"INGTOKS1"
 FOOTER = "<8sIIQQQQqQ"  # magic, id bytes, levels, documents, ids, keys, index at, first null row or -1, null rows
-MAX_CACHED, MAX_CACHED_WORD = 500_000, 64
+MAX_CACHED, MAX_CACHED_WORD = 250_000, 64
 #: How the vocabulary's splitter parts a lower-case word of Latin-1 characters: contractions,
 #: letters, single digits, other marks.
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00AA\u00B5\u00BA\u00DF-\u00F6\u00F8-\u00FF]+|[0-9\u00B2\u00B3\u00B9\u00BC-\u00BE]"
@@ -328,6 +328,7 @@ def read_shards(spark: SparkSession, base: str, manifest: DataFrame) -> DataFram
                         pa.array(starts + begin + start, pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
                     a = b
+        trim()  # the encoder that the worker kept from the writing is not needed any more
 
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
