@@ -187,8 +187,8 @@ def q_sampled_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first lines of each gzip file, counted in the scan (B3, H1, G8), and the choice of
     converted over raw data (A9)."""
     root = scratch_dir(spark, "sampled_heads")
-    key, line = F.get_json_object("value", "$.l_orderkey").cast("bigint"), F.get_json_object("value", "$.l_linenumber").cast("int")
-    _flag_files(table(spark, sf_dir, "lineitem"), f"{root}/raw/lineitem", key, line)
+    key = F.get_json_object("value", "$.l_orderkey").cast("bigint")
+    _flag_files(table(spark, sf_dir, "lineitem"), f"{root}/raw/lineitem", "l_orderkey", "l_linenumber")
     src = choose_source(spark, f"{root}/converted/lineitem", f"{root}/raw/lineitem")
     obs = Observation("heads")
     heads = head_lines(spark, src, 50, tasks=16).observe(obs, F.count(F.lit(1)).alias("sampled_lines"))
@@ -198,11 +198,12 @@ def q_sampled_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("sampled", F.lit(int(obs.get["sampled_lines"])).cast("bigint"))
 
 
-def _flag_files(lineitem: DataFrame, path: str, *order) -> None:
-    """Lines of lineitem, a folder per return flag and in it a sorted file for each run of 5,000 order keys."""
-    rows = lineitem.select(F.coalesce("l_returnflag", F.lit("none")).alias("flag"), F.floor(F.col("l_orderkey") / 5000).alias("bucket"),
-                           F.to_json(F.struct("l_returnflag", "l_orderkey", "l_linenumber")).alias("value"))
-    write_lines(rows.repartition("flag", "bucket").sortWithinPartitions("flag", "bucket", *order), path, partition_by=["flag", "bucket"])
+def _flag_files(lineitem: DataFrame, path: str, *order: str) -> None:
+    """Lines of lineitem, a folder per return flag and in it a file for each run of 5,000 order keys, sorted by the
+    columns ``order``.  Columns are shuffled and compared, lines are made from the sorted rows."""
+    rows = lineitem.select(F.coalesce("l_returnflag", F.lit("none")).alias("flag"), F.floor(F.col("l_orderkey") / 5000).alias("bucket"), "l_returnflag", "l_orderkey", "l_linenumber")
+    rows = rows.repartition("flag", "bucket").sortWithinPartitions("flag", "bucket", *order)
+    write_lines(rows.select("flag", "bucket", F.to_json(F.struct("l_returnflag", "l_orderkey", "l_linenumber")).alias("value")), path, partition_by=["flag", "bucket"])
 
 
 def q_overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
