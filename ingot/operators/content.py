@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingot.functions.jsonf import is_blank
+from ingot.session import fs_delete, scratch_dir
 from ingot.sources.ledger import append_ledger, latest_status, read_ledger
 from ingot.sources.listing import DATA_GLOB, list_files
 from ingot.sources.ndjson import raw_lines, with_names
@@ -64,10 +65,15 @@ def validate_content(spark: SparkSession, dataset: str, version: str, data_root:
     files = list_files(spark, root, DATA_GLOB).select(F.col("rel_path").alias("file"))
     counted = with_names(fingerprints(raw_lines(spark, root, DATA_GLOB), "raw_path"), spark, root).select(F.col("rel_path").alias("file"), "records", "f1", "f2")
     new = files.join(counted, "file", "left").select("file", F.coalesce("records", F.lit(0).cast("bigint")).alias("records"), *[F.coalesce(f, F.lit("0")).alias(f) for f in ("f1", "f2")])
+    # a row per file, used several times below: the lines are read once
+    path = scratch_dir(spark, "content-files")
+    new.write.parquet(path)
+    new = spark.read.schema(new.schema).parquet(path)
     before = latest_status(read_ledger(spark, ledger_root, "content", version, dataset)).where("status <> 'REMOVED'")
     # this run's rows first: what is compared is what the ledger holds
     found = compare(before, new)
     append_ledger(found.join(new, "file", "left").select("file", "records", "f1", "f2", "status"), ledger_root, "content", version, dataset, batch_id)
+    fs_delete(spark, path)
     rows = read_ledger(spark, ledger_root, "content", version, dataset)
     last = rows.agg(F.max("written")).first()[0]
     before = latest_status(rows.where(F.col("written") < F.lit(last))).where("status <> 'REMOVED'")

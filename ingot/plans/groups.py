@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ingot.session import fs_delete, scratch_dir
+from ingot.session import fs_delete, scratch_dir, setting  # noqa: F401
 
 GROUP_FILES = 500
 #: What the readers say about a file whose bytes are at fault.
@@ -18,17 +17,6 @@ DATA_ERRORS = ("ZipException", "EOFException", "MalformedInput", "incorrect head
                "invalid block type", "invalid distance", "invalid code lengths", "not a gzip file", "FileNotFoundException", "FILE_NOT_EXIST")
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    """A session setting for one write; the old value comes back."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
-
-
 def in_groups(files: DataFrame, group_files: int) -> Iterator[list]:
     """Iterates over the files (path, rel_path) in groups of ``group_files``, by path.  The
     listing is written once; the driver reads one group at a time."""

@@ -12,6 +12,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -80,6 +81,23 @@ def clear_scratch(spark: SparkSession) -> None:
     fs_delete(spark, scratch_root(spark))
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for one read or write; the old value comes back."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+
+
+def few_listers(spark: SparkSession):
+    """Listings inside deal their folders to a few tasks for each core, where Spark starts one for each folder
+    (up to 10,000), which cost far more than the listing where a folder holds a file."""
+    return setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism))
+
+
 def fs_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.session import fs_exists
+from ingot.session import few_listers, fs_exists
 from ingot.sources.paths import base_name, first_component, normalize, qualify, relative_to
 
 EXCLUDE_NAMES = ("manifest",)
@@ -25,7 +25,9 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None,
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     q = qualify(spark, root)
-    df = reader.load(root).select(normalize(F.col("path")).alias("path"), "length",
+    with few_listers(spark):
+        found = reader.load(root)
+    df = found.select(normalize(F.col("path")).alias("path"), "length",
                                   F.col("modificationTime").alias("modified"))
     name = base_name(F.col("path"))
     cond = ~name.isin(*exclude_names) if exclude_names else F.lit(True)

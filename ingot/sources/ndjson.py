@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot.functions.jsonf import is_blank, is_json_object
+from ingot.session import few_listers
 from ingot.sources.paths import first_component, metadata_path, qualify, relative_to
 
 
@@ -21,8 +22,9 @@ def raw_lines(spark: SparkSession, paths: str | list[str], glob: str | None = No
     derived from it once per file (:func:`with_names` after an aggregate, or a join)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("recursiveFileLookup", "true")
-    return ((reader.option("pathGlobFilter", glob) if glob else reader).text(paths)
-            .select("value", F.col("_metadata.file_path").alias("raw_path")))
+    with few_listers(spark):
+        lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(paths)
+    return lines.select("value", F.col("_metadata.file_path").alias("raw_path"))
 
 
 def with_names(df: DataFrame, spark: SparkSession, root: str) -> DataFrame:
