@@ -48,7 +48,7 @@ PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00AA\u00B5\u00BA\u00DF-\u00F6
                     "|[^\t\n\x0b\x0c\r \u0085\u00A00-9a-z\u00AA\u00B5\u00BA\u00DF-\u00F6\u00F8-\u00FF\u00B2\u00B3\u00B9\u00BC-\u00BE]+")
 #: Where the short way does not hold: a mark before a full stop or comma joins it, and special
 #: tokens are found before lower-casing.
-UNCLEAR = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,](?:[ \n])|<\|")
+UNCLEAR = re.compile(r"[.,][ \n](?<=(?:[^\w\s]|[_\x1c-\x1f])..)", re.S)  # begins with a few characters, so that the others are passed over
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -101,6 +101,8 @@ class Encoder:
         for w in words:
             if w in old:
                 out[w] = old[w]
+            elif short and w.isascii() and w.isalpha():  # one piece
+                out[w] = self.piece(w)
             elif short:
                 out[w] = b"".join([known[x] if x in known else self.piece(x) for x in PIECES.findall(w)])
         if not short:
@@ -113,17 +115,27 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         short = text.isascii() or latin(text)
-        if short and not UNCLEAR.search(text):
+        if short and "<|" not in text and not UNCLEAR.search(text):
             low = text.lower().replace("\n", " ")
             parts = low.replace(". ", " . ").replace(", ", " , ").split(" ")
         else:
             short, parts = False, text.replace("\n", " ").split(" ")
-        known = self.tables[short][0]
-        try:
-            return b"".join([known[w] for w in parts])
-        except KeyError:
-            new = self.learn({w for w in parts if w not in known}, short)
-            return b"".join([new[w] if w in new else known[w] for w in parts])
+        out = list(map(self.tables[short][0].get, parts))
+        if lacking := places(out, None):
+            new = self.learn({parts[i] for i in lacking}, short)
+            for i in lacking:
+                out[i] = new[parts[i]]
+        return b"".join(out)
+
+
+def places(values: list, x) -> list[int]:
+    """Where ``x`` is in the list."""
+    out, i = [], -1
+    try:
+        while True:
+            out.append(i := values.index(x, i + 1))
+    except ValueError:
+        return out
 
 
 def latin(text: str) -> bool:
