@@ -703,8 +703,9 @@ def q_works_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "works_convert")
     write_lines(works_records(spark, sf_dir), f"{root}/raw/works", partition_by="folder")
     convert(spark, "works", "v1", f"{root}/raw", f"{root}/converted", f"{root}/ledger")
-    lines = raw_lines(spark, f"{root}/converted/works").withColumn("line", F.col("value"))
-    w = parse_records(lines, table_schema("works"), keep=("line",))
+    texts = F.from_json("value", "brand_new string, updated_date string, ids struct<newid: string>, best_oa_location struct<oa_status: string>")
+    lines = raw_lines(spark, f"{root}/converted/works").withColumn("line", F.col("value")).withColumn("texts", texts)
+    w = parse_records(lines, table_schema("works"), keep=("line", "texts"))
     locs, auths = F.col("locations"), F.col("authorships")
 
     def total(arr, f):
@@ -730,11 +731,11 @@ def q_works_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(F.get(auths, 0).getField("institutions"), 0).getField("id").alias("inst_id"),
         F.size("referenced_works").cast("bigint").alias("n_referenced"),
         F.col("abstract_inverted_index").alias("abstract_json"),
-        F.get_json_object("line", "$.brand_new").alias("brand_new"),
+        F.col("texts.brand_new").alias("brand_new"),
         F.regexp_extract("line", '"cited_by_count":("?[0-9]+"?)', 1).alias("cited_text"),
-        F.get_json_object("line", "$.updated_date").alias("updated_text"),
-        F.get_json_object("line", "$.ids.newid").alias("ids_newid"),
-        F.get_json_object("line", "$.best_oa_location.oa_status").alias("oa_status"))
+        F.col("texts.updated_date").alias("updated_text"),
+        F.col("texts.ids.newid").alias("ids_newid"),
+        F.col("texts.best_oa_location.oa_status").alias("oa_status"))
 
 
 # ---------------------------------------------------------- sources R10 ---
